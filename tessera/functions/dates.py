@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -14,7 +12,8 @@ def _c(col) -> Column:
 
 def epoch_micros(col) -> Column:
     """Microseconds since 1970-01-01 of a wall-clock timestamp (no session-TZ shift)."""
-    return F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, _c(col).cast("timestamp_ntz"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, _c(col).cast("timestamp_ntz"))
 
 
 def epoch_seconds(col) -> Column:
