@@ -71,3 +71,31 @@ def row_position(df: DataFrame, out_col: str = "pos") -> DataFrame:
         .withColumn(out_col, F.col("_offset") + local)
         .drop("_pid", "_mid", "_offset")
     )
+
+
+def global_cumsum(df: DataFrame, order_cols: list, sum_cols: list[str], suffix: str = "_cum",
+                  num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` along a global order (``order_cols`` unique).
+
+    Range partitioning keeps partitions balanced; each partition's running sum
+    is shifted by the totals of the partitions before it (one row per
+    partition reaches the driver).
+    """
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranged = cut_lineage(
+        df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+        .withColumn("_pid", F.spark_partition_id()))
+    totals = sorted(ranged.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect(),
+                    key=lambda r: r["_pid"])
+    rows, acc = [], [0.0] * len(sum_cols)
+    for r in totals:
+        rows.append((r["_pid"], *acc))
+        acc = [a + float(r[c] or 0) for a, c in zip(acc, sum_cols)]
+    schema = "_pid int, " + ", ".join(f"_off_{c} double" for c in sum_cols)
+    offs = spark.createDataFrame(rows or [(0, *([0.0] * len(sum_cols)))], schema)
+    w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(F.broadcast(offs), "_pid")  # one row per partition
+    return out.select(*df.columns, *[(F.sum(c).over(w) + F.col(f"_off_{c}")).alias(c + suffix) for c in sum_cols])
