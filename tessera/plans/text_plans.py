@@ -215,7 +215,7 @@ def t6_next_token_top_p(spark, sf_dir):
 @query("t6_next_token_top_k_min_p", _NEXT_BASE + """
 , r AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY p DESC, token) AS rn FROM pr),
 k AS (SELECT * FROM r WHERE rn <= 5),
-m AS (SELECT * FROM k WHERE p >= 0.1 * max(p) OVER (PARTITION BY prefix))
+m AS (SELECT * FROM (SELECT *, max(p) OVER (PARTITION BY prefix) AS mx FROM k) WHERE p >= 0.1 * mx)
 SELECT prefix, token, round(p / sum(p) OVER (PARTITION BY prefix), 9) AS q FROM m
 """)
 def t6_next_token_top_k_min_p(spark, sf_dir):
