@@ -143,8 +143,11 @@ def next_token_dist(probs: DataFrame, temperature: float = 1.0, top_k: int | Non
         d = probs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
         return d.select("prefix", "token", F.lit(1.0).alias("q"))
     tot = Window.partitionBy("prefix")
-    d = probs.withColumn("q", F.pow("p", 1.0 / temperature))
-    d = d.withColumn("q", F.col("q") / F.sum("q").over(tot))
+    if temperature == 1.0:
+        d = probs.withColumn("q", F.col("p"))  # p^(1/1) / sum = p: skip the no-op rescale
+    else:
+        d = probs.withColumn("q", F.pow("p", 1.0 / temperature))
+        d = d.withColumn("q", F.col("q") / F.sum("q").over(tot))
     if top_k is not None:
         d = d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top_k).drop("_r")
     if min_p is not None:
