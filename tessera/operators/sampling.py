@@ -40,7 +40,7 @@ def split_exact(df: DataFrame, key: str, fracs=(0.7, 0.2, 0.1), seed="0",
     cuts, acc = [], 0.0
     for f in fracs[:-1]:
         acc += f
-        cuts.append(int(acc * n))
+        cuts.append(int(round(acc, 12) * n))  # 0.7 + 0.2 must cut at int(0.9 n), not int(0.8999.. n)
     ranked = global_row_number(df.withColumn("_h", hash_key(key, seed)), ["_h", key], "_rn")
     label = F.lit(names[len(fracs) - 1])
     for cut, name in reversed(list(zip(cuts, names))):
