@@ -233,6 +233,8 @@ def suffix_discounted_sum(df: DataFrame, key, pos: str, val: str, gamma: float,
     Blocks are stitched by the same recurrence one level up
     (``gamma^block`` per block), recursively until one block is left per key.
     """
+    if block < 2:
+        raise ValueError("block must be at least 2 (each level must shrink the sequence)")
     keys = _cols(key)
     g = F.lit(float(gamma))
     d = df.withColumn("_b", F.floor(F.col(pos) / block).cast("long")).withColumn(
