@@ -34,10 +34,24 @@ def to_json_messages(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def write_messages(df: DataFrame, path: str, files: int, order: list[str] | None = None) -> None:
-    """Stage messages as ``files`` JSON-lines files (time-ordered ranges when
-    ``order`` is given) to be replayed one file per trigger."""
-    src = df.repartitionByRange(files, *order).sortWithinPartitions(*order) if order else df.repartition(files)
-    to_json_messages(src).write.mode("overwrite").text(path)
+    """Stage messages as ``files`` JSON-lines files to be replayed one file per trigger.
+
+    With ``order`` the rows are cut into ``files`` consecutive ranges of that order
+    and written as sequential appends, so file modification times - which decide
+    the file source's replay order - follow event time.
+    """
+    msgs_cols = df.columns
+    if not order:
+        to_json_messages(df).write.mode("overwrite").text(path)
+        return
+    from tessera.operators.ranking import global_row_number
+
+    n = df.count()
+    numbered = global_row_number(df, list(order), "_rn")
+    numbered = numbered.withColumn("_file", F.floor((F.col("_rn") - 1) * files / F.lit(max(n, 1))).cast("int"))
+    for f in range(files):
+        part = numbered.where(F.col("_file") == f).select(*msgs_cols).coalesce(1)
+        to_json_messages(part).write.mode("append").text(path)
 
 
 def replay_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
