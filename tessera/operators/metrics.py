@@ -315,3 +315,36 @@ def permutation_importance(model, df: DataFrame, features: list[str], evaluator,
         score = evaluator.evaluate(model.transform(prep(perm)))
         out.append((f, float(base), float(score), float(base - score)))
     return df.sparkSession.createDataFrame(out, "feature string, base double, permuted double, importance double")
+
+
+# ------------------------------------------------------------- F6
+
+def density_scores(df: DataFrame, group, col: str, family: str = "normal", trials: int | None = None,
+                   out: str = "log_density") -> DataFrame:
+    """fit a distribution per group, then score every row by its log density/mass.
+
+    ``normal`` (mean, population variance), ``halfnormal`` (sigma^2 = mean x^2),
+    ``bernoulli`` (p = mean), ``binomial`` with ``trials`` (p = mean / trials),
+    ``poisson`` (lambda = mean).  Fitting is one partial aggregate; the per-group
+    parameters (one row per group) are joined back.  Log-factorials use log-gamma.
+    """
+    keys = [group] if isinstance(group, str) else list(group)
+    x = F.col(col).cast("double")
+    fit = df.groupBy(*keys).agg(F.avg(x).alias("_m"), F.var_pop(x).alias("_v"), F.avg(x * x).alias("_q"))
+    d = df.join(fit, keys)
+    m, v, q = F.col("_m"), F.col("_v"), F.col("_q")
+    if family == "normal":
+        ld = -0.5 * F.log(2 * math.pi * v) - (x - m) * (x - m) / (2 * v)
+    elif family == "halfnormal":
+        ld = F.when(x >= 0, 0.5 * F.log(2 / (math.pi * q)) - x * x / (2 * q))
+    elif family == "bernoulli":
+        ld = x * F.log(m) + (1 - x) * F.log(1 - m)
+    elif family == "binomial":
+        p = m / trials
+        ld = (lgamma(F.lit(float(trials + 1))) - lgamma(x + 1) - lgamma(F.lit(float(trials)) - x + 1)
+              + x * F.log(p) + (F.lit(float(trials)) - x) * F.log(1 - p))
+    elif family == "poisson":
+        ld = x * F.log(m) - m - lgamma(x + 1)
+    else:
+        raise ValueError(family)
+    return d.withColumn(out, ld).drop("_m", "_v", "_q")
