@@ -32,8 +32,8 @@ def ngram_events(df: DataFrame, tokens: str, n: int, keep: list[str] = ()) -> Da
     p = F.col("_pad")
     events = F.transform(
         F.sequence(F.lit(0), F.size(p) - n),
-        lambda i: F.struct(F.array_join(F.slice(p, i + 1, n - 1), " ").alias("prefix") if n > 1
-                           else F.lit("").alias("prefix"),
+        lambda i: F.struct(F.concat_ws(" ", *[F.element_at(p, i + j) for j in range(1, n)]).alias("prefix")
+                           if n > 1 else F.lit("").alias("prefix"),
                            F.element_at(p, i + n).alias("token")))
     return d.select(*keep, F.inline(events))
 
