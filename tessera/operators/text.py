@@ -54,8 +54,9 @@ def _prefix_stats(counts: DataFrame) -> DataFrame:
 
 
 def laplace_probs(counts: DataFrame, delta: float = 1.0) -> DataFrame:
-    """``(n + d) / (N + d V)`` for seen tokens; V = number of distinct next tokens."""
-    V = counts.select("token").distinct().count()
+    """``(n + d) / (N + d V)`` for seen tokens; V = number of distinct next tokens
+    (a scalar subquery: the plan stays lazy and the counts are not recomputed by an eager action)."""
+    V = counts.select(F.countDistinct("token")).scalar()
     st = _prefix_stats(counts)
     return counts.join(st, "prefix").select(
         "prefix", "token", "n", ((F.col("n") + delta) / (F.col("ptot") + delta * V)).alias("p"))
@@ -64,7 +65,7 @@ def laplace_probs(counts: DataFrame, delta: float = 1.0) -> DataFrame:
 def laplace_missing(counts: DataFrame, delta: float = 1.0) -> DataFrame:
     """Probability of any unseen token after each seen prefix,
     ``max(0, 1 - sum seen) / max(1, V - seen)``; an unseen prefix gives ``1 / V``."""
-    V = counts.select("token").distinct().count()
+    V = counts.select(F.countDistinct("token")).scalar()
     st = _prefix_stats(counts)
     seen = (F.col("ptot") + delta * F.col("pk")) / (F.col("ptot") + delta * V)
     return st.select("prefix", (F.greatest(F.lit(0.0), 1 - seen) / F.greatest(F.lit(1), V - F.col("pk"))).alias(
@@ -85,10 +86,10 @@ def perplexity(counts: DataFrame, test: DataFrame, tokens: str, n: int, smoothin
     if smoothing == "mle":
         p = F.coalesce(F.col("n") / F.col("ptot"), F.lit(0.0))
     else:
-        V = counts.select("token").distinct().count()
+        V = counts.select(F.countDistinct("token")).scalar()
         seen = (F.col("ptot") + delta * F.col("pk")) / (F.col("ptot") + delta * V)
         missing = F.greatest(F.lit(0.0), 1 - seen) / F.greatest(F.lit(1), V - F.col("pk"))
-        p = (F.when(F.col("ptot").isNull(), F.lit(1.0 / max(1, V)))
+        p = (F.when(F.col("ptot").isNull(), F.lit(1.0) / F.greatest(F.lit(1), V))
              .when(F.col("n").isNotNull(), (F.col("n") + delta) / (F.col("ptot") + delta * V))
              .otherwise(missing))
     lp = F.when(p > 0, F.greatest(F.log(p), F.lit(MIN_LOGPROB))).otherwise(F.lit(MIN_LOGPROB))
@@ -196,9 +197,9 @@ def text_nb_fit(bows: DataFrame, labels: DataFrame, key: str, label: str, vocab:
         F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).alias("c1"))
     full = vocab.select("token").join(wc, "token", "left").fillna(0, ["c0", "c1"])
     full = full.withColumn("c0", F.col("c0") + delta).withColumn("c1", F.col("c1") + delta)
-    tots = full.agg(F.sum("c0").alias("t0"), F.sum("c1").alias("t1")).first()
-    probs = full.select("token", (F.col("c0") / F.lit(float(tots["t0"]))).alias("p0"),
-                        (F.col("c1") / F.lit(float(tots["t1"]))).alias("p1"))
+    t0 = full.select(F.sum("c0")).scalar()
+    t1 = full.select(F.sum("c1")).scalar()
+    probs = full.select("token", (F.col("c0") / t0).alias("p0"), (F.col("c1") / t1).alias("p1"))
     return priors, probs
 
 

@@ -251,7 +251,8 @@ def _nb_inputs(spark, sf_dir):
     lab = t.documents.join(t.labels.select("doc_id", "toxic"), "doc_id").select(
         "doc_id", "toxic", FT.wordpunct_tokens("text").alias("tokens"))
     train, test = S.split_hash(lab, "doc_id", 0.5, "nb")
-    vocab = A.vocab_topk(A.token_counts(train.select(F.explode("tokens").alias("token"))), 10000)
+    top = A.vocab_topk(A.token_counts(train.select(F.explode("tokens").alias("token"))), 10000).collect()
+    vocab = spark.createDataFrame([(r["token"], r["n"]) for r in top], "token string, n long")  # bounded by k
     return lab, train, test, vocab
 
 
