@@ -73,12 +73,14 @@ def laplace_missing(counts: DataFrame, delta: float = 1.0) -> DataFrame:
 
 
 def perplexity(counts: DataFrame, test: DataFrame, tokens: str, n: int, smoothing: str = "mle",
-               delta: float = 1.0) -> DataFrame:
+               delta: float = 1.0, train: DataFrame | None = None) -> DataFrame:
     """T5: corpus perplexity ``exp(-sum max(log p, log 1e-50) / #tokens)``, EOS included.
 
     Test positions are first counted per ``(prefix, token)`` (partial
     aggregate), then joined to the model, so the join moves distinct n-grams,
-    not token occurrences.
+    not token occurrences.  When the training token table ``train`` is given, the
+    Laplace vocabulary size comes from its distinct tokens (+ EOS) - the same set as
+    the counts' next tokens - without generating the n-grams a second time.
     """
     ev = ngram_events(test, tokens, n).groupBy("prefix", "token").agg(F.count(F.lit(1)).alias("m"))
     st = _prefix_stats(counts)
@@ -86,7 +88,10 @@ def perplexity(counts: DataFrame, test: DataFrame, tokens: str, n: int, smoothin
     if smoothing == "mle":
         p = F.coalesce(F.col("n") / F.col("ptot"), F.lit(0.0))
     else:
-        V = counts.select(F.countDistinct("token")).scalar()
+        if train is not None:
+            V = train.select(F.explode(tokens).alias("_t")).select(F.countDistinct("_t") + 1).scalar()
+        else:
+            V = counts.select(F.countDistinct("token")).scalar()
         seen = (F.col("ptot") + delta * F.col("pk")) / (F.col("ptot") + delta * V)
         missing = F.greatest(F.lit(0.0), 1 - seen) / F.greatest(F.lit(1), V - F.col("pk"))
         p = (F.when(F.col("ptot").isNull(), F.lit(1.0) / F.greatest(F.lit(1), V))

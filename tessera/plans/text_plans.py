@@ -180,7 +180,7 @@ SELECT round(-sum(m * CASE WHEN {p} > 0 THEN greatest(ln({p}), {T.MIN_LOGPROB!r}
 def _ppl(spark, sf_dir, n, smoothing):
     train, test = _split(spark, sf_dir)
     counts = T.ngram_counts(train, "tokens", n)
-    r = T.perplexity(counts, test, "tokens", n, smoothing)
+    r = T.perplexity(counts, test, "tokens", n, smoothing, train=train)
     # log-perplexity: the clamp at 1e-50 makes perplexity itself astronomically large, so it is
     # compared in log space where 9 decimals are far inside double precision
     return r.select(F.round("log_perplexity", 9).alias("log_perplexity"), F.col("n_tokens").cast("long").alias("n_tokens"))
