@@ -104,7 +104,10 @@ def stream_kalman(stream: DataFrame, key: str, order: list[str], z: str, r: str,
 
     def fold(k, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         x, p = (state.get if state.exists else (x0, p0))
-        pdf = pd.concat(list(pdfs)).sort_values(order, kind="mergesort")
+        parts = [p for p in pdfs if len(p)]
+        if not parts:
+            return
+        pdf = pd.concat(parts).sort_values(order, kind="mergesort")
         xs, ps = [], []
         for zi, ri in zip(pdf[z].to_numpy(float), pdf[r].to_numpy(float)):
             gain = p / (p + ri)
