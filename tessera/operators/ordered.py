@@ -285,11 +285,26 @@ def gae(df: DataFrame, traj, t: str, logp: str, ref_logp: str, value: str, score
 
 # ------------------------------------------------------ transitions
 
-def transition_matrix(df: DataFrame, key, order, state: str) -> DataFrame:
+def add_lead(df: DataFrame, key, order, col: str, out: str | None = None, chunk: str | None = None) -> DataFrame:
+    """``out = lead(col)`` per key; with ``chunk`` the last row of a chunk takes the first
+    value of the key's next non-empty chunk from a one-row-per-chunk carry table."""
+    keys, order = _cols(key), _cols(order)
+    out = out or f"{col}_lead"
+    if chunk is None:
+        return df.withColumn(out, F.lead(col).over(Window.partitionBy(*keys).orderBy(*order)))
+    wc = Window.partitionBy(*keys, chunk).orderBy(*order)
+    res = df.withColumn(out, F.lead(col).over(wc)).withColumn(
+        "_last", F.lead(F.lit(1)).over(wc).isNull())
+    carry = df.groupBy(*keys, chunk).agg(F.min_by(F.col(col), F.struct(*order)).alias("_first"))
+    carry = carry.withColumn("_next", F.lead("_first").over(Window.partitionBy(*keys).orderBy(chunk)))
+    res = res.join(carry.select(*keys, chunk, "_next"), [*keys, chunk], "left")
+    return res.withColumn(out, F.when(F.col("_last"), F.col("_next")).otherwise(F.col(out))).drop("_last", "_next")
+
+
+def transition_matrix(df: DataFrame, key, order, state: str, chunk: str | None = None) -> DataFrame:
     """Counts and row-normalised probabilities of successive state pairs per key."""
-    w = Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
-    pairs = df.select(F.col(state).alias("from_state"), F.lead(state).over(w).alias("to_state")).where(
-        F.col("to_state").isNotNull())
+    nxt = add_lead(df, key, order, state, "to_state", chunk=chunk)
+    pairs = nxt.select(F.col(state).alias("from_state"), "to_state").where(F.col("to_state").isNotNull())
     counts = pairs.groupBy("from_state", "to_state").agg(F.count(F.lit(1)).alias("n"))
     tot = counts.groupBy("from_state").agg(F.sum("n").alias("_tot"))
     return counts.join(tot, "from_state").withColumn("p", F.col("n") / F.col("_tot")).drop("_tot")

@@ -207,7 +207,8 @@ c AS (SELECT from_state, to_state, count(*) AS n FROM p WHERE to_state IS NOT NU
 SELECT from_state, to_state, n, round(n / sum(n) OVER (PARTITION BY from_state), 9) AS p FROM c
 """)
 def w9_transition_matrix(spark, sf_dir):
-    r = W.transition_matrix(Tables(spark, sf_dir).events, "user_id", "ts", "event_type")
+    e = Tables(spark, sf_dir).events.withColumn("_day", F.to_date("ts"))
+    r = W.transition_matrix(e, "user_id", ["ts", "event_id"], "event_type", chunk="_day")
     return r.withColumn("p", F.round("p", 9))
 
 

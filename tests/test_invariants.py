@@ -122,3 +122,13 @@ def test_nearest_paths_agree(spark):
     a = V.nearest(q, c, 3, exclude_self=True).select("qid", "cid", "rank")
     b = V.nearest(q, c, 3, exclude_self=True, broadcast_bytes=0, block_rows=7).select("qid", "cid", "rank")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_chunked_lag_lead_equal_plain(spark):
+    from tessera.operators import ordered as W
+
+    e = Tables(spark, SF_SMALL).events.select("event_id", "user_id", "ts", "value").withColumn("_d", F.to_date("ts"))
+    for fn in (W.add_lag, W.add_lead):
+        a = fn(e, "user_id", ["ts", "event_id"], "value", "o").select("event_id", "o")
+        b = fn(e, "user_id", ["ts", "event_id"], "value", "o", chunk="_d").select("event_id", "o")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
