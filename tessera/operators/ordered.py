@@ -171,10 +171,15 @@ def rolling_stats(df: DataFrame, key, ts: str, col: str, days: int = 7) -> DataF
     return d.withColumn("z", (F.col(col) - F.col("roll_mean")) / F.col("roll_std"))
 
 
-def difference(df: DataFrame, key, order, col: str, lag: int = 1, out: str | None = None) -> DataFrame:
-    """H5: ``x_t - x_{t-lag}`` per key."""
+def difference(df: DataFrame, key, order, col: str, lag: int = 1, out: str | None = None,
+               chunk: str | None = None) -> DataFrame:
+    """H5: ``x_t - x_{t-lag}`` per key (first differences can be chunked for hot keys)."""
+    out = out or f"{col}_diff"
+    if chunk is not None and lag == 1:
+        d = add_lag(df, key, order, col, "_lagv", chunk=chunk)
+        return d.withColumn(out, F.col(col) - F.col("_lagv")).drop("_lagv")
     w = Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
-    return df.withColumn(out or f"{col}_diff", F.col(col) - F.lag(col, lag).over(w))
+    return df.withColumn(out, F.col(col) - F.lag(col, lag).over(w))
 
 
 def moving_average(df: DataFrame, key, order, col: str, n: int, out: str | None = None,

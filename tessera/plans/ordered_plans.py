@@ -217,7 +217,8 @@ WITH {DAILY_SQL}
 SELECT series, day, round(actual - lag(actual) OVER (PARTITION BY series ORDER BY day), 6) AS actual_diff FROM daily
 """)
 def h5_difference(spark, sf_dir):
-    r = W.difference(daily(Tables(spark, sf_dir)), "series", "day", "actual")
+    d = daily(Tables(spark, sf_dir)).withColumn("_week", F.date_trunc("week", "day"))
+    r = W.difference(d, "series", "day", "actual", chunk="_week")
     return r.select("series", "day", F.round("actual_diff", 6).alias("actual_diff"))
 
 
