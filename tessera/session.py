@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -59,6 +61,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the Python workers, once per application.
+
+    Tasks import this package by name, so every executor needs it whatever its
+    working directory is; ``addPyFile`` distributes one zip of the sources.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tessera-src-"), "tessera.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._tessera_shipped = True
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never localCheckpoint).
 
