@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import repetition, simhash, trie_dedup
+from tessera.llm import arrow_tokens, bpe, host_reputation, mixing, repetition, sharding, simhash, substring, trie_dedup, warc
 from tessera.session import Tables
 
 _QUERIES: dict[str, Callable] = {}
@@ -31,16 +33,144 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+# ---------------------------------------------------------------- 1 mixing
+
+# Production tree: the sources' domains, languages by target share, sources evenly but for the bulk crawl.
+LANG_WEIGHTS = {"en": 60, "de": 15, "fr": 15, "es": 10}
+DOMAIN_WEIGHTS = {"crawl": 40, "reference": 35, "community": 25}
+
+
+def domain_of(source: str) -> str:
+    number = int(source.removeprefix("src"))
+    return "crawl" if number == 0 else "reference" if number < 10 else "community"
+
+
+def mixing_tree() -> list[mixing.Leaf]:
+    return [
+        mixing.Leaf(domain_of(s), lang, s, DOMAIN_WEIGHTS[domain_of(s)], weight, 1 + int(s[3:]) % 3)
+        for s in (f"src{k}" for k in range(20)) for lang, weight in LANG_WEIGHTS.items()
+    ]
+
+
+def domain_column():
+    number = F.regexp_extract("source", r"^src(\d+)$", 1)
+    return F.when(number == "0", "crawl").when(F.length(number) == 1, "reference").otherwise("community")
+
+
+def _mixing_sql(budget_percent: int, max_epochs: int, seed: int) -> str:
+    tree = ", ".join(f"('{x.domain}', '{x.lang}', '{x.source}', {x.domain_weight}, {x.lang_weight}, {x.source_weight})" for x in mixing_tree())
+
+    def share(name: str, children: str, parent: str, child: str) -> str:
+        """Deal the parent's budget to its children by weight, at most cap each."""
+        return f"""
+{name}_1 AS (SELECT *, coalesce(sum(cap) OVER w, 0) AS taken, coalesce(sum(weight) OVER w, 0) AS passed,
+    sum(weight) OVER (PARTITION BY {parent}) AS total FROM {children}
+  WINDOW w AS (PARTITION BY {parent} ORDER BY cap::DOUBLE / weight, {child} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+{name}_2 AS (SELECT *, cap::HUGEINT * (total - passed)::HUGEINT <= (budget - taken)::HUGEINT * weight AS short FROM {name}_1),
+{name}_3 AS (SELECT *, budget - coalesce(sum(cap) FILTER (short) OVER (PARTITION BY {parent}), 0) AS rest,
+    total - coalesce(sum(weight) FILTER (short) OVER (PARTITION BY {parent}), 0) AS open FROM {name}_2),
+{name}_4 AS (SELECT *, CASE WHEN short THEN cap ELSE (rest::HUGEINT * weight) // greatest(open, 1) END AS low,
+    CASE WHEN NOT short THEN (rest::HUGEINT * weight) % greatest(open, 1) END AS over_ FROM {name}_3),
+{name}_5 AS (SELECT *, budget - sum(low) OVER (PARTITION BY {parent}) AS spare,
+    row_number() OVER (PARTITION BY {parent} ORDER BY over_ DESC NULLS LAST, {child}) AS turn FROM {name}_4),
+{name} AS (SELECT * EXCLUDE (budget), low + CASE WHEN NOT short AND turn <= spare THEN 1 ELSE 0 END AS budget FROM {name}_5)"""
+
+    return f"""
+WITH named(domain, lang, source, w1, w2, w3) AS (VALUES {tree}),
+slim AS (
+  SELECT doc_id, CASE WHEN source = 'src0' THEN 'crawl' WHEN regexp_full_match(source, 'src[0-9]') THEN 'reference' ELSE 'community' END AS domain,
+         lang, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens FROM documents),
+leaves AS (
+  SELECT domain, lang, source, any_value(w1) AS w1, any_value(w2) AS w2, any_value(w3) AS w3, sum(n_tokens) AS tokens,
+         sum(n_tokens) * {max_epochs} AS cap
+  FROM slim JOIN named USING (domain, lang, source) GROUP BY ALL HAVING sum(n_tokens) > 0),
+root AS (SELECT least(floor(sum(tokens) * {budget_percent} / 100), sum(cap))::BIGINT AS budget FROM leaves),
+c1 AS (SELECT 0 AS root, domain, any_value(w1) AS weight, sum(cap) AS cap, (SELECT budget FROM root) AS budget FROM leaves GROUP BY ALL),
+{share('d1', 'c1', 'root', 'domain')},
+c2 AS (SELECT l.domain, l.lang, any_value(l.w2) AS weight, sum(l.cap) AS cap, any_value(d1.budget) AS budget
+       FROM leaves l JOIN d1 USING (domain) GROUP BY l.domain, l.lang),
+{share('d2', 'c2', 'domain', 'lang')},
+c3 AS (SELECT l.domain, l.lang, l.source, l.w3 AS weight, l.cap, l.tokens, d2.budget FROM leaves l JOIN d2 USING (domain, lang)),
+{share('d3', 'c3', 'domain, lang', 'source')},
+plan AS (SELECT domain, lang, source, budget, budget // tokens AS epochs, budget % tokens AS rest FROM d3 WHERE budget > 0),
+keyed AS (SELECT s.*, coalesce(p.budget, 0) AS leaf_budget, coalesce(p.epochs, 0) AS epochs, coalesce(p.rest, 0) AS rest,
+    md5('{seed}:' || coalesce(p.epochs, 0) || ':' || s.doc_id) AS key FROM slim s LEFT JOIN plan p USING (domain, lang, source)),
+placed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id) - n_tokens AS place FROM keyed),
+-- a document without words after the cut does not ride along; one before it does
+cut AS (SELECT domain, lang, source, max((key, doc_id::VARCHAR)) AS last FROM placed WHERE place < rest GROUP BY ALL)
+SELECT p.doc_id, p.domain, p.lang, p.source, p.n_tokens, p.leaf_budget::BIGINT AS leaf_budget, p.epochs::BIGINT AS epochs,
+       p.rest > 0 AND p.place < p.rest AS partial,
+       CASE WHEN p.place < p.rest THEN least(p.n_tokens, p.rest - p.place) ELSE 0 END::BIGINT AS partial_tokens,
+       (p.epochs * p.n_tokens + CASE WHEN p.place < p.rest THEN least(p.n_tokens, p.rest - p.place) ELSE 0 END)::BIGINT AS drawn_tokens
+FROM placed p
+"""
+
+
+@_query("op1_mix_sources", _mixing_sql(100, 4, 7))
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.draw(Tables(spark, sf_dir).documents, mixing_tree(), domain_column(), budget_percent=100, max_epochs=4, seed=7)
+
+
+# ---------------------------------------------------------------- 2 quality rules
+
 @_query("op2_repetition_rules")
 def op2_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.measure(Tables(spark, sf_dir).documents)
 
 
+# ---------------------------------------------------------------- 3 url filters
+
+#: The pages' hosting suffixes, under which sites register.
+SUFFIXES = ("example.com", "example.net", "example.org")
+
+
+@_query("op3_host_reputation")
+def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes: the labels with the page's id; bad is low quality or toxic."""
+    t = Tables(spark, sf_dir)
+    bad = F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(),
+                 F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False)))
+    outcomes = t.labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return host_reputation.judge(t.pages, outcomes, suffixes=SUFFIXES)
+
+
+# ---------------------------------------------------------------- 4 near duplicates
+
 @_query("op4_simhash_components")
 def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(Tables(spark, sf_dir).documents)
 
 
+# ---------------------------------------------------------------- 5 - 9
+
+@_query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove(Tables(spark, sf_dir).documents).drop("repeats")
+
+
+@_query("op6_minimax_shards")
+def op6_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(Tables(spark, sf_dir).documents, shards=16)
+
+
+@_query("op7_arrow_tokens")
+def op7_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrow_tokens.round_trip(Tables(spark, sf_dir).documents, public_tokenizers.path("byte_bpe_50k.json")).drop("file")
+
+
+@_query("op8_warc_round_trip")
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(Tables(spark, sf_dir).pages).drop("offset")
+
+
+@_query("op9_byte_bpe")
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.decode(bpe.encode(Tables(spark, sf_dir).documents, ranks, pattern), ranks, pattern, digests=True)
+
+
+# ---------------------------------------------------------------- 10 exact duplicates
+
 _OP10_SQL = r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
