@@ -199,18 +199,12 @@ def mix(
     The rows are not shuffled: the decision joins the (broadcast) leaf plan and the row's own order key.
     """
     tokens = words() if tokens is None else tokens
-    slim = written(
-        docs.select(F.col(id_col).alias("_id"), *_labelled(docs, domain, lang_col, source_col), tokens.alias("n_tokens")), "tokens"
-    )
+    labels = _labelled(docs, domain, lang_col, source_col)
+    slim = written(docs.select(F.col(id_col).alias("_id"), *labels, tokens.alias("n_tokens")), "tokens")
     cuts = _plan(slim, tree, budget_percent, max_epochs, seed)
-    renamed = cuts.select(*[F.col(c).alias(f"_{c}") for c in cuts.columns])
-    on = None
-    for made, level in zip(_labelled(docs, domain, lang_col, source_col), LEVELS, strict=True):
-        part = made == F.col(f"_{level}")
-        on = part if on is None else on & part
-    found = docs.join(F.broadcast(renamed), on)
-    key = _order_key(seed, F.col("_epochs"), F.col(id_col))
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    inside = F.coalesce((key < F.col("_cut_key")) | ((key == F.col("_cut_key")) & (ident <= F.col("_cut_id"))), F.lit(False))
-    times = F.col("_epochs").cast("int") + inside.cast("int")
-    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"), *labels)
+    found = rows.join(F.broadcast(cuts), list(LEVELS))
+    key, ident = _order_key(seed, F.col("epochs"), F.col("_id")), F.coalesce(F.col("_id").cast("string"), F.lit("null"))
+    inside = F.coalesce((key < F.col("cut_key")) | ((key == F.col("cut_key")) & (ident <= F.col("cut_id"))), F.lit(False))
+    times = F.col("epochs").cast("int") + inside.cast("int")
+    return found.select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("_copy")).select("row.*")

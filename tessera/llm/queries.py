@@ -113,7 +113,37 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- 2 quality rules
 
-@_query("op2_repetition_rules")
+def _repetition_sql(rules: repetition.RepetitionRules) -> str:
+    lengths = sorted({*rules.ngram_percent, repetition.BASE_WINDOW})
+    covered = ", ".join(f"coalesce(sum(length(word)) FILTER (n = {n}), 0) AS c{n}" for n in lengths)
+    over = " OR ".join(f"100 * coalesce(c{n}, 0) > {most} * word_chars" for n, most in rules.ngram_percent.items())
+    worst = ", ".join(f"coalesce(c{n}, 0)" for n in rules.ngram_percent)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+base AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols FROM d),
+lines AS (SELECT doc_id, line, count(*) AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
+dup AS (SELECT doc_id, sum(c) AS n_lines, sum(c - 1)::BIGINT AS n_dup_lines,
+    sum((c - 1) * length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')))::BIGINT AS dup_line_chars FROM lines GROUP BY doc_id),
+windows AS (SELECT doc_id, n, i, md5(array_to_string(ws[i:i + n - 1], ' ')) AS k FROM d, (SELECT unnest({lengths}) AS n) l,
+    unnest(generate_series(1, len(ws) - n + 1)) AS t(i)),
+twice AS (SELECT doc_id, n, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, n, k) > 1),
+inside AS (SELECT DISTINCT doc_id, n, p FROM twice, unnest(generate_series(i, i + n - 1)) AS t(p)),
+cover AS (SELECT doc_id, count(*) FILTER (n = {repetition.BASE_WINDOW}) AS n_repeat_words, {covered}
+  FROM (SELECT i.*, d.ws[i.p] AS word FROM inside i JOIN d USING (doc_id)) GROUP BY doc_id),
+joined AS (SELECT b.*, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    n_words < {repetition.BASE_MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {repetition.BASE_MAX_REPEAT_PERCENT} * n_words AS base_failed,
+    {over} OR 100 * coalesce(dup_line_chars, 0) > {rules.line_percent} * word_chars
+      OR 100 * coalesce(n_dup_lines, 0) > {rules.line_count_percent} * coalesce(n_lines, 0) AS too_much,
+    coalesce(dup_line_chars, 0) AS dup_line_chars, greatest({worst})::BIGINT AS dup_ngram_chars
+  FROM base b LEFT JOIN dup USING (doc_id) LEFT JOIN cover USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT too_much AS kept,
+       dup_line_chars, dup_ngram_chars FROM joined
+"""
+
+
+@_query("op2_repetition_rules", _repetition_sql(repetition.RepetitionRules()))
 def op2_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.measure(Tables(spark, sf_dir).documents)
 
@@ -124,7 +154,52 @@ def op2_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 SUFFIXES = ("example.com", "example.net", "example.org")
 
 
-@_query("op3_host_reputation")
+def _reputation_sql() -> str:
+    listed = "".join(f" WHEN host = '{x}' OR ends_with(host, '.{x}') THEN '{x}'" for x in sorted(SUFFIXES, key=len, reverse=True))
+    fits = []
+    for r in sorted(host_reputation.RULES, key=lambda r: -len(r.text)):
+        name, _, prefix = r.text.partition("/")
+        fits.append((f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{prefix}')", r))
+    rule = "".join(f" WHEN {c} THEN '{r.text}'" for c, r in fits)
+    verdict = "".join(f" WHEN {c} THEN '{'allow' if r.allow else 'block'}'" for c, r in fits)
+
+    def prior(name: str, child: str, parent: str, key: str) -> str:
+        """Pseudo-pages from the pooled intraclass correlation of the children within their parents."""
+        return f"""
+{name}_s AS (SELECT count(*) AS k, count(DISTINCT c.{key}) AS g, sum(c.n) AS n, sum(c.n * pow(c.b / c.n - p.b / p.n, 2)) AS ssb,
+    sum(c.b * (1 - c.b / c.n)) AS ssw, sum(c.n * c.n / p.n) AS load FROM {child} c JOIN {parent} p USING ({key}) WHERE c.n > 0),
+{name}_v AS (SELECT *, ssb / (k - g) AS msb, ssw / (n - k) AS msw, (n - load) / (k - g) AS n0 FROM {name}_s),
+{name} AS (SELECT CASE WHEN k = 0 OR k = g OR n = k OR msb - msw <= 0 THEN {host_reputation.MAX_PRIOR}
+    ELSE least(greatest((1 - (msb - msw) / (msb + (n0 - 1) * msw)) / ((msb - msw) / (msb + (n0 - 1) * msw)),
+                        {host_reputation.MIN_PRIOR}), {host_reputation.MAX_PRIOR}) END AS m FROM {name}_v)"""
+
+    return rf"""
+WITH r AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+o AS (SELECT doc_id AS page_id, (coalesce(quality = 0, false) OR coalesce(toxic = 1, false))::INT AS bad FROM labels
+  WHERE quality IS NOT NULL OR toxic IS NOT NULL),
+h0 AS (SELECT host, count(o.page_id)::DOUBLE AS n, coalesce(sum(o.bad), 0)::DOUBLE AS b FROM p LEFT JOIN o USING (page_id) GROUP BY host),
+h1 AS (SELECT *, CASE{listed} ELSE split_part(host, '.', -1) END AS suffix FROM h0),
+h AS (SELECT *, CASE WHEN host = suffix THEN host
+    ELSE split_part(substr(host, 1, length(host) - length(suffix) - 1), '.', -1) || '.' || suffix END AS domain FROM h1),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(b) AS b FROM h GROUP BY ALL),
+s AS (SELECT suffix, 0 AS root, sum(n) AS n, sum(b) AS b FROM d GROUP BY ALL),
+a AS (SELECT 0 AS root, sum(n) AS n, sum(b) AS b FROM s),
+{prior('m1', 's', 'a', 'root')},
+{prior('m2', 'd', 's', 'suffix')},
+{prior('m3', 'h', 'd', 'domain')},
+s2 AS (SELECT suffix, (s.b + m * ((a.b + 1) / (a.n + 2))) / (s.n + m) AS p1 FROM s, a, m1),
+d2 AS (SELECT domain, (b + m * p1) / (n + m) AS p2 FROM d JOIN s2 USING (suffix), m2),
+h2 AS (SELECT host, n, b, b + m * p2 AS al, n - b + m * (1 - p2) AS be FROM h JOIN d2 USING (domain), m3),
+h3 AS (SELECT host, n, b, al / (al + be) - {host_reputation.Z} * sqrt(al / (al + be) * (1 - al / (al + be)) / (al + be + 1))
+    > {host_reputation.THRESHOLD} AS blocked FROM h2)
+SELECT page_id, host, path, CASE{rule} END AS rule, CASE{verdict} WHEN blocked THEN 'block' ELSE 'allow' END AS verdict,
+       n::BIGINT AS n_labelled, b::BIGINT AS n_bad FROM p JOIN h3 USING (host)
+"""
+
+
+@_query("op3_host_reputation", _reputation_sql())
 def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes: the labels with the page's id; bad is low quality or toxic."""
     t = Tables(spark, sf_dir)
@@ -143,7 +218,19 @@ def op4_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- 5 - 9
 
-@_query("op5_substring_dedup")
+_OP5_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM d, unnest(generate_series(1, len(ws) - 49)) AS t(i)),
+later AS (SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY k) < doc_id),
+gone AS (SELECT DISTINCT doc_id, p FROM later, unnest(generate_series(i, i + 49)) AS t(p)),
+kept AS (SELECT d.doc_id, string_agg(d.ws[p], ' ' ORDER BY p) AS words, count(*) AS n FROM d, unnest(generate_series(1, len(ws))) AS t(p)
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = d.doc_id AND g.p = t.p) GROUP BY d.doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@_query("op5_substring_dedup", _OP5_SQL)
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove(Tables(spark, sf_dir).documents).drop("repeats")
 
@@ -158,7 +245,16 @@ def op7_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_tokens.round_trip(Tables(spark, sf_dir).documents, public_tokenizers.path("byte_bpe_50k.json")).drop("file")
 
 
-@_query("op8_warc_round_trip")
+_OP8_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS lead_id FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN lead_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN lead_id <> page_id THEN lead_id END AS refers_to
+FROM m
+"""
+
+
+@_query("op8_warc_round_trip", _OP8_SQL)
 def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(Tables(spark, sf_dir).pages).drop("offset")
 

@@ -74,7 +74,7 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp)`` per row, the fingerprint as a signed long."""
+    """``(_id, fp)`` per row, the fingerprint as a signed long."""
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     kind = slim.schema["_id"].dataType.simpleString()
 
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.fromiter((fingerprint(v or b"", shingle) for v in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["_id", "fp"])
 
-    return slim.mapInArrow(run, f"_id {kind}, fp long").withColumnRenamed("_id", id_col)
+    return slim.mapInArrow(run, f"_id {kind}, fp long")
 
 
 def _ball(width: int, radius: int) -> list[int]:
@@ -146,7 +146,7 @@ def components(
 ) -> DataFrame:
     """One row per input row: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable)."""
     fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = written(fps.groupBy("fp").agg(F.min(id_col).alias("rep")), "distinct-fp")
+    distinct = written(fps.groupBy("fp").agg(F.min("_id").alias("rep")), "distinct-fp")
     found = connected_components(links(distinct.select("fp"), distance, dense=dense))
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root")
@@ -154,7 +154,7 @@ def components(
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_fp = rooted.join(smallest, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(
-        F.col(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
@@ -164,4 +164,4 @@ def dedup(
     """The rows of ``docs`` whose id leads its component (rows with a null id stay when their component has no id)."""
     lead = components(docs, id_col, text_col, shingle, distance).where(F.col(id_col).eqNullSafe(F.col("component_id")))
     lead = lead.select(F.col(id_col).alias("_lead")).distinct()
-    return docs.join(lead, docs[id_col].eqNullSafe(F.col("_lead")), "left_semi")
+    return docs.join(lead, docs[id_col].eqNullSafe(lead["_lead"]), "left_semi")
