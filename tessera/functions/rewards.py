@@ -55,14 +55,24 @@ def _equation_value(eq: pd.Series) -> pd.Series:
 
 def equation_reward(completion, target, nums) -> Column:
     """1.0 when the answer uses exactly the given numbers (as a multiset), only
-    digits/operators/parentheses/spaces, and evaluates within 1e-5 of the target."""
+    digits/operators/parentheses/spaces, and evaluates within 1e-5 of the target.
+    A number beyond 38 digits or a target that is no number scores 0."""
     full = F.concat(F.lit("<think>"), _c(completion))
     has = full.rlike(ANSWER_PATTERN)
     eq = F.trim(F.regexp_extract(full, ANSWER_PATTERN, 1))
-    used = F.array_sort(F.transform(F.regexp_extract_all(eq, F.lit(r"(\d+)"), 1), lambda x: x.cast("long")))
-    same = used == F.array_sort(F.transform(_c(nums), lambda x: x.cast("long")))
+    used = F.array_sort(F.transform(F.regexp_extract_all(eq, F.lit(r"(\d+)"), 1), lambda x: F.coalesce(x.try_cast("decimal(38,0)"), F.lit(-1).cast("decimal(38,0)"))))
+    same = used == F.array_sort(F.transform(_c(nums), lambda x: x.cast("decimal(38,0)")))
     allowed = eq.rlike(ALLOWED_PATTERN)
     ok = has & same & allowed
     val = _equation_value(F.when(ok, eq))
-    good = ok & ~F.isnan(val) & (F.abs(val - _c(target).cast("double")) < 1e-5)
+    good = ok & ~F.isnan(val) & F.coalesce(F.abs(val - _c(target).try_cast("double")) < 1e-5, F.lit(False))
     return F.when(good, 1.0).otherwise(0.0)
+
+
+def group_reward_stats(df, prompt: str, reward: str):
+    """each completion's reward with the mean and standard deviation of its prompt's rewards and the
+    advantage ``(reward - mean) / (std + 1e-4)`` (std 0 for a single completion)."""
+    stats = df.groupBy(prompt).agg(
+        F.avg(reward).alias("reward_mean"), F.coalesce(F.stddev_samp(reward), F.lit(0.0)).alias("reward_std"))
+    out = df.join(stats, prompt)
+    return out.withColumn("advantage", (F.col(reward) - F.col("reward_mean")) / (F.col("reward_std") + 1e-4))

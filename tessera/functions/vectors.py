@@ -24,7 +24,8 @@ def l2_distance(a, b) -> Column:
 
 
 def cosine_similarity(a, b) -> Column:
-    return dot(a, b) / (l2_norm(a) * l2_norm(b))
+    """Null for a zero vector."""
+    return F.try_divide(dot(a, b), l2_norm(a) * l2_norm(b))
 
 
 def vec_add(a, b) -> Column:

@@ -14,23 +14,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_ONE_HOT = 1000  # distinct values above this go through StringIndexer + OneHotEncoder instead
-
 
 def one_hot(df: DataFrame, cols: list[str], categories: dict | None = None, drop: bool = True) -> DataFrame:
     """G1: integer 0/1 indicator per (column, value) in sorted value order; null -> all zeros.
 
-    Category lists are read with one distinct per column and must stay below
-    ``MAX_ONE_HOT`` (use :func:`dict_vectorize` for high cardinality).
+    One column per distinct value, so the values are gathered on the driver: for
+    columns of few categories.  :func:`one_hot_sparse` is the path for many.
     """
     categories = dict(categories or {})
     out = df
     for c in cols:
         if c not in categories:
-            vals = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(MAX_ONE_HOT + 1).collect()]
-            if len(vals) > MAX_ONE_HOT:
-                raise ValueError(f"{c}: more than {MAX_ONE_HOT} categories; use dict_vectorize")
-            categories[c] = sorted(vals)
+            categories[c] = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect())
         out = out.select("*", *[F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
                                 for v in categories[c]])
         if drop:
@@ -38,6 +33,25 @@ def one_hot(df: DataFrame, cols: list[str], categories: dict | None = None, drop
     return out
 
 
+def one_hot_sparse(df: DataFrame, cols: list[str], out: str = "onehot") -> DataFrame:
+    """G1 for any number of categories: ``out`` holds the indices of the row's indicators.
+
+    Each ``(column, value)`` gets a dense index in (column, sorted value) order by
+    a distributed row number; rows meet their index by a join, null values have none.
+    """
+    from tessera.operators.ranking import global_row_number
+
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols]))
+    index = df.select(pairs.alias("p")).select("p.c", "p.v").where("v is not null").distinct()
+    index = global_row_number(index, ["c", "v"], "i")
+    res = df
+    for c in cols:
+        own = index.where(F.col("c") == c).select(F.col("v").alias(f"_v_{c}"), (F.col("i") - 1).alias(f"_i_{c}"))
+        res = res.join(own, F.col(c).cast("string") == F.col(f"_v_{c}"), "left")
+    found = F.array_compact(F.array(*[F.col(f"_i_{c}") for c in cols]))
+    return res.select(*[c for c in df.columns if c not in cols], found.alias(out))
+
+
 def graph_features(tx: DataFrame, key: str, cat_cols: list[str], amount: str, label: str) -> tuple[DataFrame, DataFrame]:
     """``(features, tags)``: key first, one-hot categoricals, ``log10(amount)``; tags = key + label."""
     feats = one_hot(tx.select(key, *cat_cols, amount), cat_cols).withColumn(amount, F.log10(amount))
@@ -71,19 +85,21 @@ def hash_features(df: DataFrame, cols: list[str], n: int, out: str = "features")
 
 
 def standardize(df: DataFrame, cols: list[str], eps: float = 0.0, fit: DataFrame | None = None) -> DataFrame:
-    """``(x - mean) / (population std + eps)``; statistics from ``fit`` when given (one row)."""
+    """``(x - mean) / (population std + eps)``; statistics from ``fit`` when given (one row).
+    A constant column (divisor 0) gives null."""
     src = fit if fit is not None else df
     st = src.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
     return df.select(*[c for c in df.columns if c not in cols],
-                     *[((F.col(c) - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"] + eps)).alias(c) for c in cols])
+                     *[F.try_divide(F.col(c) - F.lit(st[f"m_{c}"]), F.lit(st[f"s_{c}"]) + F.lit(float(eps))).alias(c)
+                       for c in cols])
 
 
 def minmax(df: DataFrame, cols: list[str], fit: DataFrame | None = None) -> DataFrame:
-    """``(x - min) / (max - min)``."""
+    """``(x - min) / (max - min)``; null for a constant column."""
     src = fit if fit is not None else df
     st = src.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
     return df.select(*[c for c in df.columns if c not in cols],
-                     *[((F.col(c) - F.lit(st[f"lo_{c}"])) / F.lit(st[f"hi_{c}"] - st[f"lo_{c}"])).alias(c)
+                     *[F.try_divide((F.col(c) - F.lit(st[f"lo_{c}"])).cast("double"), (F.lit(st[f"hi_{c}"]) - F.lit(st[f"lo_{c}"])).cast("double")).alias(c)
                        for c in cols])
 
 

@@ -40,10 +40,10 @@ def attach_labels(df: DataFrame, labels: DataFrame, key: str, label: str) -> Dat
 
 
 def zip_rows(a: DataFrame, b: DataFrame, pos_col: str = "pos") -> DataFrame:
-    """Pair the i-th row of ``a`` with the i-th row of ``b`` (read order).
+    """Pair the i-th row of ``a`` with the i-th row of ``b``.
 
-    Positions are dense and computed per file split, so the result does not
-    depend on both inputs happening to split identically.
+    File-backed inputs are numbered in file order (path, then place in the
+    file); see :func:`tessera.operators.ranking.row_position`.
     """
     pa = row_position(a, pos_col)
     pb = row_position(b, pos_col)
@@ -51,16 +51,13 @@ def zip_rows(a: DataFrame, b: DataFrame, pos_col: str = "pos") -> DataFrame:
 
 
 def lookup_ids(tokens: DataFrame, vocab: DataFrame, token_col: str = "token", id_col: str = "token_id",
-               unk_id: int = 0, vocab_bound: int | None = None) -> DataFrame:
+               unk_id: int = 0) -> DataFrame:
     """Dictionary lookup with a default id for unknown tokens.
 
-    ``vocab_bound`` is the caller's static bound on the vocabulary size (e.g. the
-    ``k`` of a top-k vocabulary); only then is the vocabulary broadcast.
+    No hint: adaptive execution broadcasts the vocabulary when its measured size
+    allows it and splits frequent tokens otherwise.
     """
-    v = vocab.select(token_col, id_col)
-    if vocab_bound is not None and vocab_bound <= 2_000_000:
-        v = F.broadcast(v)
-    out = tokens.join(v, token_col, "left")
+    out = tokens.join(vocab.select(token_col, id_col), token_col, "left")
     return out.withColumn(id_col, F.coalesce(F.col(id_col), F.lit(unk_id)))
 
 

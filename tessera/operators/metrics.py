@@ -64,8 +64,9 @@ def pr_curve(df: DataFrame, y_true: str = "y_true", score: str = "score") -> Dat
 
 def auc_summary(df: DataFrame, y_true: str = "y_true", score: str = "score") -> DataFrame:
     """V2: ROC AUC (trapezoids over the grouped curve = rank-sum with ties at 1/2),
-    PR AUC (trapezoids over recall with the (0, 1) start point) and average precision."""
-    tot = df.agg(F.sum(F.col(y_true)).alias("P"), F.count(F.lit(1)).alias("N")).first()
+    PR AUC (trapezoids over recall with the (0, 1) start point) and average precision.
+    Null where a class is missing."""
+    tot = df.agg(F.coalesce(F.sum(F.col(y_true)), F.lit(0)).alias("P"), F.count(F.lit(1)).alias("N")).first()
     P, N = float(tot["P"]), float(tot["N"] - tot["P"])
     t = _score_table(df, y_true, score)
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
@@ -73,20 +74,20 @@ def auc_summary(df: DataFrame, y_true: str = "y_true", score: str = "score") ->
     prec = tp / (tp + fp)
     prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(1.0)
     return t.agg(
-        (F.sum((fp - fp0) * (tp + tp0) / 2.0) / (P * N)).alias("roc_auc"),
-        (F.sum((tp - tp0) / P * (prec + prec0) / 2.0)).alias("pr_auc"),
-        (F.sum((tp - tp0) / P * prec)).alias("average_precision"),
+        F.try_divide(F.sum((fp - fp0) * (tp + tp0) / 2.0), F.lit(P * N)).alias("roc_auc"),
+        (F.sum(F.try_divide(tp - tp0, F.lit(P)) * (prec + prec0) / 2.0)).alias("pr_auc"),
+        (F.sum(F.try_divide(tp - tp0, F.lit(P)) * prec)).alias("average_precision"),
     )
 
 
 def auc_rank(df: DataFrame, y_true: str = "y_true", score: str = "score") -> DataFrame:
     """V2: ROC AUC from ranks: sum over positives of (#negatives below + #negatives tied / 2)."""
-    tot = df.agg(F.sum(F.col(y_true)).alias("P"), F.count(F.lit(1)).alias("N")).first()
+    tot = df.agg(F.coalesce(F.sum(F.col(y_true)), F.lit(0)).alias("P"), F.count(F.lit(1)).alias("N")).first()
     P, N = float(tot["P"]), float(tot["N"] - tot["P"])
     per = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(y_true).cast("double")).alias("pos"), F.sum((1 - F.col(y_true)).cast("double")).alias("neg"))
     t = global_cumsum(per, ["threshold"], ["neg"])
-    return t.agg((F.sum(F.col("pos") * (F.col("neg_cum") - F.col("neg") / 2.0)) / (P * N)).alias("roc_auc"))
+    return t.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_cum") - F.col("neg") / 2.0)), F.lit(P * N)).alias("roc_auc"))
 
 
 # ------------------------------------------------------------- V3
@@ -167,7 +168,8 @@ def forecast_metrics(df: DataFrame, key, ts: str, actual: str = "actual", predic
     Percentage errors are not multiplied by 100; ``EPSILON = 1e-10`` guards
     divisions; the naive benchmark is the actual ``seasonality`` steps back.
     std_ae / std_ape keep the reference's definition (spread of the signed
-    error around MAE / MAPE).
+    error around MAE / MAPE).  A metric whose divisor is 0 (a constant or
+    one-row series) is null.
     """
     keys = [key] if isinstance(key, str) else list(key)
     names = names or FORECAST_METRICS
@@ -192,22 +194,22 @@ def forecast_metrics(df: DataFrame, key, ts: str, actual: str = "actual", predic
     mae_naive = F.avg(F.abs(nd))
     exprs = {
         "mse": F.avg(e * e), "rmse": F.sqrt(F.avg(e * e)),
-        "nrmse": F.sqrt(F.avg(e * e)) / (F.max("a") - F.min("a")),
+        "nrmse": F.try_divide(F.sqrt(F.avg(e * e)), F.max("a") - F.min("a")),
         "me": F.avg(e), "mae": mae, "mad": mae, "gmae": _gmean_abs(e),
         "mdae": F.percentile(F.abs(e), 0.5), "mpe": F.avg(pe), "mape": mape,
         "mdape": F.percentile(F.abs(pe), 0.5), "smape": F.avg(sape), "smdape": F.percentile(sape, 0.5),
         "maape": F.avg(F.atan(F.abs((F.col("a") - F.col("p")) / (F.col("a") + EPSILON)))),
-        "mase": mae / mae_naive,
-        "std_ae": F.sqrt((F.sum(e * e) - 2 * mae * F.sum(e) + n * mae * mae) / (n - 1)),
-        "std_ape": F.sqrt((F.sum(pe * pe) - 2 * mape * F.sum(pe) + n * mape * mape) / (n - 1)),
+        "mase": F.try_divide(mae, mae_naive),
+        "std_ae": F.sqrt(F.try_divide(F.sum(e * e) - 2 * mae * F.sum(e) + n * mae * mae, n - 1)),
+        "std_ape": F.sqrt(F.try_divide(F.sum(pe * pe) - 2 * mape * F.sum(pe) + n * mape * mape, n - 1)),
         "rmspe": F.sqrt(F.avg(pe * pe)), "rmdspe": F.sqrt(F.percentile(pe * pe, 0.5)),
-        "rmsse": F.sqrt(F.avg(e * e)) / mae_naive,
-        "inrse": F.sqrt(F.sum(e * e) / sst), "rrse": F.sqrt(F.sum(e * e) / sst),
+        "rmsse": F.try_divide(F.sqrt(F.avg(e * e)), mae_naive),
+        "inrse": F.sqrt(F.try_divide(F.sum(e * e), sst)), "rrse": F.sqrt(F.try_divide(F.sum(e * e), sst)),
         "mre": F.avg(re), "rae": F.sum(F.abs(e)) / (F.sum(F.abs(F.col("a") - F.col("_mean"))) + EPSILON),
         "mrae": F.avg(F.abs(re)), "mdrae": F.percentile(F.abs(re), 0.5), "gmrae": _gmean_abs(re),
-        "mbrae": F.avg(bre), "umbrae": F.avg(bre) / (1 - F.avg(bre)),
+        "mbrae": F.avg(bre), "umbrae": F.try_divide(F.avg(bre), 1 - F.avg(bre)),
         "mda": F.avg(F.col("dir").cast("double")), "bias": F.avg(e),
-        "r2": 1 - F.sum(e * e) / sst,
+        "r2": 1 - F.try_divide(F.sum(e * e), sst),
     }
     wide = base.groupBy(*keys).agg(*[exprs[m].cast("double").alias(m) for m in names])
     return wide.unpivot(keys, names, "metric", "value")

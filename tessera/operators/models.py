@@ -402,10 +402,19 @@ def gbt_fraud(train: DataFrame, features: str, label: str, valid_col: str | None
 
 
 def score_batches(df: DataFrame, model, batch_rows: int = 500) -> DataFrame:
-    """Batched scoring; the Arrow batch size bounds the rows per Python call when a
-    Python model is used, and a Spark model scores in the JVM."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
-    return model.transform(df)
+    """Batched scoring.  A Spark model scores in the JVM; any other ``model`` is a function from a
+    pandas frame to one score per row and is called on at most ``batch_rows`` rows at a time."""
+    if hasattr(model, "transform"):
+        return model.transform(df)
+
+    def run(frames):
+        for frame in frames:
+            for k in range(0, len(frame), batch_rows):
+                part = frame.iloc[k : k + batch_rows]
+                yield part.assign(prediction=[float(x) for x in model(part)])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInPandas(run, f"{fields}, prediction double")
 
 
 def search(estimator, grid: dict, evaluator, train: DataFrame, random: int | None = None, seed: int = 0,

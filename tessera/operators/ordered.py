@@ -12,12 +12,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import epoch_seconds
+from tessera.session import cut_lineage
 
 
 def _cols(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def _with_carry(df: DataFrame, carry: DataFrame, keys: list, cols: list[str]) -> DataFrame:
+    """``df`` with ``cols`` of its chunk's row in ``carry``; null keys and chunks match each other."""
+    right = carry.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *cols)
+    on = None
+    for i, k in enumerate(keys):
+        part = F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        on = part if on is None else on & part
+    return df.join(right, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+
+
 # ------------------------------------------------------------------ lag
 
 def add_lag(df: DataFrame, key, order, col: str, out: str | None = None, wrap: bool = False,
@@ -39,10 +50,10 @@ def add_lag(df: DataFrame, key, order, col: str, out: str | None = None, wrap: b
     carry = df.groupBy(*keys, chunk).agg(F.max_by(F.col(col), order_struct).alias("_last"))
     wk = Window.partitionBy(*keys).orderBy(chunk)  # one row per chunk
     carry = carry.withColumn("_prev", F.lag("_last").over(wk))
-    if wrap:
-        carry = carry.withColumn("_prev", F.coalesce(
-            F.col("_prev"), F.last("_last").over(wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    res = res.join(carry.select(*keys, chunk, "_prev"), [*keys, chunk], "left")
+    if wrap:  # only the key's first chunk wraps; a null carried from an earlier chunk stays null
+        final = F.last("_last").over(wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        carry = carry.withColumn("_prev", F.when(F.row_number().over(wk) == 1, final).otherwise(F.col("_prev")))
+    res = _with_carry(res, carry, [*keys, chunk], ["_prev"])
     return res.withColumn(out, F.when(F.col("_first"), F.col("_prev")).otherwise(F.col(out))).drop("_first", "_prev")
 
 
@@ -61,7 +72,7 @@ def cumulative_sum(df: DataFrame, key, order, cols: list[str], chunk: str | None
     tot = df.groupBy(*keys, chunk).agg(*[F.sum(c).alias("_t_" + c) for c in cols])
     wk = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, chunk, *[F.coalesce(F.sum("_t_" + c).over(wk), F.lit(0)).alias("_p_" + c) for c in cols])
-    res = res.join(tot, [*keys, chunk], "left")
+    res = _with_carry(res, tot, [*keys, chunk], ["_p_" + c for c in cols])
     return res.select(*df.columns, *[(F.col("_l_" + c) + F.col("_p_" + c)).alias(c + suffix) for c in cols])
 
 
@@ -131,28 +142,48 @@ def drop_first(df: DataFrame, key, order, n: int) -> DataFrame:
 
 def apply_orders(lines: DataFrame, stock: DataFrame, order_col: str = "order_id", item: str = "item_id",
                  qty: str = "qty", stock_qty: str = "quantity_in_stock") -> DataFrame:
-    """Atomic multi-line order check against the current stock.
-
-    Each order is judged as one request: ``invalid_request`` if a quantity is
-    missing or not positive, else ``no_match`` if an item is unknown, else
-    ``insufficient_stock`` if a line asks for more than the stock, else
-    ``success``.  Nothing of an order is applied unless all its lines pass;
-    the stock left after all successful orders is returned by :func:`stock_after`.
+    """Atomic multi-line orders in ``order_col`` order, each against the stock left by those before it.
+
+    An order is ``invalid_request`` if a quantity is missing or not positive,
+    else ``no_match`` if an item is unknown, else ``insufficient_stock`` if
+    some item is asked for beyond what earlier successful orders left, else
+    ``success``; nothing of an order is applied unless it succeeds.
+
+    The sequence is decided in rounds.  An open order succeeds when every one
+    of its items has room even if all earlier open orders succeed, and fails
+    when some item has no room even if they all fail.  The first open order of
+    each item chain is always decided, so the rounds end; each is one running
+    sum per item and a cut of the lineage.
     """
-    j = lines.join(stock.select(item, stock_qty), item, "left")
-    per = j.groupBy(order_col).agg(
-        F.count_if(F.col(qty).isNull() | (F.col(qty) <= 0)).alias("_bad"),
-        F.count_if(F.col(stock_qty).isNull()).alias("_missing"),
-        F.count_if(F.col(qty) > F.col(stock_qty)).alias("_short"),
-        F.count(F.lit(1)).alias("n_lines"))
-    status = (F.when(F.col("_bad") > 0, "invalid_request").when(F.col("_missing") > 0, "no_match")
-              .when(F.col("_short") > 0, "insufficient_stock").otherwise("success"))
-    return per.select(order_col, "n_lines", status.alias("status"))
+    asked = lines.groupBy(order_col, item).agg(
+        F.sum(qty).alias("_q"), F.count_if(F.col(qty).isNull() | (F.col(qty) <= 0)).alias("_bad"), F.count(F.lit(1)).alias("_n"))
+    asked = asked.join(stock.select(item, F.col(stock_qty).alias("_s")), item, "left")
+    per = cut_lineage(asked.groupBy(order_col).agg(
+        F.sum("_n").alias("n_lines"),
+        F.when(F.sum("_bad") > 0, "invalid_request").when(F.count_if(F.col("_s").isNull()) > 0, "no_match").alias("status")))
+    state = cut_lineage(
+        asked.join(per.where("status is null").select(order_col), order_col, "left_semi")
+        .select(order_col, item, "_q", "_s", F.lit(None).cast("boolean").alias("_ok")))
+    while True:
+        before = Window.partitionBy(item).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+        sure = F.coalesce(F.sum(F.when(F.col("_ok"), F.col("_q"))).over(before), F.lit(0))
+        most = F.coalesce(F.sum(F.when(F.coalesce("_ok", F.lit(True)), F.col("_q"))).over(before), F.lit(0))
+        room = state.select("*", (most + F.col("_q") <= F.col("_s")).alias("_fits"), (sure + F.col("_q") > F.col("_s")).alias("_short"))
+        verdict = room.where("_ok is null").groupBy(order_col).agg(
+            F.when(F.max("_short"), False).when(F.min("_fits"), True).alias("_new")).where("_new is not null")
+        state = cut_lineage(
+            state.join(verdict, order_col, "left").select(order_col, item, "_q", "_s", F.coalesce("_ok", "_new").alias("_ok")))
+        if not state.where("_ok is null").limit(1).count():
+            break
+    done = state.groupBy(order_col).agg(F.max("_ok").alias("_ok"))
+    return per.join(done, order_col, "left").select(
+        order_col, "n_lines",
+        F.coalesce("status", F.when(F.col("_ok"), "success").otherwise("insufficient_stock")).alias("status"))
 
 
 def stock_after(lines: DataFrame, stock: DataFrame, statuses: DataFrame, order_col: str = "order_id",
                 item: str = "item_id", qty: str = "qty", stock_qty: str = "quantity_in_stock") -> DataFrame:
-    """Stock minus the demand of the successful orders (each judged against the opening stock)."""
+    """Stock minus the demand of the successful orders (never negative)."""
     ok = lines.join(statuses.where(F.col("status") == "success").select(order_col), order_col, "left_semi")
     demand = ok.groupBy(item).agg(F.sum(qty).alias("_d"))
     return stock.join(demand, item, "left").withColumn(
@@ -163,12 +194,12 @@ def stock_after(lines: DataFrame, stock: DataFrame, statuses: DataFrame, order_c
 
 def rolling_stats(df: DataFrame, key, ts: str, col: str, days: int = 7) -> DataFrame:
     """Trailing ``days`` window (by time, inclusive) mean/std per key and the
-    z-score of each value against it."""
+    z-score of each value against it (null where all values of the window are equal)."""
     keys = _cols(key)
     secs = epoch_seconds(ts)
     w = Window.partitionBy(*keys).orderBy(secs).rangeBetween(-days * 86400, 0)
     d = df.withColumn("roll_mean", F.avg(col).over(w)).withColumn("roll_std", F.stddev_samp(col).over(w))
-    return d.withColumn("z", (F.col(col) - F.col("roll_mean")) / F.col("roll_std"))
+    return d.withColumn("z", F.try_divide(F.col(col) - F.col("roll_mean"), F.col("roll_std")))
 
 
 def difference(df: DataFrame, key, order, col: str, lag: int = 1, out: str | None = None,
@@ -204,7 +235,7 @@ def detrend(df: DataFrame, key, x: str, y: str, out: str | None = None) -> DataF
 
 def acf(df: DataFrame, key, order, col: str, lags: list[int]) -> DataFrame:
     """H5: autocorrelation per key and lag in the usual estimator form
-    ``sum((x_t - m)(x_{t-k} - m)) / sum((x_t - m)^2)``."""
+    ``sum((x_t - m)(x_{t-k} - m)) / sum((x_t - m)^2)`` (null for a constant series)."""
     keys = _cols(key)
     w = Window.partitionBy(*keys).orderBy(*_cols(order))
     m = df.groupBy(*keys).agg(F.avg(col).alias("_m"), F.sum(F.lit(1)).alias("_n"))
@@ -214,7 +245,7 @@ def acf(df: DataFrame, key, order, col: str, lags: list[int]) -> DataFrame:
                                *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_num{k}") for k in lags])
     long = agg.select(*keys, "_den", F.explode(F.array(*[
         F.struct(F.lit(k).alias("lag"), F.col(f"_num{k}").alias("num")) for k in lags])).alias("_e"))
-    return long.select(*keys, F.col("_e.lag").alias("lag"), (F.col("_e.num") / F.col("_den")).alias("acf"))
+    return long.select(*keys, F.col("_e.lag").alias("lag"), F.try_divide("_e.num", "_den").alias("acf"))
 
 
 # ----------------------------------------- suffix recurrences
@@ -232,33 +263,33 @@ def suffix_discounted_sum(df: DataFrame, key, pos: str, val: str, gamma: float,
                           block: int = 256) -> DataFrame:
     """``out_t = sum_{k >= t} gamma^(k-t) * val_k`` per key, ``pos`` dense 0-based.
 
-    Windows run per ``(key, pos div block)`` so no task holds more than
-    ``block`` rows of a key, and the powers of ``gamma`` stay within
-    ``gamma^block`` (no underflow, unlike ``sum(gamma^k r_k) / gamma^t``).
-    Blocks are stitched by the same recurrence one level up
-    (``gamma^block`` per block), recursively until one block is left per key.
+    The rows of a block of ``block`` positions are folded from the right
+    (``acc = val + gamma * acc``): nothing is divided, so small ``gamma`` and long
+    trajectories only let products go to 0.  Blocks are stitched by the same
+    recurrence one level up with ``gamma^block`` per block, recursively until
+    one block is left per key; no task holds more than ``block`` rows of a key
+    at a time.  A null value counts as 0.
     """
     if block < 2:
         raise ValueError("block must be at least 2 (each level must shrink the sequence)")
     keys = _cols(key)
     g = F.lit(float(gamma))
-    d = df.withColumn("_b", F.floor(F.col(pos) / block).cast("long")).withColumn(
-        "_o", F.col(pos) - F.col("_b") * block)
-    wb = (Window.partitionBy(*keys, "_b").orderBy(F.desc(pos))
-          .rowsBetween(Window.unboundedPreceding, 0))
-    # local suffix inside the block, referenced to the block start, then moved to t
-    d = d.withColumn("_s", F.sum(F.pow(g, F.col("_o")) * F.col(val)).over(wb))
-    d = d.withColumn("_loc", F.col("_s") / F.pow(g, F.col("_o")))
-    starts = d.where(F.col("_o") == 0).select(*keys, F.col("_b").alias("_bp"), F.col("_loc").alias("_L"))
-    n_blocks = starts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if n_blocks <= 1:
-        return d.withColumn(out, F.col("_loc")).drop("_b", "_o", "_s", "_loc")
+    d = df.withColumn("_b", F.floor(F.col(pos) / block).cast("long"))
+    later = Window.partitionBy(*keys, "_b").orderBy(pos).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    value = F.coalesce(F.col(val).cast("double"), F.lit(0.0))
+    d = d.withColumn("_loc", F.aggregate(
+        F.reverse(F.collect_list(value).over(later)), F.lit(0.0), lambda acc, x: x + g * acc))
+    starts = d.where(F.col(pos) == F.col("_b") * block).select(*keys, F.col("_b").alias("_bp"), F.col("_loc").alias("_L"))
+    most = starts.agg(F.max("_bp")).first()[0] or 0
+    if most < 1:
+        return d.withColumn(out, F.col("_loc")).drop("_b", "_loc")
     # value at the start of every block, from the block-level recurrence
     blk = suffix_discounted_sum(starts, keys, "_bp", "_L", gamma ** block, "_G", block)
-    nxt = blk.select(*keys, (F.col("_bp") - 1).alias("_b"), F.col("_G").alias("_Gnext"))
-    d = d.join(nxt, [*keys, "_b"], "left")
-    carry = F.coalesce(F.col("_Gnext") * F.pow(g, F.lit(block) - F.col("_o")), F.lit(0.0))
-    return d.withColumn(out, F.col("_loc") + carry).drop("_b", "_o", "_s", "_loc", "_Gnext")
+    nxt = blk.select(*keys, (F.col("_bp") - 1).alias("_nb"), F.col("_G").alias("_Gnext"))
+    nxt = nxt.withColumnRenamed("_nb", "_b")
+    d = _with_carry(d, nxt, [*keys, "_b"], ["_Gnext"])
+    carry = F.coalesce(F.col("_Gnext") * F.pow(g, (F.col("_b") + 1) * block - F.col(pos)), F.lit(0.0))
+    return d.withColumn(out, F.col("_loc") + carry).drop("_b", "_loc", "_Gnext")
 
 
 def discounted_returns(df: DataFrame, traj, t: str, reward: str, gamma: float, out: str = "G",
@@ -279,7 +310,7 @@ def gae(df: DataFrame, traj, t: str, logp: str, ref_logp: str, value: str, score
     keys = _cols(traj)
     w = Window.partitionBy(*keys).orderBy(t)
     d = df.withColumn("_next_v", F.coalesce(F.lead(value).over(w), F.lit(0.0)))
-    d = d.withColumn("_last", F.lead(value).over(w).isNull())
+    d = d.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
     reward = -kl_coef * (F.col(logp) - F.col(ref_logp)) + F.when(F.col("_last"), F.col(score)).otherwise(0.0)
     d = d.withColumn("reward", reward).withColumn(
         "_delta", F.col("reward") + gamma * F.col("_next_v") - F.col(value))
@@ -302,7 +333,7 @@ def add_lead(df: DataFrame, key, order, col: str, out: str | None = None, chunk:
         "_last", F.lead(F.lit(1)).over(wc).isNull())
     carry = df.groupBy(*keys, chunk).agg(F.min_by(F.col(col), F.struct(*order)).alias("_first"))
     carry = carry.withColumn("_next", F.lead("_first").over(Window.partitionBy(*keys).orderBy(chunk)))
-    res = res.join(carry.select(*keys, chunk, "_next"), [*keys, chunk], "left")
+    res = _with_carry(res, carry, [*keys, chunk], ["_next"])
     return res.withColumn(out, F.when(F.col("_last"), F.col("_next")).otherwise(F.col(out))).drop("_last", "_next")
 
 

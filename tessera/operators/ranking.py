@@ -50,14 +50,22 @@ def global_row_number(df: DataFrame, order_cols: list, out_col: str = "row_numbe
 
 
 def row_position(df: DataFrame, out_col: str = "pos") -> DataFrame:
-    """0-based position of each row in read order (file order for a file scan).
+    """0-based position of each row: file order for a file scan (path, then place in the file).
 
-    No shuffle: ids come from ``monotonically_increasing_id`` on the scan's own
-    partitions and are shifted by the row counts of earlier partitions.  The
-    scan is deterministic (same files, same splits), so the count job and the
-    final job see the same layout.
+    A scan packs splits of several files into its partitions in no fixed order,
+    so file-backed rows are numbered by their file path, block start and order
+    within the block.  Other inputs (a checkpoint, a range, a local table) keep
+    their partition order; they are checkpointed first, so the count and the
+    result see one layout.
     """
     spark = df.sparkSession
+    if df.inputFiles():
+        placed = df.withColumns({"_path": F.input_file_name(), "_block": F.input_file_block_start(),
+                                 "_mid": F.monotonically_increasing_id()})
+        placed = cut_lineage(placed)  # the places are read once, in the scan itself
+        numbered = global_row_number(placed, ["_path", "_block", "_mid"], out_col)
+        return numbered.withColumn(out_col, F.col(out_col) - 1).drop("_path", "_block", "_mid")
+    df = cut_lineage(df)
     tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = sorted((r["_pid"], r["count"]) for r in tagged.groupBy("_pid").count().collect())
     offsets, acc = [], 0

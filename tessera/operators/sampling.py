@@ -25,8 +25,8 @@ def hash_key(key: str, seed) -> Column:
 
 def split_hash(df: DataFrame, key: str, frac: float, seed="0") -> tuple[DataFrame, DataFrame]:
     """Q2: approximate split, ``frac`` of the keys go to the first part (stable under re-partitioning)."""
-    thr = format(int(frac * 2 ** 32), "08x")
-    h = hash_key(key, seed)
+    h = F.conv(hash_key(key, seed), 16, 10).cast("long")
+    thr = F.lit(int(frac * 2 ** 32)).cast("long")  # 0 takes nothing, 2**32 everything
     return df.where(h < thr), df.where(h >= thr)
 
 
@@ -150,15 +150,15 @@ def cmixup_partners(df: DataFrame, key: str, label: str, seed: int = 0) -> DataF
     b = df.withColumn("_b", F.floor(F.col(label) / sigma)).withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
     r = global_row_number(b, ["_b", "_h", key], "_rn")
     st = r.groupBy("_b").agg(F.min("_rn").alias("_lo"), F.max("_rn").alias("_hi"))
-    r = r.join(F.broadcast(st), "_b")  # one row per label bucket
+    r = r.join(st, "_b")  # one row per label bucket; their number follows range / sigma, so no broadcast hint
     r = r.withColumn("_prn", F.when(F.col("_rn") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_rn") + 1))
     partner = r.select(F.col("_rn").alias("_prn"), F.col(key).alias("partner"))
     return r.join(partner, "_prn").select(key, "partner", F.col("_b").alias("bucket"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Q10: positive-class weight ``(n - n+) / n+``."""
-    return df.agg(((F.count(F.lit(1)) - F.sum(label)) / F.sum(label)).alias("pos_weight"))
+    """Q10: positive-class weight ``(n - n+) / n+``; null without positives."""
+    return df.agg(F.try_divide((F.count(F.lit(1)) - F.sum(label)).cast("double"), F.sum(label).cast("double")).alias("pos_weight"))
 
 
 def rebalance(df: DataFrame, key: str, label: str, mode: str = "under", seed: int = 0) -> DataFrame:

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 # Padding and end-of-sequence tokens of the n-gram model.
 UNK, EOS = "_UNK_", "_EOS_"
 MIN_LOGPROB = math.log(10 ** -50.0)
@@ -182,7 +184,7 @@ def tfidf(bows: DataFrame, key: str, n_docs: int, alpha: float = 1.0, normalize:
         "tfidf", F.col("n") * F.log(F.lit(float(n_docs)) / (F.col("_df") + alpha))).drop("_df")
     if normalize:
         norm = out.groupBy(key).agg(F.sqrt(F.sum(F.col("tfidf") * F.col("tfidf"))).alias("_norm"))
-        out = out.join(norm, key).withColumn("tfidf", F.col("tfidf") / F.col("_norm")).drop("_norm")
+        out = out.join(norm, key).withColumn("tfidf", F.coalesce(F.try_divide("tfidf", "_norm"), F.lit(0.0))).drop("_norm")
     return out
 
 
@@ -230,14 +232,15 @@ def skipgram_pairs(df: DataFrame, tokens: str, window: int, vocab: DataFrame | N
     """``(center, context)`` pairs within a symmetric window (no shuffle: per-row arrays).
 
     With ``vocab`` (tokens meeting the min count) unknown tokens are removed
-    first, as the reference filters the corpus before pairing.
+    first, as the reference filters the corpus before pairing; every text keeps
+    its own tokens, whatever other columns it has.
     """
     src = df
     if vocab is not None:
-        ex = df.select("*", F.posexplode(tokens).alias("_pos", "_tok"))
+        texts = cut_lineage(df.select(F.col(tokens).alias("_all")).withColumn("_row", F.monotonically_increasing_id()))
+        ex = texts.select("_row", F.posexplode("_all").alias("_pos", "_tok"))
         ex = ex.join(vocab.select(F.col("token").alias("_tok")), "_tok", "left_semi")
-        keys = [c for c in df.columns if c != tokens]
-        src = ex.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))),
+        src = ex.groupBy("_row").agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_tok"))),
                                                 lambda s: s["_tok"]).alias(tokens))
     p = src.select(F.posexplode(tokens).alias("i", "center"), F.col(tokens).alias("_a"))
     ctx = F.filter(F.transform(F.sequence(F.greatest(F.col("i") - window, F.lit(0)),

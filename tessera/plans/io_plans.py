@@ -244,6 +244,10 @@ def s4_stream_kalman(spark, sf_dir):
 
 # ---------------------------------------------------------------- tokenizer, rewards
 
+#: Vocabulary of the registered BPE queries.  Training costs a job for every few merges, so they learn a short table;
+#: the operator's own default is 8 000 merges.
+BPE_VOCABULARY = 300
+
 def _merge_table(spark, merges, special=()):
     vocab = TK.vocab_bytes(merges, special)
     rows = [(r, a, b, new, vocab[new].decode("utf-8", errors="replace")) for r, (a, b, new) in enumerate(merges)]
@@ -254,24 +258,24 @@ def _merge_table(spark, merges, special=()):
 def t7_bpe_train_raw(spark, sf_dir):
     """Byte-level BPE on the raw benchmark texts (each text one sequence), ties to the first-seen pair."""
     b = Tables(spark, sf_dir).benchmark
-    merges = TK.bpe_train(b, "text", 300, key="item_id", pretokenize=False, tie="first_seen")
+    merges = TK.bpe_train(b, "text", BPE_VOCABULARY, key="item_id", pretokenize=False, tie="first_seen")
     return _merge_table(spark, merges)
 
 
 @query("t8_bpe_train")
 def t8_bpe_train(spark, sf_dir):
-    """BPE with pre-tokenisation and special tokens, ties to the larger pair."""
-    b = Tables(spark, sf_dir).benchmark
-    merges = TK.bpe_train(b, "text", 300, key="item_id", pretokenize=True, tie="max_pair",
+    """BPE on the documents with pre-tokenisation and special tokens, ties to the larger pair."""
+    d = Tables(spark, sf_dir).documents
+    merges = TK.bpe_train(d, "text", BPE_VOCABULARY, key="doc_id", pretokenize=True, tie="max_pair",
                           special_tokens=("<|endoftext|>",))
     return _merge_table(spark, merges, ("<|endoftext|>",))
 
 
 @query("t9_bpe_roundtrip")
 def t9_bpe_roundtrip(spark, sf_dir):
-    """Encode every document with merges learnt on the benchmark texts, decode, compare."""
+    """Encode every document with merges learnt on the documents, decode, compare."""
     t = Tables(spark, sf_dir)
-    merges = TK.bpe_train(t.benchmark, "text", 300, key="item_id")
+    merges = TK.bpe_train(t.documents, "text", BPE_VOCABULARY, key="doc_id")
     enc = TK.bpe_encode(t.documents, "text", "doc_id", merges)
     dec = enc.select("doc_id", F.size("ids").alias("n_ids"), TK.bpe_decode("ids", merges, spark).alias("back"))
     j = dec.join(t.documents.select("doc_id", "text"), "doc_id")
@@ -283,27 +287,31 @@ def t25_prepare_parallel(spark, sf_dir):
     """Parallel pairs from conversations: tokenise both sides, BPE per side, hold out pairs."""
     pairs = _parallel_pairs(spark, sf_dir).withColumn("_k", F.concat_ws("|", "conv_id", "turn"))
     tok = pairs.select("_k", FT.wordpunct("src").alias("src"), FT.wordpunct("dst").alias("dst"))
-    n_hold = min(3000, max(1, tok.count() // 10))
-    split = S.split_exact(tok, "_k", (1 - n_hold / tok.count(), n_hold / tok.count()), "42", ("train", "dev"))
+    split = S.split_exact(tok, "_k", (0.9, 0.1), "42", ("train", "dev"))
     train = split.where(F.col("split") == "train")
-    m_src = TK.bpe_train(train, "src", 300, key=None)
-    m_dst = TK.bpe_train(train, "dst", 300, key=None)
-    return split.groupBy("split").agg(F.count(F.lit(1)).alias("n")).withColumn(
+    m_src = TK.bpe_train(train, "src", BPE_VOCABULARY, key="_k")
+    m_dst = TK.bpe_train(train, "dst", BPE_VOCABULARY, key="_k")
+    src = TK.bpe_encode(split, "src", "_k", m_src).select("_k", F.size("ids").alias("src_ids"))
+    dst = TK.bpe_encode(split, "dst", "_k", m_dst).select("_k", F.size("ids").alias("dst_ids"))
+    coded = split.select("_k", "split").join(src, "_k").join(dst, "_k")
+    return coded.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("src_ids").alias("src_ids"), F.sum("dst_ids").alias("dst_ids")).withColumn(
         "src_merges", F.lit(len(m_src))).withColumn("dst_merges", F.lit(len(m_dst)))
 
 
 def _completions(spark, sf_dir):
-    """Countdown-style completions derived from conversations: numbers = first three turn lengths."""
+    """Countdown-style completions derived from conversations: numbers = first three turn lengths (0 for a turn
+    that is missing), format by the fourth turn's role (``system`` where there is none)."""
     c = Tables(spark, sf_dir).conversations
     per = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.length("text").alias("n"), "role")))
                                    .alias("t"))
-    per = per.where(F.size("t") >= 4)
-    a, b, d = F.col("t")[0]["n"], F.col("t")[1]["n"], F.col("t")[2]["n"]
-    good_fmt = F.col("t")[3]["role"] != "system"
+    a, b, d = (F.coalesce(F.try_element_at("t", F.lit(k + 1))["n"], F.lit(0)) for k in range(3))
+    role = F.coalesce(F.try_element_at("t", F.lit(4))["role"], F.lit("system"))
+    good_fmt = role != "system"
     eq = F.format_string("%d + %d - %d", a, b, d)
     body = F.when(good_fmt, F.concat(F.lit(" adding the first two and removing the third </think>\n<answer> "), eq,
                                      F.lit(" </answer>"))).otherwise(F.concat(F.lit("answer: "), eq))
-    target = F.when(F.col("t")[3]["role"] == "user", a + b - d).otherwise(a + b - d + 1)
+    target = F.when(role == "user", a + b - d).otherwise(a + b - d + 1)
     return per.select("conv_id", body.alias("completion"), target.cast("string").alias("target"),
                       F.array(a, b, d).alias("nums"))
 
@@ -319,4 +327,15 @@ def f10_equation_reward(spark, sf_dir):
     c = _completions(spark, sf_dir)
     r = c.select("conv_id", RW.format_reward("completion").alias("format"),
                  RW.equation_reward("completion", "target", "nums").alias("equation"))
-    return r.groupBy("conv_id").agg(F.first("format").alias("format"), F.first("equation").alias("equation"))
+    return r
+
+
+@query("f10_group_reward_stats")
+def f10_group_reward_stats(spark, sf_dir):
+    """Rewards of the conversations with the same first role as one prompt's group: mean, deviation, advantage."""
+    t = Tables(spark, sf_dir)
+    first = t.conversations.groupBy("conv_id").agg(F.min_by("role", "turn").alias("prompt"))
+    scored = _completions(spark, sf_dir).join(first, "conv_id").select(
+        "conv_id", "prompt", (RW.format_reward("completion") + RW.equation_reward("completion", "target", "nums")).alias("reward"))
+    r = RW.group_reward_stats(scored, "prompt", "reward")
+    return r.select("conv_id", "prompt", "reward", *[F.round(c, 9).alias(c) for c in ("reward_mean", "reward_std", "advantage")])

@@ -89,14 +89,25 @@ def w4_running_balance(spark, sf_dir):
 
 
 _ORDERS_SQL = """
-WITH lines AS (SELECT l_orderkey AS order_id, l_partkey AS item_id, l_quantity AS qty FROM lineitem),
+WITH RECURSIVE lines AS (SELECT l_orderkey AS order_id, l_partkey AS item_id, l_quantity AS qty FROM lineitem),
 stock AS (SELECT p_partkey AS item_id, CAST(p_size AS DOUBLE) AS quantity_in_stock FROM part WHERE p_brand <> 'Brand#25'),
 j AS (SELECT l.*, s.quantity_in_stock FROM lines l LEFT JOIN stock s USING (item_id)),
 per AS (SELECT order_id, count(*) FILTER (WHERE qty IS NULL OR qty <= 0) AS bad,
-               count(*) FILTER (WHERE quantity_in_stock IS NULL) AS missing,
-               count(*) FILTER (WHERE qty > quantity_in_stock) AS short, count(*) AS n_lines FROM j GROUP BY order_id),
-st AS (SELECT order_id, n_lines, CASE WHEN bad > 0 THEN 'invalid_request' WHEN missing > 0 THEN 'no_match'
-                                  WHEN short > 0 THEN 'insufficient_stock' ELSE 'success' END AS status FROM per)
+               count(*) FILTER (WHERE quantity_in_stock IS NULL) AS missing, count(*) AS n_lines FROM j GROUP BY order_id),
+asked AS MATERIALIZED (SELECT order_id, item_id, sum(qty) AS qty, any_value(quantity_in_stock) AS s FROM j
+          WHERE order_id IN (SELECT order_id FROM per WHERE bad = 0 AND missing = 0) GROUP BY ALL),
+-- an order with a line beyond the opening stock fails whatever came before it
+hopeful AS MATERIALIZED (SELECT order_id, list({'i': item_id, 'q': qty, 's': s}) AS lines, row_number() OVER (ORDER BY order_id) AS n
+            FROM asked GROUP BY order_id HAVING bool_and(qty <= s)),
+-- one order at a time: a map holds what the successful orders so far have used of each item
+run AS (SELECT 0::BIGINT AS n, NULL::BIGINT AS order_id, false AS ok, MAP([0::BIGINT], [0::DOUBLE]) AS used
+        UNION ALL
+        SELECT h.n, h.order_id, z.ok, CASE WHEN z.ok THEN map_concat(r.used, map(list_transform(h.lines, lambda x: x.i),
+                 list_transform(h.lines, lambda x: x.q + coalesce(r.used[x.i], 0)))) ELSE r.used END
+        FROM run r JOIN hopeful h ON h.n = r.n + 1,
+             LATERAL (SELECT len(list_filter(h.lines, lambda x: x.q > x.s - coalesce(r.used[x.i], 0))) = 0 AS ok) z),
+st AS (SELECT per.order_id, n_lines, CASE WHEN bad > 0 THEN 'invalid_request' WHEN missing > 0 THEN 'no_match'
+              WHEN run.ok THEN 'success' ELSE 'insufficient_stock' END AS status FROM per LEFT JOIN run USING (order_id))
 """
 
 

@@ -324,7 +324,7 @@ FROM toks t LEFT JOIN vocab v ON t.token = v.token GROUP BY t.doc_id
 """)
 def c6_lookup_ids(spark, sf_dir):
     toks, vocab = _vocab(spark, sf_dir, 1000)
-    ids = J.lookup_ids(toks, vocab, unk_id=0, vocab_bound=1000)
+    ids = J.lookup_ids(toks, vocab, unk_id=0)
     return ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"),
                                      F.count_if(F.col("token_id") == 0).alias("n_unk"),
                                      F.sum("token_id").cast("long").alias("id_sum"))

@@ -89,7 +89,7 @@ def f4_pad_ids(spark, sf_dir):
     toks = t.documents.select("doc_id", F.posexplode(FT.wordpunct_tokens("text")).alias("pos", "token"))
     top = A.vocab_topk(A.token_counts(toks), 1000).collect()  # bounded by k
     vocab = spark.createDataFrame([(r["token"], i + 1) for i, r in enumerate(top)], "token string, token_id long")
-    ids = J.lookup_ids(toks, vocab, unk_id=0, vocab_bound=1000)
+    ids = J.lookup_ids(toks, vocab, unk_id=0)
     seq = ids.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token_id"))),
                                                 lambda s: s["token_id"]).alias("ids"))
     padded = seq.select("doc_id", FT.pad_ids("ids", 64, pad=-1).alias("ids"))

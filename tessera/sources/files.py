@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import uuid
 import zipfile
 
@@ -67,9 +68,8 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: str | None = None, h
                 with zipfile.ZipFile(io.BytesIO(content)) as zf:
                     for name in zf.namelist():
                         text = zf.read(name).decode("utf-8")
-                        for i, line in enumerate(text.splitlines()):
-                            if line:
-                                out.append((f"{p}!{name}", i, line))
+                        for i, line in enumerate(_csv_records(text)):
+                            out.append((f"{p}!{name}", i, line))
             yield pd.DataFrame(out, columns=["member", "lineno", "line"])
 
     ls = raw.mapInPandas(lines, "member string, lineno long, line string")
@@ -82,6 +82,20 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: str | None = None, h
     return parsed.select("r.*")
 
 
+def _csv_records(text: str) -> list[str]:
+    """Records of a CSV text: lines end at CR, LF or CRLF outside quotes; blank lines are kept, a final line end adds none."""
+    records, start, quoted = [], 0, False
+    for m in re.finditer(r'"|\r\n|\r|\n', text):
+        if m.group() == '"':
+            quoted = not quoted
+        elif not quoted:
+            records.append(text[start : m.start()])
+            start = m.end()
+    if start < len(text):
+        records.append(text[start:])
+    return records
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, label: str | None = None, sep: str = ",") -> None:
     """CSV sink, optionally label column first, with or without header."""
     if label is not None:
@@ -101,16 +115,19 @@ def read_json_corpus(spark: SparkSession, path: str, multiline: bool = True, sch
 
 def write_json_documents(df: DataFrame, path: str) -> None:
     """A2 helper: one pretty-printed JSON document per row, written by each task to the
-    shared folder ``path`` (file name from the row's position)."""
+    shared folder ``path``.  A file is named by its partition and place there, so a
+    retried or speculative task writes the same names again."""
     import json
 
     cols = df.columns
 
     def write_part(rows):
-        for r in rows:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for i, r in enumerate(rows):
             d = {c: r[c] for c in cols}
-            name = f"doc-{uuid.uuid4().hex}.json"
-            _write_file(path, name, json.dumps(d, indent=2, ensure_ascii=False, default=str).encode("utf-8"))
+            _write_file(path, f"doc-{part:06d}-{i:09d}.json", json.dumps(d, indent=2, ensure_ascii=False, default=str).encode("utf-8"))
 
     df.foreachPartition(write_part)
 
