@@ -13,6 +13,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.quantiles import exact_percentiles
+
 # Garment parts excluded from the main-garment ranking (D2 default).
 GARMENT_PARTS = ("collar", "pocket", "sleeve", "zipper", "button", "buckle")
 
@@ -148,17 +150,25 @@ def k_best(df: DataFrame, cols: list[str], label: str, k: int) -> DataFrame:
 def user_profile(df: DataFrame, user: str, amount: str, ts: str) -> DataFrame:
     """Per user mean / exact median / sample std of the amount, event count and events per active day.
 
-    The exact median is a holistic aggregate (all values of a user meet in one
-    task).  For a user holding a third of the table use ``approx=True`` style
-    ``percentile_approx`` instead; exactness is the default because results
-    must equal the reference.
+    The median comes from distributed ranks (:mod:`tessera.operators.quantiles`), the
+    days from one row per user and day, so no task holds a user's values.
     """
-    return df.groupBy(user).agg(
-        F.avg(amount).alias("mean_amount"),
-        F.percentile(amount, 0.5).alias("median_amount"),
-        F.stddev_samp(amount).alias("std_amount"),
-        F.count(F.lit(1)).alias("n_events"),
-        (F.count(F.lit(1)) / F.countDistinct(F.to_date(ts))).alias("events_per_day"),
+    days = df.groupBy(F.col(user), F.to_date(ts).alias("_day")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_m"), F.sum(amount).alias("_s"),
+        F.var_pop(amount).alias("_v"), F.avg(amount).alias("_a"))
+    totals = days.groupBy(user).agg(F.sum("_s").alias("_sum"), F.sum("_m").alias("_cnt"), F.sum("_n").alias("n_events"),
+                                    F.count("_day").alias("_days"))
+    mean = totals.select(F.col(user).alias("_u"), F.try_divide("_sum", "_cnt").alias("mean_amount"), "_cnt", "n_events", "_days")
+    # spread about the overall mean, day by day (exact pooling of the days' variances)
+    spread = days.join(mean.select("_u", "mean_amount"), F.col(user).eqNullSafe(F.col("_u"))).groupBy("_u").agg(
+        F.sum(F.col("_m") * (F.col("_v") + (F.col("_a") - F.col("mean_amount")) * (F.col("_a") - F.col("mean_amount")))).alias("_ss"))
+    median = exact_percentiles(df, [user], amount, {"median_amount": 0.5}).withColumnRenamed(user, "_u2")
+    found = mean.join(spread.withColumnRenamed("_u", "_u1"), F.col("_u").eqNullSafe(F.col("_u1")), "left")
+    found = found.join(median, F.col("_u").eqNullSafe(F.col("_u2")), "left")
+    return found.select(
+        F.col("_u").alias(user), "mean_amount", "median_amount",
+        F.sqrt(F.try_divide(F.col("_ss"), F.col("_cnt") - 1)).alias("std_amount"), "n_events",
+        F.try_divide("n_events", "_days").alias("events_per_day"),
     )
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.quantiles import exact_percentiles
+
 from tessera.functions.dates import epoch_seconds
 
 
@@ -84,11 +86,15 @@ def fill_const(df: DataFrame, values: dict) -> DataFrame:
 def fill_median_flag(df: DataFrame, cols: list[str], fit: DataFrame | None = None) -> DataFrame:
     """Exact median fill plus a ``<col>_na`` indicator.
 
-    Medians come from ``fit`` (the training part) when given: one aggregate row
-    with one value per column, so it is bounded by the column count.
+    Medians come from ``fit`` (the training part) when given; each is found by
+    distributed ranks, and one value per column reaches the driver.  A column
+    without values has no median and stays null.
     """
     src = fit if fit is not None else df
-    med = src.agg(*[F.percentile(F.col(c), 0.5).alias(c) for c in cols]).first()
+    med = {}
+    for c in cols:
+        row = exact_percentiles(src, [], c, {"m": 0.5}).first()
+        med[c] = row["m"] if row else None
     out = df
     for c in cols:
         out = out.withColumn(f"{c}_na", F.col(c).isNull()).withColumn(

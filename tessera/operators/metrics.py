@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from tessera.operators.quantiles import exact_percentiles
 from tessera.operators.ranking import global_cumsum
 
 EPSILON = 1e-10
@@ -196,23 +197,38 @@ def forecast_metrics(df: DataFrame, key, ts: str, actual: str = "actual", predic
         "mse": F.avg(e * e), "rmse": F.sqrt(F.avg(e * e)),
         "nrmse": F.try_divide(F.sqrt(F.avg(e * e)), F.max("a") - F.min("a")),
         "me": F.avg(e), "mae": mae, "mad": mae, "gmae": _gmean_abs(e),
-        "mdae": F.percentile(F.abs(e), 0.5), "mpe": F.avg(pe), "mape": mape,
-        "mdape": F.percentile(F.abs(pe), 0.5), "smape": F.avg(sape), "smdape": F.percentile(sape, 0.5),
+        "mpe": F.avg(pe), "mape": mape,
+        "smape": F.avg(sape),
         "maape": F.avg(F.atan(F.abs((F.col("a") - F.col("p")) / (F.col("a") + EPSILON)))),
         "mase": F.try_divide(mae, mae_naive),
         "std_ae": F.sqrt(F.try_divide(F.sum(e * e) - 2 * mae * F.sum(e) + n * mae * mae, n - 1)),
         "std_ape": F.sqrt(F.try_divide(F.sum(pe * pe) - 2 * mape * F.sum(pe) + n * mape * mape, n - 1)),
-        "rmspe": F.sqrt(F.avg(pe * pe)), "rmdspe": F.sqrt(F.percentile(pe * pe, 0.5)),
+        "rmspe": F.sqrt(F.avg(pe * pe)),
         "rmsse": F.try_divide(F.sqrt(F.avg(e * e)), mae_naive),
         "inrse": F.sqrt(F.try_divide(F.sum(e * e), sst)), "rrse": F.sqrt(F.try_divide(F.sum(e * e), sst)),
         "mre": F.avg(re), "rae": F.sum(F.abs(e)) / (F.sum(F.abs(F.col("a") - F.col("_mean"))) + EPSILON),
-        "mrae": F.avg(F.abs(re)), "mdrae": F.percentile(F.abs(re), 0.5), "gmrae": _gmean_abs(re),
+        "mrae": F.avg(F.abs(re)), "gmrae": _gmean_abs(re),
         "mbrae": F.avg(bre), "umbrae": F.try_divide(F.avg(bre), 1 - F.avg(bre)),
         "mda": F.avg(F.col("dir").cast("double")), "bias": F.avg(e),
         "r2": 1 - F.try_divide(F.sum(e * e), sst),
     }
-    wide = base.groupBy(*keys).agg(*[exprs[m].cast("double").alias(m) for m in names])
-    return wide.unpivot(keys, names, "metric", "value")
+    wide = base.groupBy(*keys).agg(*[exprs[m].cast("double").alias(m) for m in names if m in exprs])
+    plain = wide.unpivot(keys, [m for m in names if m in exprs], "metric", "value")
+    middles = {"mdae": F.abs(e), "mdape": F.abs(pe), "smdape": sape, "rmdspe": pe * pe, "mdrae": F.abs(re)}
+    wanted = [m for m in names if m in middles]
+    if not wanted:
+        return plain
+    # all medians in one pass: a value per (series, metric), ranked across the cluster
+    long = base.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), middles[m].cast("double").alias("x")) for m in wanted])).alias("_m")).select(*keys, "_m.*")
+    found = exact_percentiles(long, [*keys, "metric"], "x", {"value": 0.5})
+    found = found.withColumn("value", F.when(F.col("metric") == "rmdspe", F.sqrt("value")).otherwise(F.col("value")))
+    empty = wide.select(*keys, F.explode(F.array(*[F.lit(m) for m in wanted])).alias("metric"))
+    marked = found.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("metric").alias("_metric"), "value")
+    on = F.col("metric") == F.col("_metric")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return plain.unionByName(empty.join(marked, on, "left").select(*keys, "metric", "value"))
 
 
 # ------------------------------------------------------------- V7

@@ -9,6 +9,10 @@ per partition) reach the driver.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,27 +87,33 @@ def row_position(df: DataFrame, out_col: str = "pos") -> DataFrame:
 
 def global_cumsum(df: DataFrame, order_cols: list, sum_cols: list[str], suffix: str = "_cum",
                   num_partitions: int | None = None) -> DataFrame:
-    """Inclusive running sums of ``sum_cols`` along a global order (``order_cols`` unique).
+    """Inclusive running sums of ``sum_cols`` (as doubles, null as 0) along a global order (``order_cols`` unique).
 
-    Range partitioning keeps partitions balanced; each partition's running sum
-    is shifted by the totals of the partitions before it (one row per
-    partition reaches the driver).
+    Range partitioning keeps partitions balanced; the sorted partitions are
+    checkpointed and summed where they lie, each starting from the totals of the
+    partitions before it (one row per partition reaches the driver).
     """
-    from pyspark.sql import Window
-
     spark = df.sparkSession
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = cut_lineage(
-        df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-        .withColumn("_pid", F.spark_partition_id()))
-    totals = sorted(ranged.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sum_cols]).collect(),
-                    key=lambda r: r["_pid"])
-    rows, acc = [], [0.0] * len(sum_cols)
-    for r in totals:
-        rows.append((r["_pid"], *acc))
-        acc = [a + float(r[c] or 0) for a, c in zip(acc, sum_cols)]
-    schema = "_pid int, " + ", ".join(f"_off_{c} double" for c in sum_cols)
-    offs = spark.createDataFrame(rows or [(0, *([0.0] * len(sum_cols)))], schema)
-    w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    out = ranged.join(F.broadcast(offs), "_pid")  # one row per partition
-    return out.select(*df.columns, *[(F.sum(c).over(w) + F.col(f"_off_{c}")).alias(c + suffix) for c in sum_cols])
+    ranged = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    totals = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
+    starts, acc = {}, [0.0] * len(sum_cols)
+    for r in sorted(totals, key=lambda r: r["_pid"]):
+        starts[r["_pid"]] = acc
+        acc = [a + float(r[c] or 0) for a, c in zip(acc, sum_cols, strict=True)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        state = list(starts.get(TaskContext.get().partitionId(), [0.0] * len(sum_cols)))
+        for batch in batches:
+            cols = list(batch.columns)
+            for k, c in enumerate(sum_cols):
+                values = batch.column(batch.schema.get_field_index(c)).cast(pa.float64()).fill_null(0.0)
+                upto = np.cumsum(values.to_numpy(zero_copy_only=False)) + state[k]
+                cols.append(pa.array(upto, pa.float64()))
+                state[k] = float(upto[-1]) if len(upto) else state[k]
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, *[c + suffix for c in sum_cols]])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema]
+    return ranged.mapInArrow(run, ", ".join([*fields, *[f"`{c}{suffix}` double" for c in sum_cols]]))

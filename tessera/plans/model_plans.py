@@ -535,7 +535,7 @@ def t18_nearest_blocked(spark, sf_dir):
     """Same search through the co-grouped block path (forced by a zero broadcast budget)."""
     e = _emb(spark, sf_dir)
     nn = V.nearest(e.select(F.col("vec_id").alias("qid"), "vec"), e.select(F.col("vec_id").alias("cid"), "vec"), 5,
-                   "cosine", exclude_self=True, broadcast_bytes=0, block_rows=128)
+                   "cosine", exclude_self=True, block_rows=128)
     return nn.select("qid", "cid", F.round("score", 6).alias("score"), "rank")
 
 

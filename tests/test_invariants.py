@@ -120,7 +120,7 @@ def test_nearest_paths_agree(spark):
     q = e.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"))
     c = e.select(F.col("vec_id").alias("cid"), F.col("embedding").alias("vec"))
     a = V.nearest(q, c, 3, exclude_self=True).select("qid", "cid", "rank")
-    b = V.nearest(q, c, 3, exclude_self=True, broadcast_bytes=0, block_rows=7).select("qid", "cid", "rank")
+    b = V.nearest(q, c, 3, exclude_self=True, block_rows=7).select("qid", "cid", "rank")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
