@@ -335,6 +335,17 @@ def permutation_importance(model, df: DataFrame, features: list[str], evaluator,
     return df.sparkSession.createDataFrame(out, "feature string, base double, permuted double, importance double")
 
 
+def partial_dependence(model, df: DataFrame, feature: str, grid: list[float], assemble=None) -> DataFrame:
+    """Mean prediction with ``feature`` set to each grid value in every row (``value, prediction``).
+
+    One aggregate over the rows times the grid; the grid is a parameter.
+    """
+    prep = assemble or (lambda d: d)
+    rows = df.drop(feature).withColumn(feature, F.explode(F.array(*[F.lit(float(g)) for g in grid])))
+    scored = model.transform(prep(rows))
+    return scored.groupBy(F.col(feature).alias("value")).agg(F.avg("prediction").alias("prediction"))
+
+
 # ------------------------------------------------------------- F6
 
 def density_scores(df: DataFrame, group, col: str, family: str = "normal", trials: int | None = None,

@@ -419,19 +419,27 @@ def score_batches(df: DataFrame, model, batch_rows: int = 500) -> DataFrame:
 
 def search(estimator, grid: dict, evaluator, train: DataFrame, random: int | None = None, seed: int = 0,
            parallelism: int = 2):
-    """Q11: grid search (all combinations) or random search (``random`` sampled
-    combinations of the grid, seeded) with a train/validation split."""
+    """Q11: grid search (all combinations) or random search (``random`` seeded draws) with a
+    train/validation split.  A dimension is a list of values, or for random search a
+    ``(low, high)`` tuple drawn uniformly."""
     import random as _random
 
     from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 
+    ranges = {p: v for p, v in grid.items() if isinstance(v, tuple)}
+    if ranges and random is None:
+        raise ValueError("a range needs random search")
     b = ParamGridBuilder()
     for p, vals in grid.items():
-        b = b.addGrid(p, vals)
+        if p not in ranges:
+            b = b.addGrid(p, vals)
     maps = b.build()
     if random is not None:
         rng = _random.Random(seed)
-        maps = rng.sample(maps, min(random, len(maps)))
+        if ranges:
+            maps = [rng.choice(maps) | {p: rng.uniform(*v) for p, v in ranges.items()} for _ in range(random)]
+        else:
+            maps = rng.sample(maps, min(random, len(maps)))
     tvs = TrainValidationSplit(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, trainRatio=0.8,
                                parallelism=parallelism, seed=seed)
     return tvs.fit(train)

@@ -132,10 +132,17 @@ def resample_mean(df: DataFrame, key, ts: str, col: str, unit: str = "day", fill
 
 
 def drop_first(df: DataFrame, key, order, n: int) -> DataFrame:
-    """Drop the first ``n`` rows of every key (the reference drops 24 incomplete hours)."""
+    """Drop the first ``n`` rows of every key (the reference drops 24 incomplete hours).
+
+    The ``n``-th smallest order value per key is found with a per-task limit
+    (``row_number <= n``), so a long key never meets in one task; rows up to it go.
+    ``order`` must be unique within a key.
+    """
     keys, order = _cols(key), _cols(order)
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") > n).drop("_r")
+    first = df.select(*keys, *order).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+    cut = first.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_cut"))
+    return _with_carry(df, cut, keys, ["_cut"]).where(F.struct(*order) > F.col("_cut")).drop("_cut")
 
 
 # --------------------------------------------------------- orders

@@ -296,6 +296,66 @@ def m8_best_split_nats(spark, sf_dir):
     return r.select("feature", F.round("threshold", 9).alias("threshold"), F.round("gain", 9).alias("gain"))
 
 
+def _grad_sql(gain: str, where: str, threshold: str) -> str:
+    unions = " UNION ALL ".join(f"SELECT {i} AS fi, '{f}' AS feature, {f} AS x, l_extendedprice / 1000 AS y FROM lineitem"
+                                for i, f in enumerate(_SPLIT_FEATS))
+    return f"""
+WITH l AS ({unions}),
+per AS (SELECT fi, feature, x, sum(y) AS sy, sum(y * y) AS sq, count(*) AS n FROM l GROUP BY ALL),
+cum AS (SELECT *, sum(sy) OVER w AS ls, sum(sq) OVER w AS lq, sum(n) OVER w AS ln_, sum(sy) OVER p AS ts, sum(sq) OVER p AS tq,
+               sum(n) OVER p AS tn, lead(x) OVER (PARTITION BY fi ORDER BY x) AS xn
+        FROM per WINDOW w AS (PARTITION BY fi ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), p AS (PARTITION BY fi))
+SELECT feature, round({threshold}, 9) AS threshold, round({gain}, 4) AS gain FROM cum {where}
+ORDER BY {gain} DESC, fi, {threshold} LIMIT 1
+"""
+
+
+# squared loss at prediction 0: gradient -y, curvature 1, so G = -sum(y) and H = n
+@query("m8_best_split_second_order", _grad_sql(
+    "0.5 * (ls * ls / (ln_ + 1.0) + (ts - ls) * (ts - ls) / (tn - ln_ + 1.0) - ts * ts / (tn + 1.0))", "", "x"))
+def m8_best_split_second_order(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem.select(*_SPLIT_FEATS, (-F.col("l_extendedprice") / 1000).alias("g"), F.lit(1.0).alias("h"))
+    r = M.best_split(li, _SPLIT_FEATS, "g", "xgb", lam=1.0)
+    return r.select("feature", F.round("threshold", 9).alias("threshold"), F.round("gain", 4).alias("gain"))
+
+
+@query("m8_best_split_parent_mean", _grad_sql(
+    "-((lq - 2 * (ts / tn) * ls + ln_ * (ts / tn) * (ts / tn)) * ln_ / tn"
+    " + ((tq - lq) - 2 * (ts / tn) * (ts - ls) + (tn - ln_) * (ts / tn) * (ts / tn)) * (tn - ln_) / tn)",
+    "WHERE xn IS NOT NULL", "((x + xn) / 2.0)"))
+def m8_best_split_parent_mean(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem.select(*_SPLIT_FEATS, (F.col("l_extendedprice") / 1000).alias("y"))
+    r = M.best_split(li, _SPLIT_FEATS, "y", "mse_parent")
+    return r.select("feature", F.round("threshold", 9).alias("threshold"), F.round("gain", 4).alias("gain"))
+
+
+@query("m13_knn_regress", """
+WITH e AS (SELECT vec_id AS id, embedding AS vec, label::DOUBLE AS y, substr(md5(CAST(vec_id AS VARCHAR) || 'knn'), 1, 8) < 'cccccccc' AS tr
+           FROM embeddings),
+d AS (SELECT q.id AS qid, c.id AS cid, c.y,
+             list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d2
+      FROM e q, e c WHERE NOT q.tr AND c.tr),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, cid) AS rk FROM d)
+SELECT qid AS id, round(avg(y), 9) AS pred FROM r WHERE rk <= 5 GROUP BY qid
+""")
+def m13_knn_regress(spark, sf_dir):
+    train, test = _emb_split(spark, sf_dir)
+    r = V.knn_regress(train.withColumn("y", F.col("label").cast("double")), test, 5)
+    return r.select("id", F.round("pred", 9).alias("pred"))
+
+
+@query("m3_logistic_gd")
+def m3_logistic_gd(spark, sf_dir):
+    """25 full-batch steps on returned vs other lines; the log loss falls below that of the zero start."""
+    li = Tables(spark, sf_dir).lineitem.select(
+        (F.col("l_quantity") / 50).alias("q"), (F.col("l_discount") * 10).alias("d"), (F.col("l_returnflag") == "R").cast("double").alias("y"))
+    theta = M.logistic_gd(li, ["q", "d"], "y", lr=0.5, iters=25)
+    z = F.lit(float(theta[0])) + float(theta[1]) * F.col("q") + float(theta[2]) * F.col("d")
+    p = 1 / (1 + F.exp(-z))
+    return li.agg(F.avg(-(F.col("y") * F.log(p) + (1 - F.col("y")) * F.log(1 - p))).alias("log_loss")).select(
+        F.lit(float(theta[0])).alias("bias"), F.lit(float(theta[1])).alias("q"), F.lit(float(theta[2])).alias("d"), "log_loss")
+
+
 @query("m8_best_split_mse", """
 WITH l AS (SELECT 0 AS fi, 'l_quantity' AS feature, l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem
            UNION ALL SELECT 1, 'l_discount', l_discount, l_extendedprice / 1000 FROM lineitem),
@@ -401,8 +461,10 @@ def q11_search(spark, sf_dir):
     ev = RegressionEvaluator(labelCol="log_price", metricName="rmse")
     full = M.search(lr, grid, ev, d)
     rnd = M.search(lr, grid, ev, d, random=3, seed=7)
+    drawn = M.search(lr, {lr.regParam: (0.0, 1.0), lr.elasticNetParam: [0.0, 0.5]}, ev, d, random=3, seed=7)
     rows = [("grid", len(full.validationMetrics), float(min(full.validationMetrics))),
-            ("random", len(rnd.validationMetrics), float(min(rnd.validationMetrics)))]
+            ("random", len(rnd.validationMetrics), float(min(rnd.validationMetrics))),
+            ("random_range", len(drawn.validationMetrics), float(min(drawn.validationMetrics)))]
     return spark.createDataFrame(rows, "kind string, n_candidates int, best_rmse double")
 
 
@@ -577,6 +639,24 @@ def t21_precision_at_k(spark, sf_dir):
     return V.precision_at_k(nn, truth, (1, 5))
 
 
+@query("t21_translate_tokens")
+def t21_translate_tokens(spark, sf_dir):
+    """Benchmark texts translated word by word: word i of the frequency-ranked document vocabulary owns embedding row i,
+    the target language has the same words reversed and mirrored vectors, the map is fitted on the pairs."""
+    from tessera.operators import aggregate as A
+
+    t = Tables(spark, sf_dir)
+    base = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
+    toks = t.documents.select(F.explode(FT.wordpunct_tokens("text")).alias("token"))
+    top = A.vocab_topk(A.token_counts(toks), base.count())
+    ranked = S.global_row_number(top, [F.desc("n"), "token"], "rk").select((F.col("rk") - 1).alias("vec_id"), F.col("token").alias("word"))
+    src = ranked.join(base, "vec_id").select("word", "vec")
+    dst = src.select(F.reverse("word").alias("word"), F.reverse("vec").alias("vec"))
+    w = V.fit_alignment(base.select(F.col("vec").alias("x"), F.reverse("vec").alias("y")), orthogonal=True)
+    docs = t.benchmark.select(F.col("item_id").alias("doc_id"), FT.wordpunct_tokens("text").alias("tokens"))
+    return V.translate_tokens(docs, src, dst, w)
+
+
 # ---------------------------------------------------------------- Q: sampling
 
 @query("q1_split_exact", """
