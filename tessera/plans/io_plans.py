@@ -129,7 +129,10 @@ def a7_write_csv(spark, sf_dir):
     return back.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a9_read_lines")
+@query("a9_read_lines", r"""
+SELECT count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars
+FROM (SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents)
+""")
 def a9_read_lines(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
     path = IO.scratch_path(spark, "doc-lines")

@@ -226,7 +226,10 @@ def b12_contains_all(spark, sf_dir):
     return C.contains_all_long(j, "l_orderkey", "p_brand", ["Brand#1", "Brand#2"])
 
 
-@query("b12_contains_all_array")
+@query("b12_contains_all_array", """
+SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey
+HAVING list_has_all(list(DISTINCT p_brand), ['Brand#1', 'Brand#2'])
+""")
 def b12_contains_all_array(spark, sf_dir):
     """Array form of B12 on the per-order brand arrays (checked against the long form in tests)."""
     t = Tables(spark, sf_dir)
@@ -290,7 +293,11 @@ def c4_attach_labels(spark, sf_dir):
     return J.attach_labels(t.documents.select("doc_id", "lang", "n_chars"), t.labels, "doc_id", "toxic")
 
 
-@query("c5_zip_rows")
+@query("c5_zip_rows", """
+WITH l AS (SELECT doc_id AS label_doc, toxic, row_number() OVER () - 1 AS pos FROM labels),
+d AS (SELECT doc_id AS doc, lang, row_number() OVER () - 1 AS pos FROM documents)
+SELECT pos, label_doc, toxic, doc, lang FROM l JOIN d USING (pos)
+""")
 def c5_zip_rows(spark, sf_dir):
     """Row i of labels next to row i of documents, by file position."""
     t = Tables(spark, sf_dir)
@@ -332,8 +339,8 @@ def c6_lookup_ids(spark, sf_dir):
 
 @query("c7_known_pairs", f"""
 WITH bt AS (SELECT item_id, regexp_extract_all(lower(text), '{WP}', 1) AS a FROM benchmark),
-pairs AS (SELECT item_id, i AS pos, a[i] AS src, a[i + 1] AS dst FROM bt, range(1, len(a)) r(i)),
-known AS (SELECT token AS word FROM (SELECT unnest(regexp_extract_all(lower(text), '{WP}', 1)) AS token FROM documents)
+pairs AS MATERIALIZED (SELECT item_id, i AS pos, a[i] AS src, a[i + 1] AS dst FROM bt, range(1, len(a)) r(i)),
+known AS MATERIALIZED (SELECT token AS word FROM (SELECT unnest(regexp_extract_all(lower(text), '{WP}', 1)) AS token FROM documents)
           GROUP BY token HAVING count(*) >= 5)
 SELECT item_id, CAST(pos AS INTEGER) AS pos, src, dst FROM pairs
 WHERE src IN (SELECT word FROM known) AND dst IN (SELECT word FROM known)
