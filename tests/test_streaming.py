@@ -32,7 +32,12 @@ def test_stream_features_equal_batch_for_closed_windows(spark):
     batch = (ev.groupBy(F.window("ts", "7 days", "1 day").alias("w"), "user_id")
              .agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"))
              .select("user_id", F.col("w.start").alias("window_start"), "mean", "n"))
-    j = out.join(batch, ["user_id", "window_start"])
+    # every window that the final watermark has closed, and no other
+    last = ev.agg((F.max("ts") - F.expr("INTERVAL 1 DAY")).alias("w")).first()["w"]
+    closed = batch.where(F.col("window_start") + F.expr("INTERVAL 7 DAYS") <= F.lit(last))
+    keys = ["user_id", "window_start"]
+    assert sorted(map(tuple, out.select(*keys).collect())) == sorted(map(tuple, closed.select(*keys).collect()))
+    j = out.join(batch, keys)
     assert j.count() == out.count() > 0
     assert j.where((out["n"] != batch["n"]) | (F.abs(out["mean"] - batch["mean"]) > 1e-9)).count() == 0
     del stream_user_features
