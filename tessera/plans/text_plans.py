@@ -11,7 +11,7 @@ from tessera.operators import joins as J
 from tessera.operators import sampling as S
 from tessera.operators import text as T
 from tessera.plans.registry import query
-from tessera.session import Tables
+from tessera.session import Tables, cut_lineage
 
 WP = FT.WORDPUNCT_PATTERN
 
@@ -179,7 +179,7 @@ SELECT round(-sum(m * CASE WHEN {p} > 0 THEN greatest(ln({p}), {T.MIN_LOGPROB!r}
 
 def _ppl(spark, sf_dir, n, smoothing):
     train, test = _split(spark, sf_dir)
-    counts = T.ngram_counts(train, "tokens", n)
+    counts = cut_lineage(T.ngram_counts(train, "tokens", n))  # joined to the test n-grams and summed per prefix
     r = T.perplexity(counts, test, "tokens", n, smoothing, train=train)
     # log-perplexity: the clamp at 1e-50 makes perplexity itself astronomically large, so it is
     # compared in log space where 9 decimals are far inside double precision
@@ -247,19 +247,24 @@ bow AS (SELECT doc_id, token, count(*) AS n FROM flat WHERE token IN (SELECT tok
 
 
 def _nb_inputs(spark, sf_dir):
+    """Labelled documents, their token counts (tokenised once and materialised), both parts of the split, the vocabulary."""
     t = Tables(spark, sf_dir)
-    lab = t.documents.join(t.labels.select("doc_id", "toxic"), "doc_id").select(
-        "doc_id", "toxic", FT.wordpunct_tokens("text").alias("tokens"))
+    texts = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "toxic"), "doc_id")
+    counts = cut_lineage(
+        texts.select("doc_id", F.explode(FT.wordpunct_tokens("text")).alias("token"))
+        .groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")))
+    lab = t.labels.select("doc_id", "toxic").join(t.documents.select("doc_id"), "doc_id")
     train, test = S.split_hash(lab, "doc_id", 0.5, "nb")
-    top = A.vocab_topk(A.token_counts(train.select(F.explode("tokens").alias("token"))), 10000).collect()
+    seen, _ = S.split_hash(counts, "doc_id", 0.5, "nb")
+    top = A.vocab_topk(seen.groupBy("token").agg(F.sum("n").alias("n")), 10000).collect()
     vocab = spark.createDataFrame([(r["token"], r["n"]) for r in top], "token string, n long")  # bounded by k
-    return lab, train, test, vocab
+    return lab, train, test, vocab, counts.join(vocab.select("token"), "token", "left_semi")
 
 
 @query("t11_bow", _NB_BASE + "SELECT doc_id, token, n FROM bow")
 def t11_bow(spark, sf_dir):
-    lab, _, _, vocab = _nb_inputs(spark, sf_dir)
-    return T.bow(lab, "doc_id", "tokens", vocab)
+    *_, bows = _nb_inputs(spark, sf_dir)
+    return bows.select("doc_id", "token", "n")
 
 
 @query("t12_tfidf", _NB_BASE + """
@@ -269,9 +274,8 @@ nr AS (SELECT doc_id, sqrt(sum(v * v)) AS nrm FROM tf GROUP BY doc_id)
 SELECT doc_id, token, round(v / nrm, 9) AS tfidf FROM tf JOIN nr USING (doc_id)
 """)
 def t12_tfidf(spark, sf_dir):
-    lab, _, _, vocab = _nb_inputs(spark, sf_dir)
-    b = T.bow(lab, "doc_id", "tokens", vocab)
-    r = T.tfidf(b, "doc_id", lab.count(), 1.0, normalize=True)
+    lab, _, _, _, bows = _nb_inputs(spark, sf_dir)
+    r = T.tfidf(bows, "doc_id", lab.count(), 1.0, normalize=True)
     return r.select("doc_id", "token", F.round("tfidf", 9).alias("tfidf"))
 
 
@@ -289,10 +293,8 @@ sc AS (SELECT l.doc_id, l.toxic, coalesce(sum(b.n * ln(p.p0)), 0) + any_value(pr
 
 
 def _nb(spark, sf_dir):
-    lab, train, test, vocab = _nb_inputs(spark, sf_dir)
-    b = T.bow(lab, "doc_id", "tokens", vocab)
-    train_b = b.join(train.select("doc_id"), "doc_id", "left_semi")
-    test_b = b.join(test.select("doc_id"), "doc_id", "left_semi")
+    _, train, test, vocab, bows = _nb_inputs(spark, sf_dir)
+    train_b, test_b = S.split_hash(bows, "doc_id", 0.5, "nb")
     priors, probs = T.text_nb_fit(train_b, train.select("doc_id", "toxic"), "doc_id", "toxic", vocab)
     scores = T.text_nb_score(test_b, test.select("doc_id"), "doc_id", priors, probs)
     return scores.join(test.select("doc_id", "toxic"), "doc_id"), probs
@@ -370,8 +372,8 @@ def t23_word_dropout(spark, sf_dir):
 @query("t24_occlusion")
 def t24_occlusion(spark, sf_dir):
     """Occlusion weights of the benchmark texts under the T13 naive-Bayes scorer."""
-    lab, train, _, vocab = _nb_inputs(spark, sf_dir)
-    b = T.bow(lab, "doc_id", "tokens", vocab).join(train.select("doc_id"), "doc_id", "left_semi")
+    _, train, _, vocab, bows = _nb_inputs(spark, sf_dir)
+    b, _ = S.split_hash(bows, "doc_id", 0.5, "nb")
     priors, probs = T.text_nb_fit(b, train.select("doc_id", "toxic"), "doc_id", "toxic", vocab)
 
     def scorer(df):
