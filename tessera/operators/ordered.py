@@ -86,29 +86,41 @@ def running_balance(df: DataFrame, key, ts: str, id_col: str, amount: str, openi
 # ---------------------------------------------------- interpolation
 
 def interpolate_linear(df: DataFrame, key, order, col: str, out: str | None = None,
-                       zero_is_missing: bool = True) -> DataFrame:
+                       zero_is_missing: bool = True, chunk: str | None = None) -> DataFrame:
     """Linear interpolation by row position per key.
 
     0 (optionally) and null are missing; interior gaps are filled on the line
     between the neighbouring known values, trailing gaps repeat the last known
-    value, leading gaps stay null (pandas ``interpolate()`` defaults).
+    value, leading gaps stay null (pandas ``interpolate()`` defaults).  With ``chunk``
+    the windows are per ``(key, chunk)`` and the known points nearest to a chunk come
+    from a one-row-per-chunk table.
     """
     keys, order = _cols(key), _cols(order)
     out = out or col
-    w = Window.partitionBy(*keys).orderBy(*order)
     v = F.col(col)
     known = F.when(v.isNotNull() & ((v != 0) if zero_is_missing else F.lit(True)), v)
-    d = df.withColumn("_i", F.row_number().over(w)).withColumn("_v", known)
-    pt = F.when(F.col("_v").isNotNull(), F.struct(F.col("_i").alias("i"), F.col("_v").alias("v")))
-    d = d.withColumn("_p", F.last(pt, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("_n", F.first(pt, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    d = dense_position(df, keys, order, "_i", chunk).withColumn("_v", known)
+    d = d.withColumn("_pt", F.when(F.col("_v").isNotNull(), F.struct(F.col("_i").alias("i"), F.col("_v").alias("v"))))
+    parts = keys if chunk is None else [*keys, chunk]
+    w = Window.partitionBy(*parts).orderBy(*order)
+    d = d.withColumn("_p", F.last("_pt", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.withColumn("_n", F.first("_pt", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    if chunk is not None:
+        ends = d.groupBy(*parts).agg(F.max("_pt").alias("_hi"), F.min("_pt").alias("_lo"))  # by position
+        wk = Window.partitionBy(*keys).orderBy(chunk)
+        ends = ends.withColumns({
+            "_before": F.last("_hi", ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+            "_after": F.first("_lo", ignorenulls=True).over(wk.rowsBetween(1, Window.unboundedFollowing)),
+        })
+        d = _with_carry(d, ends, parts, ["_before", "_after"])
+        d = d.withColumn("_p", F.coalesce("_p", "_before")).withColumn("_n", F.coalesce("_n", "_after")).drop("_before", "_after")
     interp = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * (F.col("_i") - F.col("_p.i")) / (
         F.col("_n.i") - F.col("_p.i"))
     val = (F.when(F.col("_v").isNotNull(), F.col("_v"))
            .when(F.col("_p").isNull(), F.lit(None))
            .when(F.col("_n").isNull(), F.col("_p.v"))
            .otherwise(interp))
-    return d.withColumn(out, val.cast("double")).drop("_i", "_v", "_p", "_n")
+    return d.withColumn(out, val.cast("double")).drop("_i", "_v", "_p", "_n", "_pt")
 
 
 # --------------------------------------------------------- resample

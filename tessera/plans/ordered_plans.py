@@ -51,7 +51,7 @@ def w2_interpolate_linear(spark, sf_dir):
     e = Tables(spark, sf_dir).events
     s = e.select("user_id", "event_id", "ts",
                  F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value")).alias("v"))
-    r = W.interpolate_linear(s, "user_id", "ts", "v")
+    r = W.interpolate_linear(s.withColumn("_day", F.to_date("ts")), "user_id", "ts", "v", chunk="_day")
     return r.select("event_id", F.round("v", 6).alias("v"))
 
 

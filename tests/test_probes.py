@@ -53,6 +53,21 @@ def test_chunked_carries_reach_null_keys(series):
     assert _by_time(W.add_lead(s, "k", "t", "v", "n", chunk="c"), "n") == {k: [1, 0, 5, None] for k in ("a", None)}
 
 
+def test_chunked_interpolation_equals_plain(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), t // 9, t, rng.choice([None, 0.0, float(rng.randint(1, 50))])) for t in range(200)]
+    df = spark.createDataFrame(rows, "k string, c int, t int, v double")
+    for missing in (True, False):
+        plain = {(r.k, r.t): r.v for r in W.interpolate_linear(df, "k", "t", "v", zero_is_missing=missing).collect()}
+        chunked = {(r.k, r.t): r.v for r in W.interpolate_linear(df, "k", "t", "v", zero_is_missing=missing, chunk="c").collect()}
+        assert plain == chunked and any(v is not None for v in plain.values())
+
+
+def test_drop_first_per_key(spark):
+    df = spark.createDataFrame([(k, t) for k in ("a", None) for t in range(5)] + [("b", 1)], "k string, t int")
+    assert sorted((r.k or "", r.t) for r in W.drop_first(df, "k", "t", 2).collect()) == [("", 2), ("", 3), ("", 4), ("a", 2), ("a", 3), ("a", 4)]
+
+
 def test_orders_consume_stock(spark):
     rng = random.Random(4)
     stock = {i: float(rng.randint(5, 60)) for i in range(12)}
