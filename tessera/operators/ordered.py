@@ -232,16 +232,41 @@ def difference(df: DataFrame, key, order, col: str, lag: int = 1, out: str | Non
     return df.withColumn(out, F.col(col) - F.lag(col, lag).over(w))
 
 
+def _with_halo(df: DataFrame, keys: list, order: list, chunk: str, cols: list[str], n: int) -> DataFrame:
+    """``df`` plus, per chunk, copies of the key's last ``n`` rows before it (``_halo`` true; other columns null).
+
+    Each chunk keeps its own last ``n`` rows in an array; a window over the
+    one-row-per-chunk table joins the arrays of at most ``n`` chunks back.
+    """
+    last = Window.partitionBy(*keys, chunk).orderBy(*[F.col(o).desc() for o in order])
+    tails = df.select(*keys, chunk, *order, *cols).withColumn("_r", F.row_number().over(last)).where(F.col("_r") <= n)
+    tails = tails.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list(F.struct(*order, *cols))).alias("_tail"))
+    earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(-n, -1)
+    tails = tails.withColumn("_all", F.flatten(F.collect_list("_tail").over(earlier)))
+    taken = F.slice("_all", F.greatest(F.size("_all") - n + 1, F.lit(1)), n)
+    halo = tails.select(*keys, chunk, F.explode(taken).alias("_h")).select(
+        *keys, chunk, *[F.col("_h")[c].alias(c) for c in [*order, *cols]], F.lit(True).alias("_halo"))
+    return df.withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
+
+
 def moving_average(df: DataFrame, key, order, col: str, n: int, out: str | None = None,
-                   with_std: bool = False) -> DataFrame:
-    """H5: trailing ``n``-row mean (and std); the first ``n-1`` rows are null like pandas ``rolling(n)``."""
-    w = Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
+                   with_std: bool = False, chunk: str | None = None) -> DataFrame:
+    """H5: trailing ``n``-row mean (and std); the first ``n-1`` rows are null like pandas ``rolling(n)``.
+
+    With ``chunk`` the windows run per ``(key, chunk)``, each chunk with the ``n - 1`` rows before it.
+    ``order`` names columns and is unique within a key.
+    """
+    keys, order = _cols(key), _cols(order)
+    parts, src = keys, df
+    if chunk is not None and n > 1:
+        parts, src = [*keys, chunk], _with_halo(df, keys, order, chunk, [col], n - 1)
+    w = Window.partitionBy(*parts).orderBy(*order)
     wr = w.rowsBetween(-(n - 1), 0)
     full = F.count(F.lit(1)).over(wr) == n
-    res = df.withColumn(out or f"{col}_ma{n}", F.when(full, F.avg(col).over(wr)))
+    res = src.withColumn(out or f"{col}_ma{n}", F.when(full, F.avg(col).over(wr)))
     if with_std:
         res = res.withColumn(f"{col}_std{n}", F.when(full, F.stddev_samp(col).over(wr)))
-    return res
+    return res if src is df else res.where(~F.col("_halo")).drop("_halo")
 
 
 def detrend(df: DataFrame, key, x: str, y: str, out: str | None = None) -> DataFrame:

@@ -241,7 +241,8 @@ SELECT series, day,
 FROM daily WINDOW w AS (PARTITION BY series ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
 """)
 def h5_moving_average(spark, sf_dir):
-    r = W.moving_average(daily(Tables(spark, sf_dir)), "series", "day", "actual", 7, with_std=True)
+    d = daily(Tables(spark, sf_dir)).withColumn("_week", F.date_trunc("week", "day"))
+    r = W.moving_average(d, "series", "day", "actual", 7, with_std=True, chunk="_week")
     return r.select("series", "day", F.round("actual_ma7", 6).alias("actual_ma7"),
                     F.round("actual_std7", 6).alias("actual_std7"))
 

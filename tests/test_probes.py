@@ -63,6 +63,20 @@ def test_chunked_interpolation_equals_plain(spark):
         assert plain == chunked and any(v is not None for v in plain.values())
 
 
+@pytest.mark.parametrize("n", [1, 3, 25])
+def test_chunked_moving_average_equals_plain(spark, n):
+    rng = random.Random(n)
+    rows = [(k, t // 4 + (t > 60) * 5, t, float(rng.randint(0, 9))) for k in ("a", None) for t in range(90)]
+    df = spark.createDataFrame(rows, "k string, c int, t int, v double")
+    plain = {(r.k, r.t): (r.m, r[f"v_std{n}"]) for r in W.moving_average(df, "k", "t", "v", n, "m", with_std=True).collect()}
+    cut = W.moving_average(df, "k", "t", "v", n, "m", with_std=True, chunk="c")
+    assert cut.columns == ["k", "c", "t", "v", "m", f"v_std{n}"]
+    got = {(r.k, r.t): (r.m, r[f"v_std{n}"]) for r in cut.collect()}
+    assert got.keys() == plain.keys()
+    for at, want in plain.items():
+        assert got[at] == pytest.approx(want)
+
+
 def test_drop_first_per_key(spark):
     df = spark.createDataFrame([(k, t) for k in ("a", None) for t in range(5)] + [("b", 1)], "k string, t int")
     assert sorted((r.k or "", r.t) for r in W.drop_first(df, "k", "t", 2).collect()) == [("", 2), ("", 3), ("", 4), ("a", 2), ("a", 3), ("a", 4)]
