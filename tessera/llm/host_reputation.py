@@ -88,15 +88,22 @@ def _levels(host: Column, suffixes: tuple[str, ...]) -> tuple[Column, Column]:
     return domain, suffix
 
 
-def _concentration(children: DataFrame, parents: DataFrame, parent: str) -> float:
-    """Pseudo-pages of the prior: ``(1 - rho) / rho`` for the pooled intraclass correlation ``rho``."""
-    p = F.col("pb") / F.col("pn")
-    rows = children.where("n > 0").join(parents.select(F.col(parent), F.col("n").alias("pn"), F.col("b").alias("pb")), parent)
-    r = rows.agg(
+def _within(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
+    """``children`` with their parent's counts ``pn, pb``."""
+    return children.join(parents.select(F.col(parent), F.col("n").alias("pn"), F.col("b").alias("pb")), parent)
+
+
+def _concentration(children: DataFrame, parent: str) -> float:
+    """Pseudo-pages of the prior: ``(1 - rho) / rho`` for the pooled intraclass correlation ``rho``.
+
+    ``children``: ``parent, n, b`` and the parent's counts ``pn, pb``.
+    """
+    p = F.try_divide("pb", "pn")  # a parent without labels has no child with labels
+    r = children.where("n > 0").agg(
         F.count("*").alias("k"), F.countDistinct(parent).alias("g"), F.sum("n").alias("n"),
         F.sum(F.col("n") * (F.col("b") / F.col("n") - p) * (F.col("b") / F.col("n") - p)).alias("between"),
         F.sum(F.col("b") * (1 - F.col("b") / F.col("n"))).alias("within"),
-        F.sum(F.col("n") * F.col("n") / F.col("pn")).alias("load"),
+        F.sum(F.try_divide(F.col("n") * F.col("n"), F.col("pn"))).alias("load"),
     ).first()
     if not r.k or r.k == r.g or r.n == r.k:
         return MAX_PRIOR
@@ -124,11 +131,13 @@ def reputations(pages: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...]
         "hosts",
     )
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
-    tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).withColumn("root", F.lit(0))
-    root = tops.groupBy("root").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
-    whole = root.first()
-    rate = (whole.b + 1) / (whole.n + 2) if whole else 0.5
-    m1, m2, m3 = _concentration(tops, root, "root"), _concentration(domains, tops, "suffix"), _concentration(hosts, domains, "domain")
+    tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
+    whole = tops.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
+    n, b = whole.n or 0, whole.b or 0
+    rate = (b + 1) / (n + 2)
+    m1 = _concentration(tops.withColumns({"root": F.lit(0), "pn": F.lit(n), "pb": F.lit(b)}), "root")
+    m2 = _concentration(_within(domains, tops, "suffix"), "suffix")
+    m3 = _concentration(_within(hosts, domains, "domain"), "domain")
     tops = tops.select("suffix", ((F.col("b") + m1 * rate) / (F.col("n") + m1)).alias("p1"))
     domains = domains.join(tops, "suffix").select("domain", ((F.col("b") + m2 * F.col("p1")) / (F.col("n") + m2)).alias("p2"))
     a, b = F.col("b") + m3 * F.col("p2"), F.col("n") - F.col("b") + m3 * (1 - F.col("p2"))
