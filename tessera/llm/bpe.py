@@ -16,8 +16,8 @@ on both sides and are spread over the tasks:
 
 A text in which some pair of neighbours shares no border (one pre-token longer
 than the overlap) is put together again and encoded as a whole.  Every
-pre-token is merged by the ``tiktoken`` library, distinct ones once per
-process while they fit ``CACHED`` entries.  Decoding concatenates the raw
+pre-token is merged by the ``tiktoken`` library; the ids of frequent ones are
+kept while the process lives, at most ``2 * CACHED``.  Decoding concatenates the raw
 bytes of the ids.
 
 Defined results: null and empty texts have no ids; repeated rows are encoded
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import RecentCache, slices, written
 from tessera.llm.files import open_random
 
 CHUNK = 1 << 16
@@ -47,7 +47,7 @@ _AHEAD = 4  # the pattern's longest fixed look: an apostrophe and two letters, a
 class PieceCoder:
     """Pre-tokeniser and merges of a rank file; ``piece -> ids`` is kept for frequent pieces."""
 
-    CACHED = 400_000
+    CACHED = 100_000
 
     def __init__(self, ranks_path: str, pattern: str):
         import regex
@@ -59,7 +59,7 @@ class PieceCoder:
         self.pattern = regex.compile(pattern)
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, bytes] = {}
+        self.known = RecentCache(self._merge, self.CACHED)
 
     def encode(self, text: str, size: int | None = None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers, piece by piece.
@@ -67,21 +67,14 @@ class PieceCoder:
         With ``size``, a border of the text, only of its first ``size`` characters; the rest is the
         right context in which their pre-tokens end.
         """
-        out, known, pieces = [], self.known, self.pattern.findall(text)
+        pieces = self.pattern.findall(text)
         beyond = 0 if size is None else len(text) - size
         while beyond > 0:
             beyond -= len(pieces.pop())
-        for k in range(0, len(pieces), 1 << 16):
-            part = pieces[k : k + (1 << 16)]
-            new = set(part).difference(known)
-            if len(known) + len(new) > self.CACHED and len(known) > self.CACHED // 2:
-                known.clear()
-                new = set(part)
-            merge = self.encoding._core_bpe.encode_single_piece
-            for piece in new:
-                known[piece] = np.array(merge(piece.encode("utf-8")), "<u4").tobytes()
-            out.append(b"".join(map(known.__getitem__, part)))
-        return b"".join(out)
+        return b"".join(map(self.known.__getitem__, pieces))
+
+    def _merge(self, piece: str) -> bytes:
+        return np.array(self.encoding._core_bpe.encode_single_piece(piece.encode("utf-8")), "<u4").tobytes()
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -112,12 +105,10 @@ _ENCODED = "ids binary"
 
 def _short(rows: DataFrame, kind: str, ranks_path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in slices(batches):
             own = coder(ranks_path, pattern)
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                ids = [own.encode(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["_id", "ids"])
+            ids = [own.encode(t or "") for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["_id", "ids"])
 
     return rows.mapInArrow(run, f"_id {kind}, {_ENCODED}")
 
@@ -147,7 +138,7 @@ def _long(rows: DataFrame, kind: str, ranks_path: str, pattern: str, chunk: int,
                     )
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 32):
             own = coder(ranks_path, pattern)
             heads, tails = [], []
             for c, low, part in zip(*(batch.column(x).to_pylist() for x in ("c", "low", "part")), strict=True):
@@ -161,7 +152,7 @@ def _long(rows: DataFrame, kind: str, ranks_path: str, pattern: str, chunk: int,
             )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 32):
             own = coder(ranks_path, pattern)
             out = []
             names = ("c", "low", "part", "whole", "begin", "end")
@@ -236,18 +227,16 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
     out = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "data binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(ranks_path, pattern)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                found = part.column(1).to_pylist()
-                data = [own.decode(ids) for ids in found]
-                if digests:
-                    cols = [pa.array([len(ids) // 4 for ids in found], pa.int64()),
-                            pa.array([hashlib.sha256(_decimal(ids)).hexdigest() for ids in found], pa.string()),
-                            pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string())]
-                else:
-                    cols = [pa.array(data, pa.binary())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *cols], names=["_id", *[x.split()[0] for x in out.split(", ")]])
+        for part in slices(batches):
+            own = coder(ranks_path, pattern)
+            found = part.column(1).to_pylist()
+            data = [own.decode(ids) for ids in found]
+            if digests:
+                cols = [pa.array([len(ids) // 4 for ids in found], pa.int64()),
+                        pa.array([hashlib.sha256(_decimal(ids)).hexdigest() for ids in found], pa.string()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string())]
+            else:
+                cols = [pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays([part.column(0), *cols], names=["_id", *[x.split()[0] for x in out.split(", ")]])
 
     return encoded.select(id_col, "ids").mapInArrow(run, f"_id {kind}, {out}").withColumnRenamed("_id", id_col)

@@ -12,6 +12,35 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage, ensure_checkpoint_dir
 
 
+#: Rows whose texts are turned into Python objects at a time, whatever the size of the Arrow batch.
+SLICE = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows (views, no copy)."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+class RecentCache(dict):
+    """``key -> make(key)`` in two generations of at most ``size`` keys: what is used again outlives the older one."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder in the shared checkpoint folder; Hadoop removes it when the application ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

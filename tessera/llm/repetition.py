@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import slices
+
 # Fixed values of the contract.
 WHITE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -176,7 +178,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
     kind = slim.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [measure_text(v or b"", rules) for v in batch.column(1).to_pylist()]
             cols = list(zip(*rows, strict=True)) if rows else [()] * 9
             types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.int64()] * 2
@@ -193,7 +195,7 @@ def filter_repetitive(docs: DataFrame, text_col: str = "text", rules: Repetition
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             keep = pa.array([measure_text(v or b"", rules)[6] for v in texts], pa.bool_())
             yield batch.filter(keep)

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import connected_components, written
+from tessera.llm.common import connected_components, slices, written
 
 SEED = 42  # fixed value of the contract
 SEGMENTS = 2
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = slim.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             fps = np.fromiter((fingerprint(v or b"", shingle) for v in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["_id", "fp"])
 

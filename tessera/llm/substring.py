@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import slices, written
 
 WINDOW = 50  # fixed value of the contract
 GRAM = 10
@@ -133,25 +133,23 @@ def _seed_rows(docs: DataFrame, kind: str, window: int, gram: int) -> DataFrame:
     """One row per anchor: ``h, ctx, doc, tag, first, last``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                found, rows = [], []
-                for i, text in enumerate(part.column(2).to_pylist()):
-                    words = _Words(text or b"")
-                    h, place, first, last = anchors(words, window, gram)
-                    if len(h):
-                        found.append((h, _keys(words, place, first, last, window), first, last))
-                        rows.append(np.full(len(h), i))
-                if not found:
-                    continue
-                h, ctx, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
-                row = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(h), _signed(ctx), part.column(0).take(row), part.column(1).take(row),
-                     pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
-                    names=["h", "ctx", "doc", "tag", "first", "last"],
-                )
+        for part in slices(batches):
+            found, rows = [], []
+            for i, text in enumerate(part.column(2).to_pylist()):
+                words = _Words(text or b"")
+                h, place, first, last = anchors(words, window, gram)
+                if len(h):
+                    found.append((h, _keys(words, place, first, last, window), first, last))
+                    rows.append(np.full(len(h), i))
+            if not found:
+                continue
+            h, ctx, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
+            row = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [_signed(h), _signed(ctx), part.column(0).take(row), part.column(1).take(row),
+                 pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
+                names=["h", "ctx", "doc", "tag", "first", "last"],
+            )
 
     return docs.mapInArrow(run, f"h long, ctx long, doc {kind}, tag long, first int, last int")
 
@@ -164,30 +162,28 @@ def _extension_rows(texts: DataFrame, kind: str, window: int, gram: int) -> Data
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                found, rows = [], []
-                for i, (text, wanted) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
-                    words = _Words(text or b"")
-                    h, place, first, last = anchors(words, window, gram)
-                    pick = np.isin(first, np.array(wanted, np.int64))
-                    h, place, first, last = h[pick], place[pick], first[pick], last[pick]
-                    times = last - first + 1
-                    which = np.repeat(np.arange(len(h)), times)
-                    start = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-                    shape = (place[which] - start).astype(np.uint64)
-                    ext = _mix(words.runs(start, start + window) + shape * np.uint64(_BASE))
-                    found.append((h[which], ext, start))
-                    rows.append(np.full(len(which), i))
-                if not found:
-                    continue
-                h, ext, start = (np.concatenate(x) for x in zip(*found, strict=True))
-                row = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(h), _signed(ext), part.column(0).take(row), part.column(1).take(row), pa.array(start.astype(np.int32))],
-                    names=["h", "ext", "doc", "tag", "first"],
-                )
+        for part in slices(batches, 64):
+            found, rows = [], []
+            for i, (text, wanted) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
+                words = _Words(text or b"")
+                h, place, first, last = anchors(words, window, gram)
+                pick = np.isin(first, np.array(wanted, np.int64))
+                h, place, first, last = h[pick], place[pick], first[pick], last[pick]
+                times = last - first + 1
+                which = np.repeat(np.arange(len(h)), times)
+                start = first[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+                shape = (place[which] - start).astype(np.uint64)
+                ext = _mix(words.runs(start, start + window) + shape * np.uint64(_BASE))
+                found.append((h[which], ext, start))
+                rows.append(np.full(len(which), i))
+            if not found:
+                continue
+            h, ext, start = (np.concatenate(x) for x in zip(*found, strict=True))
+            row = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [_signed(h), _signed(ext), part.column(0).take(row), part.column(1).take(row), pa.array(start.astype(np.int32))],
+                names=["h", "ext", "doc", "tag", "first"],
+            )
 
     return texts.mapInArrow(run, f"h long, ext long, doc {kind}, tag long, first int")
 
@@ -246,7 +242,7 @@ def remove(
     joined = rows.join(found, ["doc", "tag"], "left").select("doc", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             total, removed, digests, ranges = [], [], [], []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words, keep = _kept(text or b"", spans or [], window)

@@ -23,7 +23,6 @@ Columns of the input may have any name.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,11 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import slices
+
 WHITE = b" \t\n\x0b\x0c\r"  # fixed value of the contract
 _WHITE_SQL = " \t\n\x0b\x0c\r"
 
-#: Bytes of text that one task's trie may hold before it spills a subtree.
-TRIE_BYTES = 64 << 20
+#: Bytes that one task's trie may hold, keys and carried texts, before it spills a subtree.
+TRIE_BYTES = 48 << 20
 
 
 class _Node:
@@ -63,15 +64,16 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 class PatriciaTrie:
-    """Compressed radix trie over byte strings with one entry ``[rank, count, row]`` per terminal node.
+    """Compressed radix trie over byte strings with one entry ``[rank, count, row, size]`` per terminal node.
 
-    ``rank`` orders the rows of equal strings; the smallest stays.
+    ``rank`` orders the rows of equal strings; the smallest stays.  ``size`` is the
+    memory that ``row`` takes.
     """
 
     def __init__(self, budget: int = TRIE_BYTES):
         self.root, self.held, self.budget = _Node(b""), 0, budget
 
-    def insert(self, key: bytes, rank: tuple, count: int, row) -> None:
+    def insert(self, key: bytes, rank: tuple, count: int, row, size: int = 0) -> None:
         node, rest = self.root, key
         while rest:
             child = node.children.get(rest[0])
@@ -91,12 +93,13 @@ class PatriciaTrie:
                 child = upper
             node, rest = child, rest[n:]
         if node.entry is None:
-            node.entry = [rank, count, row]
-            self.held += 200
+            node.entry = [rank, count, row, size]
+            self.held += 200 + size
         else:
             node.entry[1] += count
             if rank < node.entry[0]:
-                node.entry[0], node.entry[2] = rank, row
+                self.held += size - node.entry[3]
+                node.entry[0], node.entry[2], node.entry[3] = rank, row, size
 
     def _walk(self, node: _Node, prefix: bytes) -> Iterator[tuple[bytes, list]]:
         stack = [(node, prefix)]
@@ -114,7 +117,7 @@ class PatriciaTrie:
         total, stack = 0, [node]
         while stack:
             at = stack.pop()
-            total += len(at.edge) + 200 + 200 * (at.entry is not None)
+            total += len(at.edge) + 200 + (200 + at.entry[3] if at.entry else 0)
             stack.extend(at.children.values())
         return total
 
@@ -175,14 +178,12 @@ def _owners(keyed: DataFrame, budget: int) -> DataFrame:
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def entries() -> Iterator[tuple]:
             trie = PatriciaTrie(budget)
-            for batch in batches:
-                for k in range(0, batch.num_rows, 256):
-                    part = batch.slice(k, 256)
-                    for ident, text, row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                        data = text or b""
-                        chars = len(data) if data.isascii() else len(data.decode("utf-8"))
-                        trie.insert(_normalised(data), _rank(chars, ident), 1, (data, ident, row))
-                    yield from (entry(*x) for x in trie.spill())
+            for part in slices(batches):
+                for ident, text, row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    data = text or b""
+                    chars = len(data) if data.isascii() else len(data.decode("utf-8"))
+                    trie.insert(_normalised(data), _rank(chars, ident), 1, (data, ident, row), len(data))
+                yield from (entry(*x) for x in trie.spill())
             yield from (entry(*x) for x in trie.items())
 
         yield from batches_of(entries())
@@ -190,16 +191,14 @@ def _owners(keyed: DataFrame, budget: int) -> DataFrame:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def entries() -> Iterator[tuple]:
             trie, key = PatriciaTrie(budget), None
-            for batch in batches:
-                for k in range(0, batch.num_rows, 256):
-                    part = batch.slice(k, 256)
-                    for size, digest, data, ident, count, row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                        if (size, digest) != key:  # the partition's last subtree is complete
-                            if key is not None:
-                                yield from (entry(*x) for x in trie.items())
-                            trie, key = PatriciaTrie(budget), (size, digest)
-                        chars = len(data) if data.isascii() else len(data.decode("utf-8"))
-                        trie.insert(_normalised(data), _rank(chars, ident), count, (data, ident, row))
+            for part in slices(batches):
+                for size, digest, data, ident, count, row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    if (size, digest) != key:  # the partition's last subtree is complete
+                        if key is not None:
+                            yield from (entry(*x) for x in trie.items())
+                        trie, key = PatriciaTrie(budget), (size, digest)
+                    chars = len(data) if data.isascii() else len(data.decode("utf-8"))
+                    trie.insert(_normalised(data), _rank(chars, ident), count, (data, ident, row), len(data))
             if key is not None:
                 yield from (entry(*x) for x in trie.items())
 
