@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import scratch_path, written
+from tessera.llm.common import RecentCache, scratch_path, slices, written
 from tessera.llm.files import AtomicFile, open_random
 
 LENGTH = 2048
@@ -44,21 +44,35 @@ ROWS = 64
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0" + "".join(
     map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
-# Units: an optional space and a run without white space; a run of white space up to its last character; or that one.
-_UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
+#: Letters of which a run, if ASCII other than a letter or the end follows, is one whole pre-token.
+_LETTERS = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0xFF)))
+# Units: such a run with an optional space; else an optional space and a run without white space;
+# a run of white space up to its last character; or that one.
+_WORD = f" ?[{_LETTERS}]+(?=[\\x00-@\\[-`{{-\\x7f]|\\Z)"
+_UNIT = re.compile(f"{_WORD}| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
+_IS_WORD = re.compile(f" ?[{_LETTERS}]+")
 _UNITS_AT_A_TIME = 1 << 18
 
 
+def _byte_characters() -> dict[int, str]:
+    """The byte-level vocabulary's character per byte: printable bytes stand for themselves, the others follow from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
 class UnitEncoder:
     """Encodes whole texts with the ``tokenizers`` library, each distinct unit of text once.
 
-    The byte-level splitting pattern always has a border before a space that
-    is followed by a non-space, and none of its matches reaches over such a
-    border; what lies between is a unit and encodes alike wherever it stands.
-    The ids of units are kept while the process lives, at most ``CACHED``.
+    The byte-level splitting pattern always has a border between two units,
+    and what lies between two borders encodes alike wherever it stands: at a
+    space followed by a non-space, and at the end of a run of letters.  Runs of
+    letters are whole pre-tokens and go to the library's BPE model directly,
+    other units through the whole tokenizer.  The ids of frequent units are
+    kept while the process lives.
     """
 
-    CACHED = 400_000
+    CACHED = 200_000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,42 +80,26 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text as little-endian integers of ``dtype``."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        waiting: list[tuple[int, list[str]]] = []
-        held = 0
-        for i, text in enumerate(texts):
-            if len(text) < 1 << 20:
-                parts = [_UNIT.findall(text)]
-            else:
-                found = (m.group() for m in _UNIT.finditer(text))
-                parts = iter(lambda it=found: list(itertools.islice(it, _UNITS_AT_A_TIME)), [])
-            for units in parts:
-                waiting.append((i, units))
-                held += len(units)
-                if held >= _UNITS_AT_A_TIME:
-                    self._encode(waiting, out)
-                    waiting, held = [], 0
-        self._encode(waiting, out)
-        return [b"".join(x) for x in out]
-
-    def _encode(self, waiting: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
-        known = self.known
-        new = set().union(*(units for _, units in waiting)).difference(known)
-        if len(known) + len(new) > self.CACHED and len(known) > self.CACHED // 2:
-            known.clear()
-            new = set().union(*(units for _, units in waiting))
-        fresh = list(new)
-        for k in range(0, len(fresh), 4096):
-            part = fresh[k : k + 4096]
-            for unit, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[unit] = np.array(found.ids, self.dtype).tobytes()
-        for i, units in waiting:
-            out[i].append(b"".join(map(known.__getitem__, units)))
+        self.characters = _byte_characters()
+        self.known = RecentCache(self._encode_unit, self.CACHED)
+
+    def _encode_unit(self, unit: str) -> bytes:
+        if _IS_WORD.fullmatch(unit):
+            piece = unit.encode("utf-8").decode("latin-1").translate(self.characters)
+            ids = [t.id for t in self.model.tokenize(piece)]
+        else:
+            ids = self.tokenizer.encode(unit, add_special_tokens=False).ids
+        return np.array(ids, self.dtype).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian integers of ``dtype``."""
+        if len(text) < 1 << 20:
+            return b"".join(map(self.known.__getitem__, _UNIT.findall(text)))
+        units = (m.group() for m in _UNIT.finditer(text))
+        parts = iter(lambda: list(itertools.islice(units, _UNITS_AT_A_TIME)), [])
+        return b"".join(b"".join(map(self.known.__getitem__, part)) for part in parts)
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}
@@ -223,11 +221,9 @@ def write(
         target = AtomicFile(folder, f"part-{part:06d}.arrows")
         with target as sink:
             writer = SequenceWriter(sink, own.dtype, length, rows, first.schema.field(0).type)
-            for batch in itertools.chain([first], batches):
-                for k in range(0, batch.num_rows, 128):
-                    ids, texts = (c.to_pylist() for c in batch.slice(k, 128).columns)
-                    for doc, found in zip(ids, own.encode_batch([t or "" for t in texts]), strict=True):
-                        writer.add(doc, found + end)
+            for rows_ in slices(itertools.chain([first], batches)):
+                for doc, text in zip(*(c.to_pylist() for c in rows_.columns), strict=True):
+                    writer.add(doc, own.encode(text or "") + end)
             writer.close()
         counts = [[part], [target.uri], [writer.documents], [writer.tokens], [writer.sequences]]
         yield pa.RecordBatch.from_arrays(
