@@ -57,10 +57,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        remove_at_end(spark, conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Let Hadoop delete ``path`` when the application ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hand the package to the Python workers, once per application.
 

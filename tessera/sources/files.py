@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, remove_at_end
 
 
 def _fs_and_path(uri: str):
@@ -36,9 +36,12 @@ def _write_file(folder: str, name: str, data: bytes) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder (never a machine-local temp dir)."""
+    """A fresh folder name under the shared checkpoint folder (never a machine-local temp dir),
+    removed when the application ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    outer = f"{base}/tessera-scratch-{name}-{uuid.uuid4().hex[:12]}"
+    remove_at_end(spark, outer)
+    return f"{outer}/data"
 
 
 # ------------------------------------------------------------------ A1, A7
