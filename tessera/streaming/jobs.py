@@ -86,7 +86,8 @@ def start_append(df: DataFrame, checkpoint: str, fmt: str = "parquet", path: str
 def stream_user_features(stream: DataFrame, user: str, ts: str, value: str, window: str = "7 days",
                          slide: str = "1 day", watermark: str = "1 day") -> DataFrame:
     """S3: per-user sliding-window mean/std/count with a watermark; rows later than the
-    watermark are dropped and each window is emitted once (append) after it closes."""
+    watermark are dropped and each window is emitted once (append) after it closes.  Windows
+    that the last watermark has not closed stay in the state and are emitted by a later run."""
     return (stream.withWatermark(ts, watermark)
             .groupBy(F.window(ts, window, slide).alias("w"), F.col(user))
             .agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.count(F.lit(1)).alias("n"))
