@@ -47,7 +47,7 @@ _AHEAD = 4  # the pattern's longest fixed look: an apostrophe and two letters, a
 class PieceCoder:
     """Pre-tokeniser and merges of a rank file; ``piece -> ids`` is kept for frequent pieces."""
 
-    CACHED = 100_000
+    CACHED = 60_000
 
     def __init__(self, ranks_path: str, pattern: str):
         import regex

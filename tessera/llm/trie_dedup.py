@@ -36,7 +36,7 @@ WHITE = b" \t\n\x0b\x0c\r"  # fixed value of the contract
 _WHITE_SQL = " \t\n\x0b\x0c\r"
 
 #: Bytes that one task's trie may hold, keys and carried texts, before it spills a subtree.
-TRIE_BYTES = 48 << 20
+TRIE_BYTES = 24 << 20
 
 
 class _Node:
