@@ -17,8 +17,8 @@ from tessera.llm.common import written
 from tessera.llm.queries import domain_column, mixing_tree
 from tessera.session import Tables
 
-#: The mixture draws each document at most once: this share of the words at hand, dealt by the tree's weights.
-MIX_PERCENT = 60
+#: Epochs that the mixture may read of a source, as in ``op1_mix_sources``; its budget is the smallest that leaves no document out.
+MIX_EPOCHS = 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The seeded token-prefix of every source's budget."""
-    return mixing.mix(docs, mixing_tree(), domain_column(), budget_percent=MIX_PERCENT, max_epochs=1)
+    """Every document at least once, and as often as its source's weighted budget has epochs for."""
+    return mixing.mix(docs, mixing_tree(), domain_column(), budget_percent=None, max_epochs=MIX_EPOCHS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

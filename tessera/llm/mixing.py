@@ -122,6 +122,50 @@ def allocate(stats: DataFrame, tree: list[Leaf], budget_percent: int, max_epochs
     )
 
 
+def _dealt(budget: int, children: dict[str, tuple[int, int]]) -> dict[str, int]:
+    """:func:`_share` of one parent on the driver: ``budget`` among ``name -> (weight, cap)``."""
+    taken, open_ = {}, dict(children)
+    while open_:
+        rest, total = budget - sum(taken.values()), sum(w for w, _ in open_.values())
+        short = [n for n, (w, cap) in open_.items() if cap * total <= rest * w]
+        if not short:
+            low = {n: rest * w // total for n, (w, _) in open_.items()}
+            first = sorted(open_, key=lambda n: (-(rest * open_[n][0] % total), n))[: rest - sum(low.values())]
+            return taken | low | {n: low[n] + 1 for n in first}
+        for n in short:
+            taken[n] = open_.pop(n)[1]
+    return taken
+
+
+def covering_percent(stats: DataFrame, tree: list[Leaf], max_epochs: int) -> int:
+    """A whole budget percent, by bisection the smallest, at which every named leaf with tokens has a whole epoch.
+
+    ``stats``: ``domain, lang, source, tokens``; at most one row per leaf of the tree reaches the driver.
+    """
+    leaf = {(x.domain, x.lang, x.source): x for x in tree if x.domain_weight > 0 and x.lang_weight > 0 and x.source_weight > 0}
+    named = stats.sparkSession.createDataFrame(list(leaf), "domain string, lang string, source string")
+    have = {(r.domain, r.lang, r.source): r.tokens for r in stats.join(F.broadcast(named), list(LEVELS)).where("tokens > 0").collect()}
+
+    def cap(*path: str) -> int:
+        return max_epochs * sum(n for k, n in have.items() if k[: len(path)] == path)
+
+    def covers(percent: int) -> bool:
+        top = _dealt(min(sum(have.values()) * percent // 100, cap()), {k[0]: (leaf[k].domain_weight, cap(k[0])) for k in have})
+        for d, b in top.items():
+            langs = _dealt(b, {k[1]: (leaf[k].lang_weight, cap(*k[:2])) for k in have if k[0] == d})
+            for lang, c in langs.items():
+                low = _dealt(c, {k[2]: (leaf[k].source_weight, cap(*k)) for k in have if k[:2] == (d, lang)})
+                if any(n < have[d, lang, s] for s, n in low.items()):
+                    return False
+        return True
+
+    low, high = 99, 100 * max_epochs
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (low, mid) if covers(mid) else (mid, high)
+    return high
+
+
 def _labelled(docs: DataFrame, domain: Column, lang_col: str, source_col: str) -> list[Column]:
     empty = F.lit("")
     return [F.coalesce(domain.cast("string"), empty).alias("domain"), F.coalesce(F.col(lang_col).cast("string"), empty).alias("lang"),
@@ -159,7 +203,7 @@ def _cuts(slim: DataFrame, budgets: DataFrame, seed: int) -> DataFrame:
 
 
 def draw(
-    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int = 100, max_epochs: int = 4, seed: int = 7,
+    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int | None = 100, max_epochs: int = 4, seed: int = 7,
     id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", tokens: Column | None = None,
 ) -> DataFrame:
     """One row per input row: id, leaf, ``n_tokens, leaf_budget, epochs`` taken whole, ``partial`` (in the next one's
@@ -182,19 +226,22 @@ def draw(
     )
 
 
-def _plan(slim: DataFrame, tree: list[Leaf], budget_percent: int, max_epochs: int, seed: int) -> DataFrame:
+def _plan(slim: DataFrame, tree: list[Leaf], budget_percent: int | None, max_epochs: int, seed: int) -> DataFrame:
     stats = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
+    if budget_percent is None:
+        budget_percent = covering_percent(stats, tree, max_epochs)
     budgets = allocate(stats, tree, budget_percent, max_epochs)
     ids = slim.select(*LEVELS, F.coalesce(F.col("_id").cast("string"), F.lit("null")).alias("id"), "n_tokens")
     return written(_cuts(ids, budgets, seed), "cuts")
 
 
 def mix(
-    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int = 100, max_epochs: int = 4, seed: int = 7,
+    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int | None = 100, max_epochs: int = 4, seed: int = 7,
     id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", tokens: Column | None = None,
 ) -> DataFrame:
     """The mixture: every row of ``docs`` as often as it is drawn, whole, columns unchanged.
 
+    Without a ``budget_percent`` the budget is the smallest that gives every leaf a whole epoch (:func:`covering_percent`).
     The cut document of a leaf is kept whole, so a leaf exceeds its budget by less than one document.
     The rows are not shuffled: the decision joins the (broadcast) leaf plan and the row's own order key.
     """

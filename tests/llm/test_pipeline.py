@@ -46,3 +46,25 @@ def test_run_equals_the_stages(spark):
     texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
     rows = got.collect()
     assert rows and all(hashlib.sha256(texts[r.doc_id].encode()).hexdigest() == r.decoded_sha256 for r in rows)
+
+
+def test_mixing_leaves_no_document_out(spark):
+    """Every document is drawn, as often as the smallest covering budget and the tree's weights say."""
+    from test_operators import mixing_oracle
+
+    from tessera.llm.queries import domain_of, mixing_tree
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, (domain_of(r.source), r.lang, r.source), len(brute.words(r.text))) for r in docs.collect()]
+    tokens = {}
+    for _, key, n in rows:
+        tokens[key] = tokens.get(key, 0) + n
+    short = lambda p: [k for k, n in tokens.items() if mixing_oracle(rows, mixing_tree(), p, 4)[0].get(k, 0) < n]
+    percent = next(p for p in range(100, 401) if not short(p))
+    drawn = mixing_oracle(rows, mixing_tree(), percent, 4)[1]
+    times = {}
+    for r in corpus_pipeline.mixture(spark, docs, SF).collect():
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+    assert set(times) == {i for i, _, _ in rows}
+    assert len(set(times.values())) > 1
+    assert all(times[i] == -(-drawn[i] // n) for i, _, n in rows if n)
