@@ -5,7 +5,8 @@ and suffix.  Each level's bad rate is a beta-binomial posterior whose prior has
 the parent's posterior mean - all pages, suffix, domain, host - and a
 concentration estimated from the data: the within-parent (intraclass)
 correlation of the level by analysis of variance, pooled over parents and kept
-within ``[MIN_PRIOR, MAX_PRIOR]`` pseudo-pages.  A host is blocked when the
+within ``[MIN_PRIOR, MAX_PRIOR]`` pseudo-pages.  A level whose parents have one
+child each adds nothing: the parent's prior passes through.  A host is blocked when the
 lower bound of its posterior, ``mean - Z * sd`` of the beta distribution,
 exceeds ``THRESHOLD``: few labels shrink to the domain, many speak for
 themselves, and hosts without any label inherit the domain's rate.
@@ -93,8 +94,9 @@ def _within(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
     return children.join(parents.select(F.col(parent), F.col("n").alias("pn"), F.col("b").alias("pb")), parent)
 
 
-def _concentration(children: DataFrame, parent: str) -> float:
-    """Pseudo-pages of the prior: ``(1 - rho) / rho`` for the pooled intraclass correlation ``rho``.
+def _concentration(children: DataFrame, parent: str) -> float | None:
+    """Pseudo-pages of the prior: ``(1 - rho) / rho`` for the pooled intraclass correlation ``rho``; none where every
+    parent has a single child, so that the level has nothing to estimate.
 
     ``children``: ``parent, n, b`` and the parent's counts ``pn, pb``.
     """
@@ -105,7 +107,9 @@ def _concentration(children: DataFrame, parent: str) -> float:
         F.sum(F.col("b") * (1 - F.col("b") / F.col("n"))).alias("within"),
         F.sum(F.try_divide(F.col("n") * F.col("n"), F.col("pn"))).alias("load"),
     ).first()
-    if not r.k or r.k == r.g or r.n == r.k:
+    if r.k and r.k == r.g:
+        return None
+    if not r.k or r.n == r.k:
         return MAX_PRIOR
     between, within, n0 = r.between / (r.k - r.g), r.within / (r.n - r.k), (r.n - r.load) / (r.k - r.g)
     spread = between - within
@@ -138,9 +142,14 @@ def reputations(pages: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...]
     m1 = _concentration(tops.withColumns({"root": F.lit(0), "pn": F.lit(n), "pb": F.lit(b)}), "root")
     m2 = _concentration(_within(domains, tops, "suffix"), "suffix")
     m3 = _concentration(_within(hosts, domains, "domain"), "domain")
-    tops = tops.select("suffix", ((F.col("b") + m1 * rate) / (F.col("n") + m1)).alias("p1"))
-    domains = domains.join(tops, "suffix").select("domain", ((F.col("b") + m2 * F.col("p1")) / (F.col("n") + m2)).alias("p2"))
-    a, b = F.col("b") + m3 * F.col("p2"), F.col("n") - F.col("b") + m3 * (1 - F.col("p2"))
+    # a level without a concentration of its own hands its children the prior that it was given
+    m1 = MAX_PRIOR if m1 is None else m1
+    tops = tops.select("suffix", ((F.col("b") + m1 * rate) / (F.col("n") + m1)).alias("p1"), F.lit(rate).alias("p0"))
+    domains = domains.join(tops, "suffix")
+    p1, m2 = (F.col("p0"), m1) if m2 is None else (F.col("p1"), m2)
+    domains = domains.select("domain", p1.alias("p1"), ((F.col("b") + m2 * p1) / (F.col("n") + m2)).alias("p2"))
+    p2, m3 = (F.col("p1"), m2) if m3 is None else (F.col("p2"), m3)
+    a, b = F.col("b") + m3 * p2, F.col("n") - F.col("b") + m3 * (1 - p2)
     posed = hosts.join(domains, "domain").withColumns({"alpha": a, "beta": b})
     total = F.col("alpha") + F.col("beta")
     mean = F.col("alpha") / total

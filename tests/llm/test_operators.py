@@ -364,6 +364,15 @@ def test_reputation_shrinks(spark):
                        "x.fine.org": "allow", "y.fine.org": "allow", "z.other.org": "allow"}
 
 
+def test_reputation_of_single_host_domains(spark):
+    """Where every host is its own domain, a host's many bad labels still block it."""
+    hosts = [(f"h{k}.org", 60, 58 if k < 2 else 3) for k in range(8)]
+    rows = [(k * 100 + j, f"ftp://{host}/{j}", j < bad) for k, (host, n, bad) in enumerate(hosts) for j in range(n)]
+    got = host_reputation.judge(spark.createDataFrame([r[:2] for r in rows], "page_id long, url string"),
+                                spark.createDataFrame([(i, b) for i, _, b in rows], "page_id long, bad boolean"), rules=())
+    assert {r.host for r in got.collect() if r.verdict == "block"} == {"h0.org", "h1.org"}
+
+
 # ---------------------------------------------------------------- empty tables, SQL
 
 def test_empty_tables(spark, empty):
