@@ -247,10 +247,6 @@ def s4_stream_kalman(spark, sf_dir):
 
 # ---------------------------------------------------------------- tokenizer, rewards
 
-#: Vocabulary of the registered BPE queries.  Training costs a job for every few merges, so they learn a short table;
-#: the operator's own default is 8 000 merges.
-BPE_VOCABULARY = 300
-
 def _merge_table(spark, merges, special=()):
     vocab = TK.vocab_bytes(merges, special)
     rows = [(r, a, b, new, vocab[new].decode("utf-8", errors="replace")) for r, (a, b, new) in enumerate(merges)]
@@ -259,9 +255,9 @@ def _merge_table(spark, merges, special=()):
 
 @query("t7_bpe_train_raw")
 def t7_bpe_train_raw(spark, sf_dir):
-    """Byte-level BPE on the raw benchmark texts (each text one sequence), ties to the first-seen pair."""
-    b = Tables(spark, sf_dir).benchmark
-    merges = TK.bpe_train(b, "text", BPE_VOCABULARY, key="item_id", pretokenize=False, tie="first_seen")
+    """Byte-level BPE on the raw documents (each text one sequence), ties to the first-seen pair."""
+    d = Tables(spark, sf_dir).documents
+    merges = TK.bpe_train(d, "text", key="doc_id", pretokenize=False, tie="first_seen")
     return _merge_table(spark, merges)
 
 
@@ -269,7 +265,7 @@ def t7_bpe_train_raw(spark, sf_dir):
 def t8_bpe_train(spark, sf_dir):
     """BPE on the documents with pre-tokenisation and special tokens, ties to the larger pair."""
     d = Tables(spark, sf_dir).documents
-    merges = TK.bpe_train(d, "text", BPE_VOCABULARY, key="doc_id", pretokenize=True, tie="max_pair",
+    merges = TK.bpe_train(d, "text", key="doc_id", pretokenize=True, tie="max_pair",
                           special_tokens=("<|endoftext|>",))
     return _merge_table(spark, merges, ("<|endoftext|>",))
 
@@ -278,7 +274,7 @@ def t8_bpe_train(spark, sf_dir):
 def t9_bpe_roundtrip(spark, sf_dir):
     """Encode every document with merges learnt on the documents, decode, compare."""
     t = Tables(spark, sf_dir)
-    merges = TK.bpe_train(t.documents, "text", BPE_VOCABULARY, key="doc_id")
+    merges = TK.bpe_train(t.documents, "text", key="doc_id")
     enc = TK.bpe_encode(t.documents, "text", "doc_id", merges)
     dec = enc.select("doc_id", F.size("ids").alias("n_ids"), TK.bpe_decode("ids", merges, spark).alias("back"))
     j = dec.join(t.documents.select("doc_id", "text"), "doc_id")
@@ -292,8 +288,8 @@ def t25_prepare_parallel(spark, sf_dir):
     tok = pairs.select("_k", FT.wordpunct("src").alias("src"), FT.wordpunct("dst").alias("dst"))
     split = S.split_exact(tok, "_k", (0.9, 0.1), "42", ("train", "dev"))
     train = split.where(F.col("split") == "train")
-    m_src = TK.bpe_train(train, "src", BPE_VOCABULARY, key="_k")
-    m_dst = TK.bpe_train(train, "dst", BPE_VOCABULARY, key="_k")
+    m_src = TK.bpe_train(train, "src", key="_k")
+    m_dst = TK.bpe_train(train, "dst", key="_k")
     src = TK.bpe_encode(split, "src", "_k", m_src).select("_k", F.size("ids").alias("src_ids"))
     dst = TK.bpe_encode(split, "dst", "_k", m_dst).select("_k", F.size("ids").alias("dst_ids"))
     coded = split.select("_k", "split").join(src, "_k").join(dst, "_k")

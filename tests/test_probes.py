@@ -275,3 +275,25 @@ def test_join_pieces_equals_repeated_replacement():
                     i += 1
             want = out
         assert TK.join_pieces(ids, table) == want
+
+
+@pytest.mark.parametrize(("name", "key"), [("t7_bpe_train_raw", "doc_id"), ("t8_bpe_train", "doc_id"), ("t9_bpe_roundtrip", "doc_id"),
+                                           ("t25_prepare_parallel", "_k")])
+def test_bpe_queries_train_in_full(spark, monkeypatch, name, key):
+    """The registered queries train on whole tables with the operator's default number of merges."""
+    from inspect import signature
+
+    from tessera import plans
+    from tessera.operators import tokenizer
+
+    real, calls = tokenizer.bpe_train, []
+
+    def spy(*args, **kwargs):
+        bound = signature(real).bind(*args, **kwargs)
+        bound.apply_defaults()
+        calls.append((bound.arguments["vocab_size"], bound.arguments["key"]))
+        return []
+
+    monkeypatch.setattr(tokenizer, "bpe_train", spy)
+    plans.queries()[name](spark, "/root/testdata/sf0.001")
+    assert calls and all(c == (8256, key) for c in calls)
