@@ -3,8 +3,10 @@
 H1 has no process noise, so its fold has a closed form in running sums and is
 a plain chunked window job.  The filters with process noise (H2, H3) and the
 discrete Bayes filter (H4) are genuinely sequential per key: they run as a
-grouped pandas fold (one key per group, rows in time order); the streaming
-twin in :mod:`tessera.streaming` keeps the same state across micro-batches.
+grouped pandas fold (one key per group, rows in time order).  With a ``chunk``
+column (which must not decrease in the order, e.g. the day) they fold every
+``(key, chunk)`` into one composable step, carry the state over one row per chunk,
+and replay the chunks from it in parallel; the streaming twin in :mod:`tessera.streaming` keeps the same state across micro-batches.
 """
 
 from __future__ import annotations
@@ -55,8 +57,68 @@ def _kf_fold(pdf: pd.DataFrame, order: list[str], z: str, r: str | None, a: np.n
     return out
 
 
+def _chunked_fold(df: DataFrame, key: str, chunk: str, start: list[float], step, advance, replay, schema: str) -> DataFrame:
+    """``step(rows) -> flat step`` per ``(key, chunk)``, ``advance(state, flat step) -> state`` along a key's chunks,
+    ``replay(rows, state, place) -> rows`` of every chunk from the state and the number of rows before it."""
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in (key, chunk))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({key: pdf[key].iloc[:1], chunk: pdf[chunk].iloc[:1], "_n": len(pdf), "_step": [step(pdf).tolist()]})
+
+    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(chunk)
+        state, place, states, places = np.array(start, float), 0, [], []
+        for n, one in zip(pdf["_n"], pdf["_step"]):
+            states.append(state.tolist())
+            places.append(place)
+            state, place = advance(state, np.asarray(one, float)), place + int(n)
+        return pdf[[key, chunk]].assign(_place=places, _state=states)
+
+    def run(pdf: pd.DataFrame, head: pd.DataFrame) -> pd.DataFrame:
+        return replay(pdf, np.asarray(head["_state"].iloc[0], float), int(head["_place"].iloc[0]))
+
+    steps = df.groupBy(key, chunk).applyInPandas(fold, f"{kinds}, _n long, _step array<double>")
+    heads = steps.groupBy(key).applyInPandas(carry, f"{kinds}, _place long, _state array<double>")
+    return df.groupBy(key, chunk).cogroup(heads.groupBy(key, chunk)).applyInPandas(run, schema)
+
+
+def _kf_chunked(df: DataFrame, key: str, chunk: str, order: list[str], z: str, r: str | None, a: np.ndarray, q: np.ndarray,
+                x0: np.ndarray, p0: np.ndarray, r_const: float, schema: str) -> DataFrame:
+    """:func:`_kf_fold` by chunks.  A step is ``(A, b, C, eta, J)``: given the state ``x`` before it, the state after it
+    has mean ``A x + b`` and variance ``C``, and its readings weigh ``x`` with the information ``eta, J``."""
+    n = len(x0)
+    eye, h = np.eye(n), np.eye(n)[0]
+    cuts = np.cumsum([n * n, n, n * n, n])
+
+    def step(pdf: pd.DataFrame) -> np.ndarray:
+        pdf = pdf.sort_values(order, kind="mergesort")
+        rs = pdf[r].to_numpy(float) if r else np.full(len(pdf), r_const)
+        f, b, c, eta, j = eye, np.zeros(n), np.zeros((n, n)), np.zeros(n), np.zeros((n, n))
+        for zi, ri in zip(pdf[z].to_numpy(float), rs):
+            s = q[0, 0] + ri
+            left = eye - np.outer(q[:, 0] / s, h)
+            f2, b2, c2, seen = left @ a, q[:, 0] / s * zi, left @ q, a.T @ h
+            eta2, j2 = seen / s * zi, np.outer(seen, seen) / s
+            m = np.linalg.inv(eye + c @ j2)
+            f, b, c, eta, j = (f2 @ m @ f, f2 @ m @ (b + c @ eta2) + b2, f2 @ m @ c @ f2.T + c2,
+                               f.T @ m.T @ (eta2 - j2 @ b) + eta, f.T @ m.T @ j2 @ f + j)
+        return np.concatenate([f.ravel(), b, c.ravel(), eta, j.ravel()])
+
+    def advance(state: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        x, p = state[:n], state[n:].reshape(n, n)
+        f, b, c, eta, j = np.split(flat, cuts)
+        f, c, j = f.reshape(n, n), c.reshape(n, n), j.reshape(n, n)
+        m = f @ np.linalg.inv(eye + p @ j)
+        return np.concatenate([m @ (x + p @ eta) + b, (m @ p @ f.T + c).ravel()])
+
+    def replay(pdf: pd.DataFrame, state: np.ndarray, place: int) -> pd.DataFrame:
+        return _kf_fold(pdf, order, z, r, a, q, state[:n], state[n:].reshape(n, n), r_const)
+
+    return _chunked_fold(df, key, chunk, [*x0, *p0.ravel()], step, advance, replay, schema)
+
+
 def kalman_cv(df: DataFrame, key: str, order: list[str], z: str, r: str | None = None, r_const: float = 1.0,
-              q: float = 0.1, dt: float = 1.0, x0=(0.0, 0.0), p0=None) -> DataFrame:
+              q: float = 0.1, dt: float = 1.0, x0=(0.0, 0.0), p0=None, chunk: str | None = None) -> DataFrame:
     """H2: constant-velocity Kalman filter (state position, velocity) per key, predict then update."""
     a = np.array([[1.0, dt], [0.0, 1.0]])
     qm = np.eye(2) * q
@@ -64,6 +126,9 @@ def kalman_cv(df: DataFrame, key: str, order: list[str], z: str, r: str | None =
     x0v = np.asarray(x0, float)
     schema = df.schema.simpleString()[len("struct<"):-1].replace(":", " ") + ", position double, velocity double, P double"
 
+    if chunk is not None:
+        return _kf_chunked(df, key, chunk, order, z, r, a, qm, x0v, p0m, r_const, schema)
+
     def fn(pdf):
         return _kf_fold(pdf, order, z, r, a, qm, x0v, p0m, r_const)
 
@@ -71,11 +136,14 @@ def kalman_cv(df: DataFrame, key: str, order: list[str], z: str, r: str | None =
 
 
 def kalman_fused(df: DataFrame, key: str, order: list[str], a: str, b: str, q: float = 1.0, r: float = 6.0,
-                 x0: float = 0.0, p0: float = 10.0) -> DataFrame:
+                 x0: float = 0.0, p0: float = 10.0, chunk: str | None = None) -> DataFrame:
     """H3: average two sensors, then a one-state Kalman filter (Q=1, R=6, P0=10 by default)."""
     d = df.withColumn("fused", (F.col(a) + F.col(b)) / 2.0)
     schema = d.schema.simpleString()[len("struct<"):-1].replace(":", " ") + ", position double, P double"
 
+    if chunk is not None:
+        return _kf_chunked(d, key, chunk, order, "fused", None, np.eye(1), np.eye(1) * q, np.array([x0]), np.eye(1) * p0, r, schema)
+
     def fn(pdf):
         return _kf_fold(pdf, order, "fused", None, np.eye(1), np.eye(1) * q, np.array([x0]), np.eye(1) * p0, r)
 
@@ -83,22 +151,39 @@ def kalman_fused(df: DataFrame, key: str, order: list[str], a: str, b: str, q: f
 
 
 def histogram_filter(obs: DataFrame, key: str, order: list[str], measurement: str, world: list[str],
-                     p_hit: float = 0.6, p_miss: float = 0.2, step: int = 1, p_move: float = 0.8) -> DataFrame:
+                     p_hit: float = 0.6, p_miss: float = 0.2, step: int = 1, p_move: float = 0.8,
+                     chunk: str | None = None) -> DataFrame:
     """H4: discrete Bayes localisation per key: for every observation sense (hit/miss weights,
     normalise) then move ``step`` cells cyclically (exact with ``p_move``, stay otherwise)."""
     n = len(world)
     schema = f"{key} {obs.schema[key].dataType.simpleString()}, step long, belief array<double>"
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+    w = np.array(world)
+
+    def replay(pdf: pd.DataFrame, belief: np.ndarray, place: int) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="mergesort")
-        belief = np.full(n, 1.0 / n)
-        w = np.array(world)
         rows = []
-        for i, m in enumerate(pdf[measurement].to_numpy()):
+        for i, m in enumerate(pdf[measurement].to_numpy(), place):
             belief = belief * np.where(w == m, p_hit, p_miss)
             belief = belief / belief.sum()
             belief = np.roll(belief, step) * p_move + belief * (1 - p_move)
             rows.append((pdf[key].iloc[0], i, belief.tolist()))
         return pd.DataFrame(rows, columns=[key, "step", "belief"])
 
-    return obs.groupBy(key).applyInPandas(fn, schema)
+    even = np.full(n, 1.0 / n)
+    if chunk is None:
+        return obs.groupBy(key).applyInPandas(lambda pdf: replay(pdf, even, 0), schema)
+
+    def product(pdf: pd.DataFrame) -> np.ndarray:
+        moved = np.eye(n)
+        for m in pdf.sort_values(order, kind="mergesort")[measurement].to_numpy():
+            moved = moved * np.where(w == m, p_hit, p_miss)[:, None]
+            moved = moved / moved.sum()
+            moved = np.roll(moved, step, axis=0) * p_move + moved * (1 - p_move)
+        return moved.ravel()
+
+    def advance(belief: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        belief = flat.reshape(n, n) @ belief
+        return belief / belief.sum()
+
+    return _chunked_fold(obs, key, chunk, even.tolist(), product, advance, replay, schema)

@@ -30,8 +30,8 @@ def h1_kalman_scalar(spark, sf_dir):
 
 @query("h2_kalman_cv")
 def h2_kalman_cv(spark, sf_dir):
-    d = _sensor_rows(spark, sf_dir)
-    r = H.kalman_cv(d, "user_id", ["ts", "event_id"], "z", "R", q=0.1)
+    d = _sensor_rows(spark, sf_dir).withColumn("_day", F.to_date("ts"))
+    r = H.kalman_cv(d, "user_id", ["ts", "event_id"], "z", "R", q=0.1, chunk="_day")
     return r.select("event_id", "user_id", "position", "velocity", "P")
 
 
@@ -39,14 +39,15 @@ def h2_kalman_cv(spark, sf_dir):
 def h3_kalman_fused(spark, sf_dir):
     e = Tables(spark, sf_dir).events.select(
         "event_id", "user_id", "ts", F.col("value").alias("a"),
-        F.get_json_object("props", "$.k").cast("double").alias("b"))
-    r = H.kalman_fused(e, "user_id", ["ts", "event_id"], "a", "b")
+        F.get_json_object("props", "$.k").cast("double").alias("b"),
+        F.to_date("ts").alias("_day"))
+    r = H.kalman_fused(e, "user_id", ["ts", "event_id"], "a", "b", chunk="_day")
     return r.select("event_id", "user_id", "position", "P")
 
 
 @query("h4_histogram_filter")
 def h4_histogram_filter(spark, sf_dir):
     """Each user's event types as landmark readings in a 5-cell cyclic world."""
-    e = Tables(spark, sf_dir).events.select("user_id", "ts", "event_id", "event_type")
+    e = Tables(spark, sf_dir).events.select("user_id", "ts", "event_id", "event_type", F.to_date("ts").alias("_day"))
     world = ["signup", "click", "view", "purchase", "error"]
-    return H.histogram_filter(e, "user_id", ["ts", "event_id"], "event_type", world)
+    return H.histogram_filter(e, "user_id", ["ts", "event_id"], "event_type", world, chunk="_day")
