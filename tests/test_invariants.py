@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK, SF_SMALL
+from table_dirs import SF_CHECK, SF_SMALL
 from tessera.functions.text import wordpunct_tokens
 from tessera.operators import features as G
 from tessera.operators import metrics as M

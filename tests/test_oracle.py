@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 import __spark_entry__ as entry
 from tessera.session import TABLES
 
