@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, bpe, host_reputation, mixing, repetition, sharding, simhash, substring, trie_dedup, warc
+from tessera.llm import arrow_tokens, bpe, hard_negatives, host_reputation, mixing, repetition, sharding, simhash, substring, trie_dedup, warc
 from tessera.session import Tables
 
 _QUERIES: dict[str, Callable] = {}
@@ -282,3 +282,28 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM (
 @_query("op10_trie_dedup", _OP10_SQL)
 def op10_trie_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.assign(Tables(spark, sf_dir).documents)
+
+
+# ---------------------------------------------------------------- 12 hard negatives
+
+_OP12_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS id, list_dot_product(a.v, c.v)::BIGINT AS score
+      FROM r a JOIN r c ON c.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+@_query("op12_hard_negatives", _OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(Tables(spark, sf_dir).embeddings)
