@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import arrow_tokens, bpe, hard_negatives, host_reputation, mixing, repetition, sharding, simhash, substring, trie_dedup, warc
+from tessera.llm import arrow_tokens, bpe, collocations, hard_negatives, host_reputation, mixing, repetition, sharding, simhash, substring, toxicity, trie_dedup, warc
 from tessera.session import Tables
 
 _QUERIES: dict[str, Callable] = {}
@@ -284,6 +284,34 @@ def op10_trie_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.assign(Tables(spark, sf_dir).documents)
 
 
+# ---------------------------------------------------------------- 11 phrase collocations
+
+_OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, ws[i:i + k - 1] AS words, count(*) AS f
+      FROM w, (SELECT unnest([1, 2, 3]) AS k) t, unnest(generate_series(1, len(ws) - k + 1)) AS u(i) GROUP BY ALL),
+c AS (SELECT * FROM g WHERE k >= 2 AND f >= 10),
+longer AS (SELECT DISTINCT s.lang, s.words FROM c s JOIN c t ON t.lang = s.lang AND s.k = 2 AND t.k = 3
+           AND (t.words[1:2] = s.words OR t.words[2:3] = s.words) WHERE 100 * t.f >= 50 * s.f),
+cuts AS (SELECT c.lang, c.words, c.f AS a, cut, x.f AS l, y.f AS r, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+  FROM c, unnest(generate_series(1, c.k - 1)) AS u(cut)
+  JOIN g x ON x.lang = c.lang AND x.words = c.words[1:cut] JOIN g y ON y.lang = c.lang AND y.words = c.words[cut + 1:]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1),
+scored AS (SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM lowest ANTI JOIN longer USING (lang, words))
+SELECT lang, row_number() OVER v AS rank, phrase, a, l, r, n, score FROM scored JOIN totals USING (lang)
+WINDOW v AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER v <= 2000
+"""
+
+
+@_query("op11_collocations", _OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(Tables(spark, sf_dir).documents)
+
+
 # ---------------------------------------------------------------- 12 hard negatives
 
 _OP12_SQL = """
@@ -307,3 +335,11 @@ QUALIFY row_number() OVER w <= 3
 @_query("op12_hard_negatives", _OP12_SQL)
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(Tables(spark, sf_dir).embeddings)
+
+
+# ---------------------------------------------------------------- 13 toxicity
+
+@_query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return toxicity.toxicity(t.documents, t.labels)
