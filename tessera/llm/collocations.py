@@ -49,7 +49,7 @@ PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
 TOKEN = re.compile(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 
 #: Words of a task that are counted at a time.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Characters of a text that are split into words at a time (cut at the end of a piece).
 STRETCH = 1_000_000
 #: Counters of the sketch of word pairs, as a power of two; they are sent in slices.
@@ -72,11 +72,11 @@ class Chunk:
     def add(self, text: str) -> None:
         for stretch in stretches(text):
             tokens = TOKEN.findall(stretch)
-            self.parts += [np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens)), np.zeros(1, np.int64)]
+            self.parts += [np.fromiter(map(self.numbers.__getitem__, tokens), np.int32, len(tokens)), np.zeros(1, np.int32)]
             self.size += len(tokens)
 
     def stream(self) -> np.ndarray:
-        return np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
+        return np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
 
     def marks(self) -> np.ndarray:
         """A 64-bit mark per word number, the same in every task."""
@@ -140,17 +140,27 @@ def pair_slots(marks: np.ndarray, lang: str, left: np.ndarray, right: np.ndarray
     mixed = marks[left] * np.uint64(0x9E3779B97F4A7C15) + (marks[right] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8"))))
     mixed ^= mixed >> np.uint64(29)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+    mixed >>= np.uint64(64 - bits)
+    return mixed.view(np.int64)
 
 
 def counted(numbers: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of the parallel columns ``numbers`` and their counts, by sorting."""
+    """Distinct rows of the parallel columns ``numbers`` and their counts, by sorting (of one packed number a row where it fits)."""
+    if not len(numbers[0]):
+        return numbers, np.zeros(0, np.int64)
+    bits = int(max(c.max() for c in numbers)).bit_length()
+    if bits * len(numbers) < 64:
+        key = numbers[0].astype(np.int64)
+        for c in numbers[1:]:
+            key = (key << bits) | c
+        key.sort()
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        distinct = key[starts]
+        columns = [(distinct >> bits * k) & ((1 << bits) - 1) for k in reversed(range(len(numbers)))]
+        return columns, np.diff(np.append(starts, len(key)))
     order = np.lexsort(numbers[::-1])
     columns = [c[order] for c in numbers]
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
-    starts = np.flatnonzero(new)
+    starts = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]))
     return [c[starts] for c in columns], np.diff(np.append(starts, len(order)))
 
 
