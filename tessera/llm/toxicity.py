@@ -11,13 +11,15 @@ capitals, punctuation, obfuscated spellings.  A task numbers the distinct tokens
 it meets and measures each once; a text is then sums over its token numbers.
 Every text is measured whole.
 
-*Model.*  Spark ML boosted trees on three quarters of the labelled sample;
-isotonic regression of the label on the trees' probability on the remaining
-quarter makes the score a calibrated probability.  Label, language, source and id
-are no inputs.
+*Model.*  Boosted trees (logistic loss, Newton steps, quantile histograms) on
+three quarters of the labelled sample; isotonic regression of the label on the
+trees' sum on the remaining quarter makes the score a calibrated probability.
+Label, language, source and id are no inputs.
 
 The model is fitted on at most about ``fit_rows`` labelled documents (chosen by a
-hash of the id, all of them if there are no more); the lexicon holds at most
+hash of the id, all of them if there are no more): their texts are measured and
+their terms counted by Spark, and only their feature rows, a few MB by that
+bound, reach the driver, which grows the trees.  The lexicon holds at most
 ``lexicon_size`` terms.  Everything else covers all documents.
 
 Defined results: a null text counts as empty and gets a score too; rows that share
@@ -36,9 +38,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +65,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 TRIMMED = re.compile(r"^[\W_]+|[\W_]+$")
 STRETCHED = re.compile(r"(.)\1{2,}")
 MARKS = re.compile(r"[!?]{2,}")
+BETWEEN = re.compile(r"[\W_]")
+SYMBOLS = re.compile(r"[#*$%&|<>]")
 #: Letters of the word beginnings that the lexicon may hold.
 BEGINNINGS = (4, 5, 6)
 #: Words between an insult and a second person that still count as near.
@@ -78,15 +79,117 @@ STRONG = 4.0
 HELD = 200_000
 
 
+@dataclass(frozen=True)
+class Tree:
+    """A regression tree as arrays; node ``k`` has the children ``2k + 1`` and ``2k + 2``, a leaf the feature -1."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    value: np.ndarray
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(x), np.int64)
+        rows = np.arange(len(x))
+        while True:
+            f = self.feature[node]
+            inner = f >= 0
+            if not inner.any():
+                return self.value[node]
+            right = x[rows, np.maximum(f, 0)] > self.threshold[node]
+            node = np.where(inner, 2 * node + 1 + right, node)
+
+
+@dataclass(frozen=True)
+class BoostedTrees:
+    """Log-odds as a start and a sum of trees."""
+
+    start: float
+    trees: list[Tree]
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return self.start + sum((t(x) for t in self.trees), np.zeros(len(x)))
+
+
+def boost(x: np.ndarray, y: np.ndarray, n_trees: int = 120, depth: int = 3, step: float = 0.1, bins: int = 64, ridge: float = 1.0, least: float = 2.0) -> BoostedTrees:
+    """Gradient-boosted trees for 0/1 labels: each tree is a Newton step, its splits the best of ``bins`` quantiles a feature.
+
+    ``least`` is the smallest sum of second derivatives in a leaf.
+    """
+    n, width = x.shape
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(width)]
+    codes = np.stack([np.searchsorted(cuts[j], x[:, j], "left") for j in range(width)], 1)  # code c: above c cuts
+    rate = (y.sum() + 0.5) / (n + 1)
+    score = np.full(n, math.log(rate / (1 - rate)))
+    model = BoostedTrees(float(score[0]), [])
+    for _ in range(n_trees):
+        p = 1 / (1 + np.exp(-score))
+        gradient, curve = y - p, p * (1 - p)
+        size = 2 ** (depth + 1) - 1
+        feature, threshold, value = np.full(size, -1), np.zeros(size), np.zeros(size)
+        node = np.zeros(n, np.int64)
+        for level in range(depth + 1):
+            first, count = 2**level - 1, 2**level
+            at = np.flatnonzero(node >= first)
+            place = node[at] - first
+            g, h = (np.bincount(place, w[at], count) for w in (gradient, curve))
+            value[first : first + count] = step * g / (h + ridge)
+            if level == depth:
+                break
+            best = np.zeros(count)
+            for j in range(width):
+                if not len(cuts[j]):
+                    continue
+                cell = place * bins + codes[at, j]
+                gs, hs = (np.bincount(cell, w[at], count * bins).reshape(count, bins).cumsum(1)[:, : len(cuts[j])] for w in (gradient, curve))
+                gr, hr = g[:, None] - gs, h[:, None] - hs
+                gain = gs**2 / (hs + ridge) + gr**2 / (hr + ridge) - (g**2 / (h + ridge))[:, None]
+                gain[(hs < least) | (hr < least)] = 0
+                top = gain.argmax(1)
+                better = gain[np.arange(count), top] > best + 1e-9
+                best = np.where(better, gain[np.arange(count), top], best)
+                for k in np.flatnonzero(better):
+                    feature[first + k], threshold[first + k] = j, cuts[j][top[k]]
+            f = feature[node[at]]
+            split = f >= 0
+            right = x[at, np.maximum(f, 0)] > threshold[node[at]]
+            node[at] = np.where(split, 2 * node[at] + 1 + right, -1)
+        tree = Tree(feature, threshold, value)
+        model.trees.append(tree)
+        score += tree(x)
+    return model
+
+
+def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Knots of the increasing step fit of ``y`` on ``x`` (pooled adjacent violators), to be interpolated between."""
+    order = np.argsort(x, kind="stable")
+    blocks: list[list[float]] = []  # sum, count, first x, last x
+    values, starts, counts = np.unique(x[order], return_index=True, return_counts=True)
+    sums = np.add.reduceat(y[order].astype(np.float64), starts)
+    for v, s, c in zip(values.tolist(), sums.tolist(), counts.tolist(), strict=True):
+        blocks.append([s, c, v, v])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            s, c, _, last = blocks.pop()
+            blocks[-1][0] += s
+            blocks[-1][1] += c
+            blocks[-1][3] = last
+    return np.array([b[k] for b in blocks for k in (2, 3)]), np.array([b[0] / b[1] for b in blocks for _ in range(2)])
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """What one fit leaves: the lexicon, the trees and the calibration (both ``None`` where there was nothing to learn)."""
+    """What one fit leaves: the lexicon, the trees and the knots of the calibration (``None`` where there was nothing to learn)."""
 
     lexicon: dict[str, float]
-    trees: object
-    calibration: object
+    trees: BoostedTrees | None
+    knots: tuple[np.ndarray, np.ndarray] | None
     base: float
 
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        if self.trees is None or not len(x):
+            return np.full(len(x), self.base)
+        raw = self.trees(x)
+        return 1 / (1 + np.exp(-raw)) if self.knots is None else np.interp(raw, *self.knots)
+
 
 def plain(token: str) -> str:
     """The token in lower case, without marks at its ends."""
@@ -113,29 +216,49 @@ class TokenTable:
         self.rows = np.zeros((1024, 16), np.float32)
 
     def weight(self, word: str) -> float:
-        return max((self.lexicon.get(t, 0.0) for t in terms_of(word)), default=0.0) if word else 0.0
-
-    def measured(self, token: str) -> list[float]:
+        find = self.lexicon.get
+        most = find(word, 0.0)
+        for n in BEGINNINGS:
+            if len(word) > n:
+                most = max(most, find("^" + word[:n], 0.0))
+        return most
+
+    def measured(self, token: str) -> tuple:
+        bare = token.rstrip(".,;:")
+        if bare.isalpha():  # most tokens: letters, and perhaps a stop
+            word, stretched = bare.lower(), bool(STRETCHED.search(bare))
+            uppers = 0 if bare.islower() else sum(map(str.isupper, bare))
+            insult, weight = word in INSULTS, self.weight(word)
+            hidden = stretched and not insult and self._hidden(word, weight)
+            n, marks = len(bare), len(token) - len(bare)
+            return (insult, max(weight, STRONG if insult or hidden else 0.0), word in SECOND_PERSON, n > 1 and uppers == n, uppers, n,
+                    0, 0, False, marks, False, hidden, stretched, n == 1, 0, n + marks)
         word = plain(token)
         letters = "".join(LETTERS.findall(token))
         uppers = sum(map(str.isupper, letters))
-        weight, insult = self.weight(word), word in INSULTS
-        odd = bool(word) and not word.isalpha() and len(letters) >= 2
-        bare = STRETCHED.sub(r"\1", re.sub(r"[\W_]", "", word.translate(LOOKALIKES)))
-        hidden = bare != word and not insult and weight < STRONG and len(bare) > 2 and (bare in INSULTS or self.lexicon.get(bare, 0.0) >= STRONG)
-        return [
-            insult, max(weight, STRONG if insult or hidden else 0.0), word in SECOND_PERSON, len(letters) > 1 and uppers == len(letters), uppers, len(letters),
-            token.count("!"), token.count("?"), bool(MARKS.search(token)), sum(not c.isalnum() for c in token), odd, hidden,
-            bool(STRETCHED.search(letters)), len(letters) == 1 == len(word), sum(token.count(c) for c in "#*$%&|<>"), len(token),
-        ]
+        insult, weight = word in INSULTS, self.weight(word)
+        hidden = not insult and self._hidden(word, weight)
+        return (insult, max(weight, STRONG if insult or hidden else 0.0), word in SECOND_PERSON, len(letters) > 1 and uppers == len(letters), uppers, len(letters),
+                token.count("!"), token.count("?"), bool(MARKS.search(token)), sum(not c.isalnum() for c in token),
+                bool(word) and not word.isalpha() and len(letters) >= 2, hidden, bool(STRETCHED.search(letters)), len(letters) == 1 == len(word),
+                len(SYMBOLS.findall(token)), len(token))
+
+    def _hidden(self, word: str, weight: float) -> bool:
+        """Is the word an insult or a strong term once its spelling is made plain?"""
+        bare = STRETCHED.sub(r"\1", BETWEEN.sub("", word.translate(LOOKALIKES)))
+        return bare != word and weight < STRONG and len(bare) > 2 and (bare in INSULTS or self.lexicon.get(bare, 0.0) >= STRONG)
 
     def ids(self, tokens: list[str]) -> np.ndarray:
-        numbers = self.numbers
-        for t in set(tokens) - numbers.keys():
-            if len(numbers) == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[len(numbers)] = self.measured(t)
-            numbers[t] = len(numbers)
+        numbers, first = self.numbers, len(self.numbers)
+        new = []
+        for t in tokens:
+            if t not in numbers:
+                numbers[t] = len(numbers)
+                new.append(self.measured(t))
+        while len(numbers) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        if new:
+            self.rows[first : len(numbers)] = new
         return np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
 
     def features(self, text: str) -> np.ndarray:
@@ -179,23 +302,17 @@ class TokenTable:
         return out
 
 
-def featured(docs: DataFrame, lexicons: list[dict[str, float]], which: str | None = None, carry: str = "") -> DataFrame:
-    """``doc_id`` (and the ``carry`` columns), ``features`` of every text, with the lexicon numbered by ``which`` (else the first)."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicons)  # at most `lexicon_size` terms each
-    extra = [c for c in carry.split(",") if c]
-    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col(which) if which else F.lit(0)).alias("_which"), *extra)
+def measured(sample: DataFrame, lexicons: list[dict[str, float]]) -> DataFrame:
+    """``toxic, fold, features`` of the sample's texts, each with the lexicon of the half that it is not in."""
+    shared = sample.sparkSession.sparkContext.broadcast(lexicons)  # at most `lexicon_size` terms each
 
     def run(batches):
         tables = [TokenTable(lexicon) for lexicon in shared.value]
         for batch in slices(batches):
-            texts, choices = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            measures = np.concatenate([tables[k].features(t) for t, k in zip(texts, choices, strict=True)]) if texts else np.zeros(0)
-            ends = pa.array(np.arange(len(texts) + 1) * len(FEATURES), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(measures)), *batch.columns[3:]],
-                                             ["doc_id", "features", *extra])
+            rows = [tables[1 - half].features(text).tolist() for text, half in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))], ["toxic", "fold", "features"])
 
-    fields = ", ".join(f"`{c}` {t}" for c, t in chosen.dtypes if c in extra)
-    return chosen.mapInArrow(run, f"doc_id {dict(chosen.dtypes)['doc_id']}, features array<double>" + (f", {fields}" if fields else ""))
+    return sample.select("toxic", "fold", F.coalesce("text", F.lit("")), "half").mapInArrow(run, "toxic int, fold int, features array<double>")
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
@@ -252,7 +369,7 @@ def labelled(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
     return written(docs.select("doc_id", "text").join(F.broadcast(written(sample, "labelled")), "doc_id"), "toxicity-sample")
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 40_000, lexicon_size: int = 4_000, trees: int = 40, depth: int = 3, step: float = 0.2) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 40_000, lexicon_size: int = 4_000, n_trees: int = 120, depth: int = 3, step: float = 0.1) -> ToxicityModel:
     """Lexicon, boosted trees and calibration, from the labels that are not held out."""
     sample = labelled(docs, labels, fit_rows)
     kinds: Counter = Counter()  # rows by (held for calibration, toxic)
@@ -262,27 +379,32 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = 40_000, lexicon_size
     if not (kinds[False, 0] and kinds[False, 1]):
         return ToxicityModel({}, None, None, (toxic + 1) / (total + 2) if total else 0.0)
     lexicons = learn_lexicons(sample, lexicon_size)
-    # each half is measured with the other half's lexicon
-    measured = written(featured(sample.withColumn("other", 1 - F.col("half")), lexicons[:2], "other", "toxic,fold"), "toxicity-features")
-    rows = measured.select("fold", F.col("toxic").cast("double").alias("label"), array_to_vector("features").alias("features"))
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=step, seed=13).fit(rows.where("fold <> 4"))
-    if not (kinds[True, 0] and kinds[True, 1]):
-        return ToxicityModel(lexicons[2], model, None, 0.0)
-    held = model.transform(rows.where("fold = 4")).select("label", vector_to_array("probability")[1].alias("raw"))
-    return ToxicityModel(lexicons[2], model, IsotonicRegression(featuresCol="raw").fit(held), 0.0)
+    rows = measured(sample, lexicons[:2]).orderBy("fold", "toxic", "features").toArrow()  # bounded by `fit_rows`
+    x = np.array(rows["features"].combine_chunks().flatten()).reshape(-1, len(FEATURES))
+    y, held = np.array(rows["toxic"]), np.array(rows["fold"]) == 4
+    trees = boost(x[~held], y[~held], n_trees, depth, step)
+    calibrated = kinds[True, 0] and kinds[True, 1]
+    return ToxicityModel(lexicons[2], trees, isotonic(trees(x[held]), y[held]) if calibrated else None, 0.0)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out")
-    if model.trees is None:
-        scored = docs.select("doc_id", F.lit(float(model.base)).alias("score"))
-    else:
-        vectors = featured(docs, [model.lexicon]).select("doc_id", array_to_vector("features").alias("features"))
-        raw = model.trees.transform(vectors).select("doc_id", vector_to_array("probability")[1].alias("raw"))
-        scored = (model.calibration.transform(raw) if model.calibration else raw.withColumn("prediction", F.col("raw"))).withColumnRenamed("prediction", "score")
-    return scored.select("doc_id", held_out, F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score")).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int"))
+    texts = docs.select("doc_id", held_out, F.coalesce("text", F.lit("")).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the lexicon's bound, and `n_trees` small trees
+
+    def run(batches):
+        own = shared.value
+        table = TokenTable(own.lexicon)
+        for batch in slices(batches):
+            if own.trees is None:
+                scores = own.scores(np.zeros((batch.num_rows, 0)))
+            else:
+                scores = own.scores(np.stack([table.features(t) for t in batch.column(2).to_pylist()])) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
+                                             ["doc_id", "held_out", "score", "predicted"])
+
+    return texts.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **fitting) -> DataFrame:
