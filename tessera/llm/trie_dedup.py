@@ -6,10 +6,10 @@ compressed radix trie whose terminal nodes hold the best row seen (most code
 points in the original text, then the smallest id) and the number of rows.
 When the trie outgrows its budget the heaviest subtree is handed downstream
 and freed, so a task's memory is bounded whatever the input.  The entries are
-partitioned by (length, content hash) of the normalised string, sorted, and a
-second trie per partition key merges the entries of different tasks: equal
-strings meet in one terminal node, different strings with the same hash in
-different ones.
+partitioned by (length, content hash) of the normalised string and sorted, and
+each partition's trie merges the entries of different tasks: equal strings meet
+in one terminal node, different strings with the same hash in different ones.
+It spills by subtree too: once a key's rows are through, its strings are final.
 
 A text held by a third of all rows reaches the second step as one entry per
 map task (or spill), never as its rows.
@@ -193,14 +193,13 @@ def _owners(keyed: DataFrame, budget: int) -> DataFrame:
             trie, key = PatriciaTrie(budget), None
             for part in slices(batches):
                 for size, digest, data, ident, count, row in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    if (size, digest) != key:  # the partition's last subtree is complete
-                        if key is not None:
-                            yield from (entry(*x) for x in trie.items())
-                        trie, key = PatriciaTrie(budget), (size, digest)
+                    if (size, digest) != key:
+                        # the rows come by key, so all strings of earlier keys are complete and may go
+                        yield from (entry(*x) for x in trie.spill())
+                        key = size, digest
                     chars = len(data) if data.isascii() else len(data.decode("utf-8"))
                     trie.insert(_normalised(data), _rank(chars, ident), count, (data, ident, row), len(data))
-            if key is not None:
-                yield from (entry(*x) for x in trie.items())
+            yield from (entry(*x) for x in trie.items())
 
         yield from batches_of(entries())
 
