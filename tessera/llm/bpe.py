@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import RecentCache, slices, written
 from tessera.llm.files import open_random
 
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 OVERLAP = 1 << 10
 _AHEAD = 4  # the pattern's longest fixed look: an apostrophe and two letters, and the character after a run
 
@@ -107,7 +107,11 @@ def _short(rows: DataFrame, kind: str, ranks_path: str, pattern: str) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             own = coder(ranks_path, pattern)
-            ids = [own.encode(t or "") for t in part.column(1).to_pylist()]
+            ids, last = [], None
+            for t in part.column(1).to_pylist():
+                # copies that follow each other (of a mixture) are encoded once
+                ids.append(ids[-1] if ids and t == last else own.encode(t or ""))
+                last = t
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["_id", "ids"])
 
     return rows.mapInArrow(run, f"_id {kind}, {_ENCODED}")
