@@ -8,8 +8,9 @@ correlation of the level by analysis of variance, pooled over parents and kept
 within ``[MIN_PRIOR, MAX_PRIOR]`` pseudo-pages.  A level whose parents have one
 child each adds nothing: the parent's prior passes through.  A host is blocked when the
 lower bound of its posterior, ``mean - Z * sd`` of the beta distribution,
-exceeds ``THRESHOLD``: few labels shrink to the domain, many speak for
-themselves, and hosts without any label inherit the domain's rate.
+exceeds ``MARGIN`` times the bad rate of all labelled pages: few labels shrink to
+the domain, many speak for themselves, and hosts without any label inherit the
+domain's rate.
 
 Counts are map-side combined sums; a host with a third of all pages is one row
 per task.  Pages meet their host's verdict in a skew-splittable join of slim
@@ -35,7 +36,8 @@ from tessera.llm.common import written
 
 MIN_PRIOR, MAX_PRIOR = 1.0, 1000.0
 Z = 1.645
-THRESHOLD = 0.5
+#: A host goes when it is surely this many times as bad as the labelled pages are on the whole.
+MARGIN = 1.2
 
 
 @dataclass(frozen=True)
@@ -119,7 +121,7 @@ def _concentration(children: DataFrame, parent: str) -> float | None:
     return min(max((1 - rho) / rho, MIN_PRIOR), MAX_PRIOR)
 
 
-def reputations(pages: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...] = (), z: float = Z, threshold: float = THRESHOLD) -> DataFrame:
+def reputations(pages: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...] = (), z: float = Z, margin: float = MARGIN) -> DataFrame:
     """``host, domain, suffix, n, bad, mean, lower, blocked`` per host.
 
     ``pages``: ``_id, host``; ``outcomes``: ``_id, bad`` (boolean).
@@ -155,7 +157,7 @@ def reputations(pages: DataFrame, outcomes: DataFrame, suffixes: tuple[str, ...]
     mean = F.col("alpha") / total
     lower = mean - z * F.sqrt(mean * (1 - mean) / (total + 1))
     return posed.select("host", "domain", "suffix", "n", F.col("b").alias("bad"), mean.alias("mean"), lower.alias("lower"),
-                        (lower > threshold).alias("blocked"))
+                        (lower > margin * rate).alias("blocked"))
 
 
 def judge(

@@ -21,11 +21,16 @@ only that cell's documents are ordered - a source with a third of all rows is
 one more set of cells.  The tree is a parameter, so joins with it are
 broadcast by a proven bound.
 
-Defined results: a null domain, language or source counts as the empty string;
-leaves that the tree does not name get nothing; null and empty texts have no
-token and ride along when their place lies in the prefix; rows that share an
-id (a null id is one id) are drawn together; an empty table gives an empty
-result; columns of the input may have any name.
+Names that the tree does not hold (new or null ones) share one branch
+:data:`OTHER` at their level: a domain beside the named ones, a language in its
+domain, a source in its language, each with the weight that :class:`Others`
+states.  So every row belongs to a leaf, and there are no more leaves than the
+tree has nodes.
+
+Defined results: a null domain, language or source counts as an unnamed one;
+null and empty texts have no token and ride along when their place lies in the
+prefix; rows that share an id (a null id is one id) are drawn together; an
+empty table gives an empty result; columns of the input may have any name.
 """
 
 from __future__ import annotations
@@ -38,6 +43,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import written
 
 LEVELS = ("domain", "lang", "source")
+#: The branch of names that the tree does not hold.
+OTHER = "(other)"
 
 
 @dataclass(frozen=True)
@@ -52,6 +59,15 @@ class Leaf:
     source_weight: int
 
 
+@dataclass(frozen=True)
+class Others:
+    """Weights of the branches of unnamed domains, languages and sources."""
+
+    domain: int = 5
+    lang: int = 5
+    source: int = 1
+
+
 def words(text_col: str = "text") -> Column:
     """Tokens of a text: maximal runs without ASCII white space."""
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
@@ -92,11 +108,20 @@ def _share(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     ).select(*parent, name, "weight", "cap", "budget")
 
 
+def with_others(tree: list[Leaf], others: Others = Others()) -> list[Leaf]:
+    """The tree with a branch for unnamed names at every level."""
+    domains = {x.domain: x.domain_weight for x in tree}
+    langs = {(x.domain, x.lang): x.lang_weight for x in tree}
+    more = [Leaf(d, lang, OTHER, domains[d], w, others.source) for (d, lang), w in langs.items()]
+    more += [Leaf(d, OTHER, OTHER, w, others.lang, others.source) for d, w in domains.items()]
+    return [*tree, *more, Leaf(OTHER, OTHER, OTHER, others.domain, others.lang, others.source)]
+
+
 def allocate(stats: DataFrame, tree: list[Leaf], budget_percent: int, max_epochs: int) -> DataFrame:
     """``domain, lang, source, tokens, budget`` per leaf of the tree that has tokens.
 
     ``stats``: ``domain, lang, source, tokens``; the budget is ``budget_percent`` of all tokens
-    of the named leaves, at most what the tree can give.
+    of the leaves, at most what the tree can give.
     """
     spark = stats.sparkSession
     named = spark.createDataFrame(
@@ -122,54 +147,20 @@ def allocate(stats: DataFrame, tree: list[Leaf], budget_percent: int, max_epochs
     )
 
 
-def _dealt(budget: int, children: dict[str, tuple[int, int]]) -> dict[str, int]:
-    """:func:`_share` of one parent on the driver: ``budget`` among ``name -> (weight, cap)``."""
-    taken, open_ = {}, dict(children)
-    while open_:
-        rest, total = budget - sum(taken.values()), sum(w for w, _ in open_.values())
-        short = [n for n, (w, cap) in open_.items() if cap * total <= rest * w]
-        if not short:
-            low = {n: rest * w // total for n, (w, _) in open_.items()}
-            first = sorted(open_, key=lambda n: (-(rest * open_[n][0] % total), n))[: rest - sum(low.values())]
-            return taken | low | {n: low[n] + 1 for n in first}
-        for n in short:
-            taken[n] = open_.pop(n)[1]
-    return taken
-
-
-def covering_percent(stats: DataFrame, tree: list[Leaf], max_epochs: int) -> int:
-    """A whole budget percent, by bisection the smallest, at which every named leaf with tokens has a whole epoch.
+def _labelled(docs: DataFrame, tree: list[Leaf], labels: list[Column], kept: list[Column]) -> DataFrame:
+    """The ``kept`` columns of every row and its leaf; names that the tree does not hold become :data:`OTHER`.
 
-    ``stats``: ``domain, lang, source, tokens``; at most one row per leaf of the tree reaches the driver.
+    The name lists come from the tree parameter, so the joins are broadcast by a proven bound.
     """
-    leaf = {(x.domain, x.lang, x.source): x for x in tree if x.domain_weight > 0 and x.lang_weight > 0 and x.source_weight > 0}
-    named = stats.sparkSession.createDataFrame(list(leaf), "domain string, lang string, source string")
-    have = {(r.domain, r.lang, r.source): r.tokens for r in stats.join(F.broadcast(named), list(LEVELS)).where("tokens > 0").collect()}
-
-    def cap(*path: str) -> int:
-        return max_epochs * sum(n for k, n in have.items() if k[: len(path)] == path)
-
-    def covers(percent: int) -> bool:
-        top = _dealt(min(sum(have.values()) * percent // 100, cap()), {k[0]: (leaf[k].domain_weight, cap(k[0])) for k in have})
-        for d, b in top.items():
-            langs = _dealt(b, {k[1]: (leaf[k].lang_weight, cap(*k[:2])) for k in have if k[0] == d})
-            for lang, c in langs.items():
-                low = _dealt(c, {k[2]: (leaf[k].source_weight, cap(*k)) for k in have if k[:2] == (d, lang)})
-                if any(n < have[d, lang, s] for s, n in low.items()):
-                    return False
-        return True
-
-    low, high = 99, 100 * max_epochs
-    while high - low > 1:
-        mid = (low + high) // 2
-        low, high = (low, mid) if covers(mid) else (mid, high)
-    return high
-
-
-def _labelled(docs: DataFrame, domain: Column, lang_col: str, source_col: str) -> list[Column]:
-    empty = F.lit("")
-    return [F.coalesce(domain.cast("string"), empty).alias("domain"), F.coalesce(F.col(lang_col).cast("string"), empty).alias("lang"),
-            F.coalesce(F.col(source_col).cast("string"), empty).alias("source")]
+    spark = docs.sparkSession
+    rows = docs.select(*kept, *[c.cast("string").alias(f"_{n}") for c, n in zip(labels, LEVELS, strict=True)])
+    for k, level in enumerate(LEVELS, 1):
+        # the path down to this level, where the tree has it; below an unnamed name nothing is named
+        held = sorted({(x.domain, x.lang, x.source)[:k] for x in tree})
+        path = [*LEVELS[: k - 1], f"_{level}"]
+        known = spark.createDataFrame([(*p, p[-1]) for p in held], ", ".join(f"{c} string" for c in [*path, level])) if held else None
+        rows = rows.join(F.broadcast(known), path, "left").withColumn(level, F.coalesce(level, F.lit(OTHER))) if held else rows.withColumn(level, F.lit(OTHER))
+    return rows.drop(*[f"_{n}" for n in LEVELS])
 
 
 def _order_key(seed: int, epoch, ident) -> Column:
@@ -203,20 +194,19 @@ def _cuts(slim: DataFrame, budgets: DataFrame, seed: int) -> DataFrame:
 
 
 def draw(
-    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int | None = 100, max_epochs: int = 4, seed: int = 7,
-    id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", tokens: Column | None = None,
+    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int = 100, max_epochs: int = 4, seed: int = 7,
+    id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", tokens: Column | None = None, others: Others = Others(),
 ) -> DataFrame:
     """One row per input row: id, leaf, ``n_tokens, leaf_budget, epochs`` taken whole, ``partial`` (in the next one's
     prefix), ``partial_tokens`` and ``drawn_tokens``.  Leaves without budget draw nothing."""
     tokens = words() if tokens is None else tokens
-    slim = written(
-        docs.select(F.col(id_col).alias("_id"), *_labelled(docs, domain, lang_col, source_col), tokens.alias("n_tokens")), "tokens"
-    )
-    cuts = _plan(slim, tree, budget_percent, max_epochs, seed)
+    labels = [domain, F.col(lang_col), F.col(source_col)]
+    slim = written(_labelled(docs, tree, labels, [F.col(id_col).alias("_id"), tokens.alias("n_tokens")]), "tokens")
+    cuts = _plan(slim, tree, others, budget_percent, max_epochs, seed)
     found = slim.join(F.broadcast(cuts), list(LEVELS), "left")
     key, ident = _order_key(seed, F.col("epochs"), F.col("_id")), F.coalesce(F.col("_id").cast("string"), F.lit("null"))
-    inside = F.coalesce((key < F.col("cut_key")) | ((key == F.col("cut_key")) & (ident <= F.col("cut_id"))), F.lit(False))
     at_cut = (key == F.col("cut_key")) & (ident == F.col("cut_id"))
+    inside = _inside(key, ident)
     taken = F.when(~inside, 0).when(at_cut, F.least(F.col("n_tokens"), F.col("rest") - F.col("cut_start"))).otherwise(F.col("n_tokens"))
     epochs = F.coalesce("epochs", F.lit(0).cast("long"))
     return found.select(
@@ -226,32 +216,43 @@ def draw(
     )
 
 
-def _plan(slim: DataFrame, tree: list[Leaf], budget_percent: int | None, max_epochs: int, seed: int) -> DataFrame:
+def _inside(key: Column, ident: Column) -> Column:
+    """Does the row's place lie in the prefix of the epoch that is not taken whole?"""
+    return F.coalesce((key < F.col("cut_key")) | ((key == F.col("cut_key")) & (ident <= F.col("cut_id"))), F.lit(False))
+
+
+def _plan(slim: DataFrame, tree: list[Leaf], others: Others, budget_percent: int, max_epochs: int, seed: int) -> DataFrame:
     stats = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
-    if budget_percent is None:
-        budget_percent = covering_percent(stats, tree, max_epochs)
-    budgets = allocate(stats, tree, budget_percent, max_epochs)
+    budgets = allocate(stats, with_others(tree, others), budget_percent, max_epochs)
     ids = slim.select(*LEVELS, F.coalesce(F.col("_id").cast("string"), F.lit("null")).alias("id"), "n_tokens")
     return written(_cuts(ids, budgets, seed), "cuts")
 
 
 def mix(
-    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int | None = 100, max_epochs: int = 4, seed: int = 7,
-    id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", tokens: Column | None = None,
+    docs: DataFrame, tree: list[Leaf], domain: Column, budget_percent: int = 100, max_epochs: int = 4, seed: int = 7,
+    id_col: str = "doc_id", lang_col: str = "lang", source_col: str = "source", tokens: Column | None = None, others: Others = Others(),
+    whole_epochs: int = 0,
 ) -> DataFrame:
-    """The mixture: every row of ``docs`` as often as it is drawn, whole, columns unchanged.
+    """The mixture: every row of ``docs`` as often as it is drawn, whole, columns unchanged; copies follow each other.
 
-    Without a ``budget_percent`` the budget is the smallest that gives every leaf a whole epoch (:func:`covering_percent`).
+    With ``whole_epochs`` every row comes that often first, and the budget (``budget_percent`` of all tokens) is a
+    surplus dealt by weight, which takes a leaf to ``max_epochs`` epochs in all at most.
     The cut document of a leaf is kept whole, so a leaf exceeds its budget by less than one document.
     The rows are not shuffled: the decision joins the (broadcast) leaf plan and the row's own order key.
     """
     tokens = words() if tokens is None else tokens
-    labels = _labelled(docs, domain, lang_col, source_col)
-    slim = written(docs.select(F.col(id_col).alias("_id"), *labels, tokens.alias("n_tokens")), "tokens")
-    cuts = _plan(slim, tree, budget_percent, max_epochs, seed)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"), *labels)
-    found = rows.join(F.broadcast(cuts), list(LEVELS))
+    labels = [domain, F.col(lang_col), F.col(source_col)]
+    slim = written(_labelled(docs, tree, labels, [F.col(id_col).alias("_id"), tokens.alias("n_tokens")]), "tokens")
+    cuts = _plan(slim, tree, others, budget_percent, max_epochs - whole_epochs, seed)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    found = _labelled(docs, tree, labels, [row, F.col(id_col).alias("_id")]).join(F.broadcast(cuts), list(LEVELS), "left")
     key, ident = _order_key(seed, F.col("epochs"), F.col("_id")), F.coalesce(F.col("_id").cast("string"), F.lit("null"))
-    inside = F.coalesce((key < F.col("cut_key")) | ((key == F.col("cut_key")) & (ident <= F.col("cut_id"))), F.lit(False))
-    times = F.col("epochs").cast("int") + inside.cast("int")
+    times = F.lit(whole_epochs) + F.coalesce(F.col("epochs").cast("int"), F.lit(0)) + _inside(key, ident).cast("int")
     return found.select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("_copy")).select("row.*")
+
+
+def shares(docs: DataFrame, tree: list[Leaf], domain: Column, lang_col: str = "lang", source_col: str = "source", tokens: Column | None = None) -> DataFrame:
+    """``domain, lang, source, tokens, share``: what each leaf has of the tokens of a table (of a mixture, say)."""
+    tokens = words() if tokens is None else tokens
+    leaves = _labelled(docs, tree, [domain, F.col(lang_col), F.col(source_col)], [tokens.alias("n")]).groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
+    return leaves.select("*", (F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(0)))).alias("share"))  # a row per leaf of the tree

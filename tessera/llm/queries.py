@@ -58,7 +58,7 @@ def domain_column():
 
 
 def _mixing_sql(budget_percent: int, max_epochs: int, seed: int) -> str:
-    tree = ", ".join(f"('{x.domain}', '{x.lang}', '{x.source}', {x.domain_weight}, {x.lang_weight}, {x.source_weight})" for x in mixing_tree())
+    tree = ", ".join(f"('{x.domain}', '{x.lang}', '{x.source}', {x.domain_weight}, {x.lang_weight}, {x.source_weight})" for x in mixing.with_others(mixing_tree()))
 
     def share(name: str, children: str, parent: str, child: str) -> str:
         """Deal the parent's budget to its children by weight, at most cap each."""
@@ -77,9 +77,12 @@ def _mixing_sql(budget_percent: int, max_epochs: int, seed: int) -> str:
 
     return f"""
 WITH named(domain, lang, source, w1, w2, w3) AS (VALUES {tree}),
-slim AS (
+raw AS (
   SELECT doc_id, CASE WHEN source = 'src0' THEN 'crawl' WHEN regexp_full_match(source, 'src[0-9]') THEN 'reference' ELSE 'community' END AS domain,
          lang, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens FROM documents),
+slim AS (
+  SELECT doc_id, domain, CASE WHEN (domain, lang) IN (SELECT (domain, lang) FROM named) THEN lang ELSE '{mixing.OTHER}' END AS lang,
+         CASE WHEN (domain, lang, source) IN (SELECT (domain, lang, source) FROM named) THEN source ELSE '{mixing.OTHER}' END AS source, n_tokens FROM raw),
 leaves AS (
   SELECT domain, lang, source, any_value(w1) AS w1, any_value(w2) AS w2, any_value(w3) AS w3, sum(n_tokens) AS tokens,
          sum(n_tokens) * {max_epochs} AS cap
@@ -150,12 +153,7 @@ def op2_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- 3 url filters
 
-#: The pages' hosting suffixes, under which sites register.
-SUFFIXES = ("example.com", "example.net", "example.org")
-
-
 def _reputation_sql() -> str:
-    listed = "".join(f" WHEN host = '{x}' OR ends_with(host, '.{x}') THEN '{x}'" for x in sorted(SUFFIXES, key=len, reverse=True))
     fits = []
     for r in sorted(host_reputation.RULES, key=lambda r: -len(r.text)):
         name, _, prefix = r.text.partition("/")
@@ -168,8 +166,8 @@ def _reputation_sql() -> str:
         return f"""
 {name}_s AS (SELECT count(*) AS k, count(DISTINCT c.{key}) AS g, sum(c.n) AS n, sum(c.n * pow(c.b / c.n - p.b / p.n, 2)) AS ssb,
     sum(c.b * (1 - c.b / c.n)) AS ssw, sum(c.n * c.n / p.n) AS load FROM {child} c JOIN {parent} p USING ({key}) WHERE c.n > 0),
-{name}_v AS (SELECT *, ssb / (k - g) AS msb, ssw / (n - k) AS msw, (n - load) / (k - g) AS n0 FROM {name}_s),
-{name} AS (SELECT CASE WHEN k = 0 OR k = g OR n = k OR msb - msw <= 0 THEN {host_reputation.MAX_PRIOR}
+{name}_v AS (SELECT *, ssb / nullif(k - g, 0) AS msb, ssw / nullif(n - k, 0) AS msw, (n - load) / nullif(k - g, 0) AS n0 FROM {name}_s),
+{name} AS (SELECT CASE WHEN k > 0 AND k = g THEN NULL WHEN k = 0 OR n = k OR msb - msw <= 0 THEN {host_reputation.MAX_PRIOR}
     ELSE least(greatest((1 - (msb - msw) / (msb + (n0 - 1) * msw)) / ((msb - msw) / (msb + (n0 - 1) * msw)),
                         {host_reputation.MIN_PRIOR}), {host_reputation.MAX_PRIOR}) END AS m FROM {name}_v)"""
 
@@ -180,7 +178,7 @@ p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGH
 o AS (SELECT doc_id AS page_id, (coalesce(quality = 0, false) OR coalesce(toxic = 1, false))::INT AS bad FROM labels
   WHERE quality IS NOT NULL OR toxic IS NOT NULL),
 h0 AS (SELECT host, count(o.page_id)::DOUBLE AS n, coalesce(sum(o.bad), 0)::DOUBLE AS b FROM p LEFT JOIN o USING (page_id) GROUP BY host),
-h1 AS (SELECT *, CASE{listed} ELSE split_part(host, '.', -1) END AS suffix FROM h0),
+h1 AS (SELECT *, split_part(host, '.', -1) AS suffix FROM h0),
 h AS (SELECT *, CASE WHEN host = suffix THEN host
     ELSE split_part(substr(host, 1, length(host) - length(suffix) - 1), '.', -1) || '.' || suffix END AS domain FROM h1),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(b) AS b FROM h GROUP BY ALL),
@@ -189,11 +187,13 @@ a AS (SELECT 0 AS root, sum(n) AS n, sum(b) AS b FROM s),
 {prior('m1', 's', 'a', 'root')},
 {prior('m2', 'd', 's', 'suffix')},
 {prior('m3', 'h', 'd', 'domain')},
-s2 AS (SELECT suffix, (s.b + m * ((a.b + 1) / (a.n + 2))) / (s.n + m) AS p1 FROM s, a, m1),
-d2 AS (SELECT domain, (b + m * p1) / (n + m) AS p2 FROM d JOIN s2 USING (suffix), m2),
-h2 AS (SELECT host, n, b, b + m * p2 AS al, n - b + m * (1 - p2) AS be FROM h JOIN d2 USING (domain), m3),
+m AS (SELECT coalesce(m1.m, {host_reputation.MAX_PRIOR}) AS c1, m2.m IS NULL AS skip2, coalesce(m2.m, c1) AS c2, m3.m IS NULL AS skip3,
+    coalesce(m3.m, c2) AS c3, (a.b + 1) / (a.n + 2) AS rate FROM a, m1, m2, m3),
+s2 AS (SELECT suffix, CASE WHEN skip2 THEN rate ELSE (b + c1 * rate) / (n + c1) END AS p1 FROM s, m),
+d2 AS (SELECT domain, CASE WHEN skip3 THEN p1 ELSE (b + c2 * p1) / (n + c2) END AS p2 FROM d JOIN s2 USING (suffix), m),
+h2 AS (SELECT host, n, b, b + c3 * p2 AS al, n - b + c3 * (1 - p2) AS be FROM h JOIN d2 USING (domain), m),
 h3 AS (SELECT host, n, b, al / (al + be) - {host_reputation.Z} * sqrt(al / (al + be) * (1 - al / (al + be)) / (al + be + 1))
-    > {host_reputation.THRESHOLD} AS blocked FROM h2)
+    > {host_reputation.MARGIN} * rate AS blocked FROM h2, m)
 SELECT page_id, host, path, CASE{rule} END AS rule, CASE{verdict} WHEN blocked THEN 'block' ELSE 'allow' END AS verdict,
        n::BIGINT AS n_labelled, b::BIGINT AS n_bad FROM p JOIN h3 USING (host)
 """
@@ -206,7 +206,7 @@ def op3_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(),
                  F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False)))
     outcomes = t.labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    return host_reputation.judge(t.pages, outcomes, suffixes=SUFFIXES)
+    return host_reputation.judge(t.pages, outcomes)
 
 
 # ---------------------------------------------------------------- 4 near duplicates
@@ -224,15 +224,22 @@ windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM
 later AS (SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY k) < doc_id),
 gone AS (SELECT DISTINCT doc_id, p FROM later, unnest(generate_series(i, i + 49)) AS t(p)),
 kept AS (SELECT d.doc_id, string_agg(d.ws[p], ' ' ORDER BY p) AS words, count(*) AS n FROM d, unnest(generate_series(1, len(ws))) AS t(p)
-  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = d.doc_id AND g.p = t.p) GROUP BY d.doc_id)
-SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
-FROM d LEFT JOIN kept USING (doc_id)
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = d.doc_id AND g.p = t.p) GROUP BY d.doc_id),
+islands AS (SELECT doc_id, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS island FROM gone),
+runs AS (SELECT doc_id, count(*) AS n_repeats, max(size) AS longest
+  FROM (SELECT doc_id, island, count(*) AS size FROM islands GROUP BY ALL) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(words, '')) AS kept_sha256,
+       coalesce(n_repeats, 0)::BIGINT AS n_repeats, coalesce(longest, 0)::BIGINT AS longest_repeat
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN runs USING (doc_id)
 """
 
 
 @_query("op5_substring_dedup", _OP5_SQL)
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.remove(Tables(spark, sf_dir).documents).drop("repeats")
+    """The maximal repeats, word ranges in the operator's result, as their number and the longest one's words."""
+    found = substring.remove(Tables(spark, sf_dir).documents)
+    longest = F.array_max(F.transform("repeats", lambda r: r["end"] - r["first"]))
+    return found.withColumns({"n_repeats": F.size("repeats").cast("long"), "longest_repeat": F.coalesce(longest, F.lit(0).cast("long"))}).drop("repeats")
 
 
 @_query("op6_minimax_shards")

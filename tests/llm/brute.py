@@ -142,3 +142,15 @@ def warc(rows, least=1000):
         to = lead.get(b, i)
         out[i] = (len(b), hashlib.sha1(b).hexdigest(), "response" if to == i else "revisit", None if to == i else to)
     return out
+
+
+def tiktoken_encoding():
+    """The library's own encoding of whole texts."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f.read().splitlines() if line)}
+    return tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

@@ -306,21 +306,32 @@ def mixing_oracle(rows, tree, percent, epochs, seed=7):
     return out, drawn
 
 
+def leaf_of(tree, domain, lang, source):
+    """The leaf of a row: names that the tree does not hold, and all below them, are the branch of others."""
+    path = (domain, lang, source)
+    for k in (1, 2, 3):
+        if path[:k] not in {(x.domain, x.lang, x.source)[:k] for x in tree}:
+            return path[: k - 1] + (mixing.OTHER,) * (4 - k)
+    return path
+
+
 @pytest.mark.parametrize(("percent", "epochs"), [(100, 4), (35, 1), (1000, 3)])
 def test_mixing(docs, texts, percent, epochs):
     from pyspark.sql import functions as F
 
     tree = [mixing.Leaf(d, lang, s, w1, w2, w3) for d, w1, sources in (("a", 5, ("src0", "src1")), ("b", 2, ("src2",)))
-            for lang, w2 in (("en", 7), ("de", 3), ("", 1)) for s, w3 in zip(sources, (1, 4), strict=False)]
+            for lang, w2 in (("en", 7), ("de", 3), ("xx", 1)) for s, w3 in zip(sources, (1, 4), strict=False)]
     domain = F.when(F.col("source").isin("src0", "src1"), "a").when(F.col("source") == "src2", "b")
     rows = []
     for r in docs.collect():
-        key = ({"src0": "a", "src1": "a", "src2": "b"}.get(r.source, ""), r.lang or "", r.source)
+        key = leaf_of(tree, {"src0": "a", "src1": "a", "src2": "b"}.get(r.source), r.lang, r.source)
         rows.append((r.doc_id, key, len(brute.words(r.text))))
-    budgets, drawn = mixing_oracle(rows, tree, percent, epochs)
+    assert {(mixing.OTHER,) * 3, ("a", mixing.OTHER, mixing.OTHER)} <= {k for _, k, _ in rows}
+    budgets, drawn = mixing_oracle(rows, mixing.with_others(tree), percent, epochs)
     got = {r.doc_id: r for r in mixing.draw(docs, tree, domain, percent, epochs).collect()}
     assert len(got) == len(texts)
     for i, key, n in rows:
+        assert (got[i].domain, got[i].lang, got[i].source) == key
         assert got[i].leaf_budget == budgets.get(key, 0)
         assert got[i].drawn_tokens == drawn.get(i, 0), (i, key)
     total = min(sum(n for _, k, n in rows if k in budgets) * percent // 100, sum(n for _, k, n in rows if k in budgets) * epochs)
@@ -373,6 +384,50 @@ def test_reputation_of_single_host_domains(spark):
     assert {r.host for r in got.collect() if r.verdict == "block"} == {"h0.org", "h1.org"}
 
 
+def test_reputation_blocks_on_given_pages(spark):
+    """The registered query's levels: several hosts a domain; labels that are bad on one host block it alone."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = [(r.page_id, r.url) for r in pages.collect()]
+    host = lambda u: re.sub(r"[/?#].*", "", (u or "").partition("://")[2]).lower()
+    hosts = {}
+    for i, u in rows:
+        hosts.setdefault(host(u), []).append(i)
+    assert len({h.rpartition(".")[0].rpartition(".")[2] for h in hosts}) < len(hosts)
+    worst = max(hosts, key=lambda h: (len(hosts[h]), h))
+    bad = [(i, h == worst or i % 5 == 0) for h, ids in hosts.items() for i in ids * 4]
+    got = host_reputation.judge(pages, spark.createDataFrame(bad, "page_id long, bad boolean"), rules=())
+    assert {r.host for r in got.collect() if r.verdict == "block"} >= {worst}
+
+
+def test_page_operators_with_awkward_rows(spark):
+    """Null ids, rows that share an id, clashing columns, repeated rows at the largest id of a payload group."""
+    long = "<p>" + "x" * 1200
+    rows = [(1, "http://a.com/x", long), (1, "http://a.com/x", long), (2, "http://b.net/es/1", long), (5, "http://b.org", long), (5, "http://b.org", long),
+            (None, "http://a.org", "short"), (7, None, None), (8, "http://b.org/y", "")]
+    names = "page_id long, url string, html string, host string, _id long, bad boolean, n long, rank int"
+    pages = spark.createDataFrame([(*r, "h", 9, True, 1, 2) for r in rows], names)
+    outcomes = spark.createDataFrame([(1, True, "x"), (None, True, "x"), (5, None, "x"), (5, False, "x")], "page_id long, bad boolean, host string")
+    judged = host_reputation.judge(pages, outcomes).collect()
+    assert sorted((r.page_id or -1, r.host, r.verdict) for r in judged) == sorted(
+        (i or -1, re.sub(r"/.*", "", (u or "").partition("://")[2]), "block" if i == 2 else "allow") for i, u, _ in rows)
+    stored = warc.round_trip(pages).collect()
+    assert sorted(r.page_id or -1 for r in stored) == sorted(i or -1 for i, _, _ in rows)
+    assert {(r.page_id, r.record_type, r.refers_to) for r in stored if r.payload_bytes >= 1000} >= {(1, "revisit", 5), (2, "revisit", 5)}
+
+
+def test_null_and_shared_ids(spark):
+    """Rows whose id is null or shared: every operator returns all of them."""
+    from pyspark.sql import functions as F
+
+    path, tree = P.path("byte_bpe_multi_50k.tiktoken"), [mixing.Leaf("a", "en", "s", 1, 1, 1)]
+    texts = ["a b c d", "a b c d", "other words", None, "", "x " * 60]
+    rows = [(i, t, "en", "s", 1, 2, "r") for i in (1, None) for t in texts]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _id long, n long, row string")
+    for frame in (simhash.components(df), sharding.assign(df), arrow_tokens.round_trip(df, P.path("byte_bpe_50k.json")),
+                  bpe.encode(df, path, P.PATTERN), trie_dedup.assign(df), mixing.draw(df, tree, F.lit("a"))):
+        assert sorted((r.doc_id or -1) for r in frame.collect()) == sorted((r[0] or -1) for r in rows)
+
+
 # ---------------------------------------------------------------- empty tables, SQL
 
 def test_empty_tables(spark, empty):
@@ -392,7 +447,7 @@ def test_empty_tables(spark, empty):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cursor = con.execute(queries.oracle_sql()[name])
     names = [d[0] for d in cursor.description]
