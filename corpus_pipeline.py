@@ -17,8 +17,10 @@ from tessera.llm.common import written
 from tessera.llm.queries import domain_column, mixing_tree
 from tessera.session import Tables
 
-#: Epochs that the mixture may read of a source, as in ``op1_mix_sources``; its budget is the smallest that leaves no document out.
+#: Epochs that the mixture may read of a source, as in ``op1_mix_sources``.
 MIX_EPOCHS = 4
+#: Tokens that it deals by weight on top of one whole epoch of every document, in percent of all tokens.
+MIX_SURPLUS = 100
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +39,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once, and as often as its source's weighted budget has epochs for."""
-    return mixing.mix(docs, mixing_tree(), domain_column(), budget_percent=None, max_epochs=MIX_EPOCHS)
+    """Every document once, and again as often as its source's share of the surplus has epochs for."""
+    return mixing.mix(docs, mixing_tree(), domain_column(), budget_percent=MIX_SURPLUS, max_epochs=MIX_EPOCHS, whole_epochs=1)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
