@@ -151,14 +151,15 @@ def user_profile(df: DataFrame, user: str, amount: str, ts: str) -> DataFrame:
     """Per user mean / exact median / sample std of the amount, event count and events per active day.
 
     The median comes from distributed ranks (:mod:`tessera.operators.quantiles`), the
-    days from one row per user and day, so no task holds a user's values.
+    days from one row per user and day, so no task holds a user's values.  Amounts are
+    summed as decimals (12 places, below 1e16), so the mean does not depend on the partitioning.
     """
     days = df.groupBy(F.col(user), F.to_date(ts).alias("_day")).agg(
-        F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_m"), F.sum(amount).alias("_s"),
+        F.count(F.lit(1)).alias("_n"), F.count(amount).alias("_m"), F.sum(F.col(amount).cast("decimal(28,12)")).alias("_s"),
         F.var_pop(amount).alias("_v"), F.avg(amount).alias("_a"))
     totals = days.groupBy(user).agg(F.sum("_s").alias("_sum"), F.sum("_m").alias("_cnt"), F.sum("_n").alias("n_events"),
                                     F.count("_day").alias("_days"))
-    mean = totals.select(F.col(user).alias("_u"), F.try_divide("_sum", "_cnt").alias("mean_amount"), "_cnt", "n_events", "_days")
+    mean = totals.select(F.col(user).alias("_u"), F.try_divide(F.col("_sum").cast("double"), "_cnt").alias("mean_amount"), "_cnt", "n_events", "_days")
     # spread about the overall mean, day by day (exact pooling of the days' variances)
     spread = days.join(mean.select("_u", "mean_amount"), F.col(user).eqNullSafe(F.col("_u"))).groupBy("_u").agg(
         F.sum(F.col("_m") * (F.col("_v") + (F.col("_a") - F.col("mean_amount")) * (F.col("_a") - F.col("mean_amount")))).alias("_ss"))

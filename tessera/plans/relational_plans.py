@@ -342,8 +342,7 @@ WITH bt AS (SELECT item_id, regexp_extract_all(lower(text), '{WP}', 1) AS a FROM
 pairs AS MATERIALIZED (SELECT item_id, i AS pos, a[i] AS src, a[i + 1] AS dst FROM bt, range(1, len(a)) r(i)),
 known AS MATERIALIZED (SELECT token AS word FROM (SELECT unnest(regexp_extract_all(lower(text), '{WP}', 1)) AS token FROM documents)
           GROUP BY token HAVING count(*) >= 5)
-SELECT item_id, CAST(pos AS INTEGER) AS pos, src, dst FROM pairs
-WHERE src IN (SELECT word FROM known) AND dst IN (SELECT word FROM known)
+SELECT item_id, CAST(pos AS INTEGER) AS pos, src, dst FROM pairs JOIN known a ON a.word = src JOIN known b ON b.word = dst
 """)
 def c7_known_pairs(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -513,7 +512,7 @@ def d8_k_best(spark, sf_dir):
 
 
 @query("d9_user_profile", """
-SELECT user_id, round(avg(value), 4) AS mean_amount, round(quantile_cont(value, 0.5), 4) AS median_amount,
+SELECT user_id, round(sum(CAST(value AS DECIMAL(28, 12)))::DOUBLE / count(value), 4) AS mean_amount, round(quantile_cont(value, 0.5), 4) AS median_amount,
        round(stddev_samp(value), 4) AS std_amount, count(*) AS n_events,
        round(count(*) / count(DISTINCT CAST(ts AS DATE)), 6) AS events_per_day
 FROM events GROUP BY user_id

@@ -316,3 +316,51 @@ def test_chunked_filters_equal_plain(spark):
         for at, want in plain.items():
             for x, y in zip(want, chunked[at], strict=True):
                 assert y == pytest.approx(x, rel=1e-9, abs=1e-9)
+
+
+# ---------------------------------------------------------------- vector search
+
+def _pairs(df):
+    return {(r.qid, r.cid) for r in df.collect()}
+
+
+def test_inverted_file_recall(spark):
+    """The registered index query finds at least nine tenths of the exact neighbours (the given vectors have no clusters)."""
+    from tessera import plans
+
+    sf = "/root/testdata/sf0.01"
+    got, exact = (_pairs(plans.queries()[name](spark, sf)) for name in ("t19_ann_search", "t18_nearest"))
+    assert len(got) == len(exact) and len(got & exact) >= 0.9 * len(exact)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "dot"])
+def test_pruned_search_is_exact_and_prunes(spark, metric):
+    """On clustered vectors cells are left out, and the neighbours are those of brute force."""
+    import numpy as np
+
+    from tessera.operators import vector_index as VI
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 8)) * 8
+    x = np.concatenate([c + rng.normal(size=(25, 8)) * 0.2 for c in centres])
+    x = np.concatenate([x, x[:5], np.zeros((2, 8))])  # ties and zero vectors
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = V.nearest(df, df, 4, metric, qid="id", cid="id", vec="v", exclude_self=True, block_rows=16)
+    scores = VI.scores(x, x, metric)
+    for q, rows in _by_query(got).items():
+        order = sorted((i for i in range(len(x)) if i != q), key=lambda i: (-round(scores[q, i], 9), i))[:4]
+        assert sorted(round(scores[q, c], 6) for c in rows) == sorted(round(scores[q, c], 6) for c in order)
+    cells, postings = VI.build(df, metric, 16)
+    _, more = VI.exact_visits(df, postings, cells, 4, metric, True, 16)
+    pairs = VI.visit_blocks(more, cells, 16)[1].count()
+    blocks = more.select("cell").distinct().count()
+    if metric != "dot":
+        assert pairs < 0.5 * blocks * len(cells.sizes)
+    assert V.nearest(df, df.limit(0), 4, metric, qid="id", cid="id", vec="v").collect() == []
+
+
+def _by_query(df):
+    found = {}
+    for r in df.collect():
+        found.setdefault(r.qid, []).append(r.cid)
+    return found
