@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import epoch_seconds
+from tessera.functions.dates import epoch_micros
 from tessera.session import cut_lineage
 
 
@@ -211,13 +211,54 @@ def stock_after(lines: DataFrame, stock: DataFrame, statuses: DataFrame, order_c
 
 # ------------------------------------------------------ rolling
 
-def rolling_stats(df: DataFrame, key, ts: str, col: str, days: int = 7) -> DataFrame:
+MOMENTS = "array<struct<n:bigint,mean:double,m2:double,lo:double,hi:double>>"
+
+
+def _moments(col: Column, w) -> Column:
+    """Count, mean, sum of squared deviations, smallest and largest of ``col`` over a window."""
+    n = F.count(col).over(w)
+    return F.struct(n.alias("n"), F.avg(col).over(w).alias("mean"), (F.var_pop(col).over(w) * n).alias("m2"),
+                    F.min(col).over(w).alias("lo"), F.max(col).over(w).alias("hi"))
+
+
+def _merged(parts: Column) -> tuple[Column, Column]:
+    """Mean and sample deviation of groups of rows from their moments (deviation 0 where all values are equal)."""
+    full = F.filter(parts, lambda p: p["n"] > 0)
+    total = F.aggregate(full, F.lit(0).cast("long"), lambda acc, p: acc + p["n"])
+    mean = F.try_divide(F.aggregate(full, F.lit(0.0), lambda acc, p: acc + p["mean"] * p["n"]), total)
+    spread = F.aggregate(full, F.lit(0.0), lambda acc, p: acc + p["m2"] + p["n"] * (p["mean"] - mean) * (p["mean"] - mean))
+    equal = F.array_min(F.transform(full, lambda p: p["lo"])) == F.array_max(F.transform(full, lambda p: p["hi"]))
+    return mean, F.when(total > 1, F.when(equal, 0.0).otherwise(F.sqrt(spread / (total - 1))))
+
+
+def rolling_stats(df: DataFrame, key, ts: str, col: str, days: int = 7, blocks: int = 7) -> DataFrame:
     """Trailing ``days`` window (by time, inclusive) mean/std per key and the
-    z-score of each value against it (null where all values of the window are equal)."""
+    z-score of each value against it (null where all values of the window are equal).
+
+    Time is cut into blocks of ``days / blocks``, so that a window starts at the same place in its first block as it ends
+    in its last one, ``blocks`` later.  Windows run per ``(key, block)``: over the block's rows up to a row, and over a
+    copy of the first block's rows, moved forward by ``days``, from the row on.  The whole blocks between enter as merged
+    moments, one row per block.  No task holds more of a key than two blocks.
+    """
     keys = _cols(key)
-    secs = epoch_seconds(ts)
-    w = Window.partitionBy(*keys).orderBy(secs).rangeBetween(-days * 86400, 0)
-    d = df.withColumn("roll_mean", F.avg(col).over(w)).withColumn("roll_std", F.stddev_samp(col).over(w))
+    span = days * 86_400_000_000
+    if span % blocks:
+        raise ValueError("blocks must divide the window's microseconds")
+    size = span // blocks
+    d = df.withColumns({"_t": epoch_micros(ts), "_x": F.col(col).cast("double")}).withColumn("_b", F.floor(F.col("_t") / size))
+    by = [*keys, "_b"]
+    # rows that leave the window: at or after the place that a row has in its own block
+    moved = d.select(*keys, (F.col("_t") + span).alias("_t"), (F.col("_b") + blocks).alias("_b"), F.col("_x").alias("_y"), F.lit(True).alias("_moved"))
+    both = d.withColumns({"_y": F.lit(None).cast("double"), "_moved": F.lit(False)}).unionByName(moved.where("_t IS NOT NULL"), allowMissingColumns=True)
+    upto, since = Window.partitionBy(*by).orderBy("_t"), Window.partitionBy(*by).orderBy(F.desc("_t"))
+    ends = both.withColumns({"_own": _moments(F.col("_x"), upto), "_first": _moments(F.col("_y"), since)}).where("NOT _moved").drop("_y", "_moved")
+    whole = d.groupBy(*by).agg(F.struct(F.count("_x").alias("n"), F.avg("_x").alias("mean"), (F.var_pop("_x") * F.count("_x")).alias("m2"),
+                                        F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("_m"))
+    between = Window.partitionBy(*keys).orderBy("_b").rangeBetween(1 - blocks, -1)  # a row per block, at most blocks - 1 of them
+    inner = whole.where("_b IS NOT NULL").select(*by, (F.collect_list("_m").over(between) if blocks > 1 else F.array().cast(MOMENTS)).alias("_inner"))
+    d = _with_carry(ends, inner, by, ["_inner"])
+    mean, std = _merged(F.concat(F.array("_own", "_first"), F.coalesce("_inner", F.array().cast(MOMENTS))))
+    d = d.withColumns({"roll_mean": mean, "roll_std": std}).drop("_t", "_x", "_b", "_own", "_first", "_inner")
     return d.withColumn("z", F.try_divide(F.col(col) - F.col("roll_mean"), F.col("roll_std")))
 
 
@@ -277,14 +318,21 @@ def detrend(df: DataFrame, key, x: str, y: str, out: str | None = None) -> DataF
         out or f"{y}_detrended", F.col(y) - (F.col("_a") + F.col("_b") * F.col(x))).drop("_a", "_b")
 
 
-def acf(df: DataFrame, key, order, col: str, lags: list[int]) -> DataFrame:
+def acf(df: DataFrame, key, order, col: str, lags: list[int], chunk: str | None = None) -> DataFrame:
     """H5: autocorrelation per key and lag in the usual estimator form
-    ``sum((x_t - m)(x_{t-k} - m)) / sum((x_t - m)^2)`` (null for a constant series)."""
-    keys = _cols(key)
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    m = df.groupBy(*keys).agg(F.avg(col).alias("_m"), F.sum(F.lit(1)).alias("_n"))
-    d = df.join(m, keys).withColumn("_c", F.col(col) - F.col("_m"))
-    d = d.select(*keys, "_c", *[F.lag("_c", k).over(w).alias(f"_l{k}") for k in lags])
+    ``sum((x_t - m)(x_{t-k} - m)) / sum((x_t - m)^2)`` (null for a constant series).
+
+    With ``chunk`` the lags run per ``(key, chunk)``, each chunk with the rows before it that they reach.
+    """
+    keys, order = _cols(key), _cols(order)
+    m = df.groupBy(*keys).agg(F.avg(col).alias("_m"))
+    d = _with_carry(df, m, keys, ["_m"]).withColumn("_c", F.col(col) - F.col("_m"))
+    parts = keys
+    if chunk is not None:
+        parts, d = [*keys, chunk], _with_halo(d, keys, order, chunk, ["_c"], max(lags))
+    w = Window.partitionBy(*parts).orderBy(*order)
+    d = d.withColumns({f"_l{k}": F.lag("_c", k).over(w) for k in lags})
+    d = d.where("NOT _halo") if chunk is not None else d
     agg = d.groupBy(*keys).agg(F.sum(F.col("_c") * F.col("_c")).alias("_den"),
                                *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_num{k}") for k in lags])
     long = agg.select(*keys, "_den", F.explode(F.array(*[
@@ -344,21 +392,21 @@ def discounted_returns(df: DataFrame, traj, t: str, reward: str, gamma: float, o
 
 
 def gae(df: DataFrame, traj, t: str, logp: str, ref_logp: str, value: str, score: str,
-        gamma: float = 1.0, lam: float = 0.95, kl_coef: float = 0.1, block: int = 256) -> DataFrame:
+        gamma: float = 1.0, lam: float = 0.95, kl_coef: float = 0.1, block: int = 256, chunk: str | None = None) -> DataFrame:
     """Generalised advantage estimate per trajectory.
 
     reward_t = -kl_coef * (logp - ref_logp), plus the trajectory's score at its
     last step; delta_t = reward_t + gamma * V_{t+1} - V_t (V after the end = 0);
-    A_t = delta_t + gamma * lam * A_{t+1}; returns = A + V.
+    A_t = delta_t + gamma * lam * A_{t+1}; returns = A + V.  ``chunk`` (a column, rising with ``t``) splits long trajectories.
     """
     keys = _cols(traj)
-    w = Window.partitionBy(*keys).orderBy(t)
-    d = df.withColumn("_next_v", F.coalesce(F.lead(value).over(w), F.lit(0.0)))
-    d = d.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    d = add_lead(df.withColumn("_one", F.lit(1)), keys, t, value, "_next_v", chunk=chunk)
+    d = add_lead(d, keys, t, "_one", "_more", chunk=chunk)
+    d = d.withColumns({"_next_v": F.coalesce("_next_v", F.lit(0.0)), "_last": F.col("_more").isNull()}).drop("_one", "_more")
     reward = -kl_coef * (F.col(logp) - F.col(ref_logp)) + F.when(F.col("_last"), F.col(score)).otherwise(0.0)
     d = d.withColumn("reward", reward).withColumn(
         "_delta", F.col("reward") + gamma * F.col("_next_v") - F.col(value))
-    d = dense_position(d, keys, t, "_pos")
+    d = dense_position(d, keys, t, "_pos", chunk=chunk)
     d = suffix_discounted_sum(d, keys, "_pos", "_delta", gamma * lam, "advantage", block)
     return d.withColumn("returns", F.col("advantage") + F.col(value)).drop("_next_v", "_last", "_delta", "_pos")
 

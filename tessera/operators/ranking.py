@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,3 +118,50 @@ def global_cumsum(df: DataFrame, order_cols: list, sum_cols: list[str], suffix:
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema]
     return ranged.mapInArrow(run, ", ".join([*fields, *[f"`{c}{suffix}` double" for c in sum_cols]]))
+
+
+def segmented_cumsum(df: DataFrame, segment: str, order_cols: list, col: str, num_partitions: int | None = None) -> DataFrame:
+    """Running sums of ``col`` that start anew with every value of ``segment``: ``_upto`` and, without the row itself, ``_before``.
+
+    The rows are range partitioned by the segment and ``order_cols`` (unique within it), so a segment of any size
+    spans as many partitions as it needs; a partition's first segment goes on from the partitions before it (one
+    row per partition reaches the driver).
+    """
+    spark = df.sparkSession
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranged = cut_lineage(df.repartitionByRange(n, segment, *order_cols).sortWithinPartitions(segment, *order_cols))
+    per = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(segment).alias("first"), F.max(segment).alias("last"))
+    borders = per.collect()
+    held = ranged.groupBy(F.spark_partition_id().alias("p"), segment).agg(F.sum(col).alias("s"))
+    edges = spark.createDataFrame([(r["p"], r["last"]) for r in borders] or [(-1, None)], held.select("p", segment).schema)
+    tails = {r["p"]: r["s"] for r in held.join(F.broadcast(edges), ["p", segment]).collect()}  # the last segment's sum of each partition
+    starts: dict[int, float] = {}
+    name, carry = None, 0.0
+    for r in sorted(borders, key=lambda r: r["p"]):
+        starts[r["p"]] = carry if r["first"] == name else 0.0
+        carry = tails.get(r["p"], 0.0) + (starts[r["p"]] if r["first"] == r["last"] else 0.0)
+        name = r["last"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        total, name, begun = starts.get(TaskContext.get().partitionId(), 0.0), None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column(batch.schema.get_field_index(segment))
+            values = batch.column(batch.schema.get_field_index(col)).to_numpy(zero_copy_only=False).astype(float)
+            new = np.ones(len(values), bool)
+            new[1:] = pc.not_equal(names.slice(1), names.slice(0, len(names) - 1)).to_numpy(zero_copy_only=False)
+            new[0] = begun and names[0].as_py() != name
+            upto, edges_ = np.empty(len(values)), [0, *np.flatnonzero(new[1:]) + 1, len(values)]
+            if new[0]:
+                total = 0.0
+            for a, b in zip(edges_, edges_[1:]):
+                upto[a:b] = np.cumsum(np.concatenate([[total], values[a:b]]))[1:]
+                total = 0.0
+            total, name, begun = float(upto[-1]), names[-1].as_py(), True
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto), pa.array(upto - values)], names=[*batch.schema.names, "_upto", "_before"])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema]
+    return ranged.mapInArrow(run, ", ".join([*fields, "_upto double", "_before double"]))

@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranking import segmented_cumsum
 from tessera.session import cut_lineage
 
 # Padding and end-of-sequence tokens of the n-gram model.
@@ -143,29 +144,31 @@ def next_token_dist(probs: DataFrame, temperature: float = 1.0, top_k: int | Non
     ``temperature == 0`` keeps the arg-max (ties: smallest token).  Top-k keeps the
     k most likely; nucleus keeps tokens whose cumulative probability (sorted
     desc) is <= top_p, always at least one; min-p keeps ``p >= min_p * max p``.
-    The kept probabilities are renormalised.  Windows are per prefix, which is
-    bounded by the vocabulary, not by the corpus.
+    The kept probabilities are renormalised.  Sums and maxima per prefix are combined in the tasks first, the k most
+    likely come from a limited window, and the cumulative probability from a scan over range partitioned rows, so a
+    frequent prefix is in no single task.
     """
     w = Window.partitionBy("prefix").orderBy(F.desc("p"), "token")
+
+    def per_prefix(d: DataFrame, value) -> DataFrame:
+        return d.join(d.groupBy("prefix").agg(value.alias("_all")), "prefix")
+
     if temperature == 0:
         d = probs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
         return d.select("prefix", "token", F.lit(1.0).alias("q"))
-    tot = Window.partitionBy("prefix")
     if temperature == 1.0:
         d = probs.withColumn("q", F.col("p"))  # p^(1/1) / sum = p: skip the no-op rescale
     else:
-        d = probs.withColumn("q", F.pow("p", 1.0 / temperature))
-        d = d.withColumn("q", F.col("q") / F.sum("q").over(tot))
+        d = per_prefix(probs.withColumn("q", F.pow("p", 1.0 / temperature)), F.sum("q"))
+        d = d.withColumn("q", F.col("q") / F.col("_all")).drop("_all")
     if top_k is not None:
         d = d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top_k).drop("_r")
     if min_p is not None:
-        d = d.withColumn("_mx", F.max("q").over(tot)).where(F.col("q") >= min_p * F.col("_mx")).drop("_mx")
+        d = per_prefix(d, F.max("q")).where(F.col("q") >= min_p * F.col("_all")).drop("_all")
     if top_p is not None:
-        wq = Window.partitionBy("prefix").orderBy(F.desc("q"), "token")
-        d = d.withColumn("_cum", F.sum("q").over(wq.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-            "_r", F.row_number().over(wq))
-        d = d.where((F.col("_cum") <= top_p) | (F.col("_r") == 1)).drop("_cum", "_r")
-    return d.withColumn("q", F.col("q") / F.sum("q").over(tot)).select("prefix", "token", "q")
+        d = segmented_cumsum(d.select("prefix", "token", "q"), "prefix", [F.desc("q"), F.col("token")], "q")
+        d = d.where((F.col("_upto") <= top_p) | (F.col("_before") == 0)).drop("_upto", "_before")
+    return per_prefix(d, F.sum("q")).select("prefix", "token", (F.col("q") / F.col("_all")).alias("q"))
 
 
 # ------------------------------------------------------------------ bag of words

@@ -208,7 +208,8 @@ def w8_gae(spark, sf_dir):
     t = _traj(spark, sf_dir)
     t = t.select("*", (-F.col("r")).alias("logp"), (-(F.col("r") * 1.1)).alias("ref_logp"),
                  (F.col("r") / 2).alias("v"), F.lit(1.0).alias("score"))
-    r = W.gae(t, ["user_id", "day"], "ts", "logp", "ref_logp", "v", "score", gamma=1.0, lam=0.95, kl_coef=0.1)
+    t = t.withColumn("_hour", F.hour("ts"))
+    r = W.gae(t, ["user_id", "day"], "ts", "logp", "ref_logp", "v", "score", gamma=1.0, lam=0.95, kl_coef=0.1, chunk="_hour")
     return r.select("event_id", F.round("advantage", 6).alias("advantage"), F.round("returns", 6).alias("returns"))
 
 
@@ -266,5 +267,6 @@ SELECT series, 1 AS lag, round(sum(c * l1) / sum(c * c), 9) AS acf FROM l GROUP
 UNION ALL SELECT series, 7, round(sum(c * l7) / sum(c * c), 9) FROM l GROUP BY series
 """)
 def h5_acf(spark, sf_dir):
-    r = W.acf(daily(Tables(spark, sf_dir)), "series", "day", "actual", [1, 7])
+    d = daily(Tables(spark, sf_dir)).withColumn("_month", F.trunc("day", "month"))
+    r = W.acf(d, "series", "day", "actual", [1, 7], chunk="_month")
     return r.withColumn("acf", F.round("acf", 9))
