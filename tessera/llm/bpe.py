@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import RecentCache, slices, written
 from tessera.llm.files import open_random
 
-CHUNK = 1 << 14
+CHUNK = 1 << 15
 OVERLAP = 1 << 10
 _AHEAD = 4  # the pattern's longest fixed look: an apostrophe and two letters, and the character after a run
 
