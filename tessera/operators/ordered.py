@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.dates import epoch_micros
+from tessera.operators.ranking import global_row_number
 from tessera.session import cut_lineage
 
 
@@ -160,7 +161,7 @@ def drop_first(df: DataFrame, key, order, n: int) -> DataFrame:
 # --------------------------------------------------------- orders
 
 def apply_orders(lines: DataFrame, stock: DataFrame, order_col: str = "order_id", item: str = "item_id",
-                 qty: str = "qty", stock_qty: str = "quantity_in_stock") -> DataFrame:
+                 qty: str = "qty", stock_qty: str = "quantity_in_stock", block: int = 4096) -> DataFrame:
     """Atomic multi-line orders in ``order_col`` order, each against the stock left by those before it.
 
     An order is ``invalid_request`` if a quantity is missing or not positive,
@@ -171,27 +172,31 @@ def apply_orders(lines: DataFrame, stock: DataFrame, order_col: str = "order_id"
     The sequence is decided in rounds.  An open order succeeds when every one
     of its items has room even if all earlier open orders succeed, and fails
     when some item has no room even if they all fail.  The first open order of
-    each item chain is always decided, so the rounds end; each is one running
-    sum per item and a cut of the lineage.
+    each item chain is always decided, so the rounds end, after as many as the longest chain of orders that
+    wait for one another; each is one running sum per item and a cut of the lineage.  The sums run per item and
+    block of ``block`` consecutive orders, so an item that is in every order spans tasks.
     """
     asked = lines.groupBy(order_col, item).agg(
         F.sum(qty).alias("_q"), F.count_if(F.col(qty).isNull() | (F.col(qty) <= 0)).alias("_bad"), F.count(F.lit(1)).alias("_n"))
     asked = asked.join(stock.select(item, F.col(stock_qty).alias("_s")), item, "left")
-    per = cut_lineage(asked.groupBy(order_col).agg(
+    per = asked.groupBy(order_col).agg(
         F.sum("_n").alias("n_lines"),
-        F.when(F.sum("_bad") > 0, "invalid_request").when(F.count_if(F.col("_s").isNull()) > 0, "no_match").alias("status")))
+        F.when(F.sum("_bad") > 0, "invalid_request").when(F.count_if(F.col("_s").isNull()) > 0, "no_match").alias("status"))
+    per = cut_lineage(global_row_number(per, [order_col], "_no"))
+    open_orders = per.where("status is null").select(order_col, F.floor(F.col("_no") / block).alias("_blk"))
     state = cut_lineage(
-        asked.join(per.where("status is null").select(order_col), order_col, "left_semi")
-        .select(order_col, item, "_q", "_s", F.lit(None).cast("boolean").alias("_ok")))
+        asked.join(open_orders, order_col).select(order_col, item, "_blk", "_q", "_s", F.lit(None).cast("boolean").alias("_ok")))
     while True:
-        before = Window.partitionBy(item).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-        sure = F.coalesce(F.sum(F.when(F.col("_ok"), F.col("_q"))).over(before), F.lit(0))
-        most = F.coalesce(F.sum(F.when(F.coalesce("_ok", F.lit(True)), F.col("_q"))).over(before), F.lit(0))
-        room = state.select("*", (most + F.col("_q") <= F.col("_s")).alias("_fits"), (sure + F.col("_q") > F.col("_s")).alias("_short"))
+        zero = F.col("_q") - F.col("_q")
+        taken = state.withColumns({"_sure": F.when(F.col("_ok"), F.col("_q")).otherwise(zero),
+                                   "_most": F.when(F.coalesce("_ok", F.lit(True)), F.col("_q")).otherwise(zero)})
+        summed = cumulative_sum(taken, item, order_col, ["_sure", "_most"], chunk="_blk")
+        sure, most = F.col("_sure_cum") - F.col("_sure"), F.col("_most_cum") - F.col("_most")
+        room = summed.select("*", (most + F.col("_q") <= F.col("_s")).alias("_fits"), (sure + F.col("_q") > F.col("_s")).alias("_short"))
         verdict = room.where("_ok is null").groupBy(order_col).agg(
             F.when(F.max("_short"), False).when(F.min("_fits"), True).alias("_new")).where("_new is not null")
         state = cut_lineage(
-            state.join(verdict, order_col, "left").select(order_col, item, "_q", "_s", F.coalesce("_ok", "_new").alias("_ok")))
+            state.join(verdict, order_col, "left").select(order_col, item, "_blk", "_q", "_s", F.coalesce("_ok", "_new").alias("_ok")))
         if not state.where("_ok is null").limit(1).count():
             break
     done = state.groupBy(order_col).agg(F.max("_ok").alias("_ok"))

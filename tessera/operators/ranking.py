@@ -130,17 +130,17 @@ def segmented_cumsum(df: DataFrame, segment: str, order_cols: list, col: str, nu
     spark = df.sparkSession
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ranged = cut_lineage(df.repartitionByRange(n, segment, *order_cols).sortWithinPartitions(segment, *order_cols))
-    per = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(segment).alias("first"), F.max(segment).alias("last"))
+    per = ranged.groupBy(F.spark_partition_id().alias("_pid")).agg(F.min(segment).alias("_first"), F.max(segment).alias("_last"))
     borders = per.collect()
-    held = ranged.groupBy(F.spark_partition_id().alias("p"), segment).agg(F.sum(col).alias("s"))
-    edges = spark.createDataFrame([(r["p"], r["last"]) for r in borders] or [(-1, None)], held.select("p", segment).schema)
-    tails = {r["p"]: r["s"] for r in held.join(F.broadcast(edges), ["p", segment]).collect()}  # the last segment's sum of each partition
+    held = ranged.groupBy(F.spark_partition_id().alias("_pid"), segment).agg(F.sum(col).alias("_sum"))
+    edges = spark.createDataFrame([(r["_pid"], r["_last"]) for r in borders] or [(-1, None)], held.select("_pid", segment).schema)
+    tails = {r["_pid"]: r["_sum"] for r in held.join(F.broadcast(edges), ["_pid", segment]).collect()}  # the last segment's sum of each partition
     starts: dict[int, float] = {}
     name, carry = None, 0.0
-    for r in sorted(borders, key=lambda r: r["p"]):
-        starts[r["p"]] = carry if r["first"] == name else 0.0
-        carry = tails.get(r["p"], 0.0) + (starts[r["p"]] if r["first"] == r["last"] else 0.0)
-        name = r["last"]
+    for r in sorted(borders, key=lambda r: r["_pid"]):
+        starts[r["_pid"]] = carry if r["_first"] == name else 0.0
+        carry = tails.get(r["_pid"], 0.0) + (starts[r["_pid"]] if r["_first"] == r["_last"] else 0.0)
+        name = r["_last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -364,3 +364,78 @@ def _by_query(df):
     for r in df.collect():
         found.setdefault(r.qid, []).append(r.cid)
     return found
+
+
+# ---------------------------------------------------------------- hot keys
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A key with two thirds of all rows, a null key, repeated times, nulls and a constant stretch."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(240):
+        key = "hot" if i % 3 else rng.choice(["a", "b", None])
+        second = rng.randrange(0, 20 * 86400) // 600 * 600
+        value = None if i % 17 == 0 else 5.1 if second < 2 * 86400 else round(rng.random() * 9, 2)
+        rows.append((i, key, second, value))
+    df = spark.createDataFrame(rows, "id long, k string, s long, v double")
+    return df.select("id", "k", F.timestamp_seconds("s").alias("ts"), "v").cache()
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 24])
+def test_rolling_windows_by_blocks(hot, blocks):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("k").orderBy(F.unix_micros("ts")).rangeBetween(-2 * 86_400_000_000, 0)
+    want = {r.id: r for r in hot.select("id", F.avg("v").over(w).alias("m"), F.stddev_samp("v").over(w).alias("s")).collect()}
+    got = W.rolling_stats(hot, "k", "ts", "v", 2, blocks).collect()
+    assert len(got) == len(want)
+    for r in got:
+        m, s = want[r.id].m, want[r.id].s
+        assert r.roll_mean == (m if m is None else pytest.approx(m, abs=1e-9))
+        assert (r.roll_std is None) == (s is None) and (s is None or r.roll_std == pytest.approx(s, abs=1e-9))
+
+
+def test_orders_of_one_hot_item(spark):
+    """An item that every order asks for: sequential result, whatever the block."""
+    rng = random.Random(2)
+    lines = [(o, "hot", rng.randint(1, 4)) for o in range(60)] + [(o, rng.choice("xy"), rng.randint(1, 9)) for o in range(60)]
+    stock = {"hot": 70, "x": 60, "y": 50}
+    left, want = dict(stock), {}
+    for o in range(60):
+        own = {}
+        for k, i, q in lines:
+            if k == o:
+                own[i] = own.get(i, 0) + q
+        ok = all(q <= left[i] for i, q in own.items())
+        for i, q in own.items():
+            left[i] -= q if ok else 0
+        want[o] = "success" if ok else "insufficient_stock"
+    df = spark.createDataFrame(lines, "order_id long, item_id string, qty long")
+    st = spark.createDataFrame(list(stock.items()), "item_id string, quantity_in_stock long")
+    assert {r.order_id: r.status for r in W.apply_orders(df, st, block=7).collect()} == want
+
+
+def test_long_trajectories_and_series_by_chunks(spark):
+    rng = random.Random(3)
+    rows = [(k, t, t // 7, *(rng.random() for _ in range(4))) for k in ("a", None) for t in range(40)]
+    df = spark.createDataFrame(rows, "k string, t long, c long, p double, q double, v double, s double")
+    runs = (lambda c: W.gae(df, "k", "t", "p", "q", "v", "s", 0.9, 0.8, chunk=c).select("k", "t", "advantage", "returns"),
+            lambda c: W.acf(df, "k", "t", "v", [1, 9], chunk=c).select("k", "lag", "acf"))
+    for run in runs:
+        plain, chunked = ({tuple(r)[:2]: tuple(r)[2:] for r in run(c).collect()} for c in (None, "c"))
+        assert set(plain) == set(chunked)
+        assert all(chunked[k] == pytest.approx(x, abs=1e-9) for k, x in plain.items())
+
+
+@pytest.mark.parametrize("partitions", [1, 9])
+def test_segmented_sums(spark, partitions):
+    from tessera.operators.ranking import segmented_cumsum
+
+    rows = [("hot" if i % 3 else f"s{i % 7}", i, float(i % 5 + 1)) for i in range(200)]
+    want, run = {}, {}
+    for s, i, x in sorted(rows):
+        run[s] = run.get(s, 0.0) + x
+        want[s, i] = run[s]
+    got = segmented_cumsum(spark.createDataFrame(rows, "s string, i long, x double"), "s", ["i"], "x", partitions).collect()
+    assert {(r.s, r.i): r._upto for r in got} == want and all(r._before == r._upto - r.x for r in got)
