@@ -77,11 +77,55 @@ def dict_vectorize(df: DataFrame, cols: list[str], out: str = "features"):
     return Pipeline(stages=[*idx, ohe, va]).fit(df)
 
 
+def murmur3(data: bytes, seed: int = 0) -> int:
+    """MurmurHash3 (x86, 32 bits) as a signed integer."""
+    mask = 0xFFFFFFFF
+    h, whole = seed, len(data) // 4 * 4
+
+    def scrambled(k: int) -> int:
+        k = k * 0xCC9E2D51 & mask
+        return ((k << 15 | k >> 17) & mask) * 0x1B873593 & mask
+
+    for at in range(0, whole, 4):
+        h ^= scrambled(int.from_bytes(data[at : at + 4], "little"))
+        h = ((h << 13 | h >> 19) & mask) * 5 + 0xE6546B64 & mask
+    if data[whole:]:
+        h ^= scrambled(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ h >> shift) * factor & mask
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
 def hash_features(df: DataFrame, cols: list[str], n: int, out: str = "features") -> DataFrame:
-    """Hashing trick into ``n`` buckets (MurmurHash3 of ``column=value``; numeric columns keep their value)."""
-    from pyspark.ml.feature import FeatureHasher
+    """Signed hashing trick into ``n`` buckets, as a map ``bucket -> value``.
 
-    return FeatureHasher(inputCols=cols, outputCol=out, numFeatures=n).transform(df)
+    A text column hashes ``name=value`` with the value 1, a numeric one its name with its own value.  The bucket is
+    the hash's magnitude modulo ``n``, its sign is that of the value, so collisions cancel on average; values of
+    one bucket add up.  Nulls and zeros leave no entry.
+    """
+    def place(name: str) -> tuple[int, float]:
+        h = murmur3(name.encode())
+        return abs(h) % n, 1.0 if h >= 0 else -1.0
+
+    @F.pandas_udf("struct<b:int,v:double>")
+    def placed(names: pd.Series) -> pd.DataFrame:
+        known = {x: place(x) for x in names.dropna().unique()}
+        return pd.DataFrame([known.get(x, (None, None)) for x in names], columns=["b", "v"]).astype({"b": "Int32", "v": "float64"})
+
+    entries = []
+    for c in cols:
+        if dict(df.dtypes)[c] == "string":
+            entries.append(placed(F.concat(F.lit(f"{c}="), F.col(c))))
+        else:
+            b, sign = place(c)
+            entries.append(F.struct(F.lit(b).alias("b"), (F.col(c).cast("double") * sign).alias("v")))
+    full = F.filter(F.array(*entries), lambda e: e["b"].isNotNull() & e["v"].isNotNull())
+    work = df.withColumn("__e", full)
+    buckets = F.array_sort(F.array_distinct(F.col("__e.b")))
+    values = F.transform(buckets, lambda b: F.aggregate(F.filter("__e", lambda e: e["b"] == b), F.lit(0.0), lambda acc, e: acc + e["v"]))
+    return work.withColumn(out, F.map_filter(F.map_from_arrays(buckets, values), lambda _, v: v != 0)).drop("__e")
 
 
 def standardize(df: DataFrame, cols: list[str], eps: float = 0.0, fit: DataFrame | None = None) -> DataFrame:
@@ -103,18 +147,27 @@ def minmax(df: DataFrame, cols: list[str], fit: DataFrame | None = None) -> Data
                        for c in cols])
 
 
-def tabular_pipeline(cat_cols: list[str], cont_cols: list[str], out: str = "features"):
-    """Categorify (unknown kept) + median fill + assemble + standardise, to be fitted on train only."""
+def fit_tabular(train: DataFrame, cat_cols: list[str], cont_cols: list[str], out: str = "features"):
+    """Categorify (unknown kept) + exact median fill + normalise by mean and population deviation + assemble,
+    fitted on ``train`` (the statistics are one row)."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+
+    from tessera.operators.quantiles import exact_percentiles
 
+    filled = {}
+    one = train.select(F.lit(0).alias("_one"), *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cont_cols])
+    for c in cont_cols:
+        median = exact_percentiles(one.select("_one", c), ["_one"], c, {"median": 0.5}).first()
+        m = median["median"] if median and median["median"] is not None else 0.0
+        mean, deviation = one.select(F.coalesce(c, F.lit(m)).alias(c)).agg(F.avg(c), F.stddev_pop(c)).first()
+        filled[c] = (m, mean, deviation or 1.0)  # a constant column becomes 0
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cat_cols]
     ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in cat_cols], outputCols=[f"{c}__ohe" for c in cat_cols])
-    imp = Imputer(inputCols=cont_cols, outputCols=[f"{c}__imp" for c in cont_cols], strategy="median")
-    va = VectorAssembler(inputCols=[f"{c}__ohe" for c in cat_cols] + [f"{c}__imp" for c in cont_cols],
-                         outputCol="__raw", handleInvalid="keep")
-    sc = StandardScaler(inputCol="__raw", outputCol=out, withMean=True, withStd=True)
-    return Pipeline(stages=[*idx, ohe, imp, va, sc])
+    scaled = ", ".join(f"(coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {m!r}D) - {mean!r}D) / {d!r}D AS `{c}__norm`" for c, (m, mean, d) in filled.items())
+    norm = SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
+    va = VectorAssembler(inputCols=[f"{c}__ohe" for c in cat_cols] + [f"{c}__norm" for c in cont_cols], outputCol=out)
+    return Pipeline(stages=[*idx, ohe, norm, va]).fit(train)
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.operators.ranking import global_row_number
+from tessera.session import cut_lineage
 
 
 def hash_key(key: str, seed) -> Column:
@@ -139,21 +140,74 @@ def mixup(df: DataFrame, key: str, features: str, label: str, alpha: float = 0.4
                     (F.col("lam") * F.col(label) + (1 - F.col("lam")) * F.col("_yf")).alias(label))
 
 
-def cmixup_partners(df: DataFrame, key: str, label: str, seed: int = 0) -> DataFrame:
-    """Q9: C-MixUp partner choice restricted to the label neighbourhood.
+#: Label cells per sigma; proposals per row and round; rounds before the nearest label is taken.
+CELLS_PER_SIGMA, PROPOSALS, ROUNDS = 4, 16, 50
+
+
+def _uniform(h: np.ndarray, stream: int) -> np.ndarray:
+    """Numbers in [0, 1) from 64-bit keys, another sequence for each stream (splitmix64)."""
+    x = h.astype(np.uint64) + np.uint64((stream + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+
+
+def _proposals(cells: list, sigma: float):
+    """Pandas UDF ``(label, key hash) -> array of (place, gap)``: rows drawn by cell size times the cell's largest
+    weight, which its distance ``gap`` (in sigma) gives."""
+    low, high, size, first = (np.array([r[c] for r in cells], float) for c in ("lo", "hi", "n", "first"))
 
-    sigma = std(y) / 2; rows are bucketed by ``floor(y / sigma)`` and paired with
-    the next row of their bucket in hash order (cyclic; a single-row bucket pairs
-    with itself).  Buckets are numbered globally, so a huge bucket is never one task.
+    @F.pandas_udf("array<struct<place:long,gap:double>>")
+    def propose(y: pd.Series, h: pd.Series) -> pd.Series:
+        values, keys = y.to_numpy(float), h.to_numpy(np.int64)
+        where, inside = (np.stack([_uniform(keys, 2 * m + j) for m in range(PROPOSALS)], 1) for j in (0, 1))
+        out = []
+        for v, u, w in zip(values, where, inside):
+            gap = np.maximum(np.maximum(low - v, v - high), 0) / sigma
+            upto = np.cumsum(size * np.exp(-(gap**2) / 2))
+            cell = np.minimum(np.searchsorted(upto, u * upto[-1], "right"), len(size) - 1)
+            out.append([{"place": int(p), "gap": float(g)} for p, g in zip(first[cell] + np.floor(w * size[cell]), gap[cell])])
+        return pd.Series(out)
+
+    return propose
+
+
+def cmixup_partners(df: DataFrame, key: str, label: str, seed: int = 0) -> DataFrame:
+    """Q9: C-MixUp partners ``(key, partner, label_gap)``: row ``j`` for row ``i`` with probability proportional to
+    ``exp(-(y_i - y_j)^2 / 2 sigma^2)``, sigma half the sample deviation of the label, never itself.
+
+    Rows are numbered in label cells of a quarter sigma.  A row proposes places in cells drawn by their size and
+    the largest weight that they can have for it, and takes the first proposal that passes the rejection test for its own
+    weight; rows without one go on to the next round.  Draws are keyed hashes, so they do not depend on the
+    partitioning.  A proposal passes with a probability of about a half or more (the weight of a cell varies little
+    over a quarter sigma), so the rounds are few.  The only row of a table has no partner; rows without a label take
+    no part.  ``key`` is unique.
     """
-    sigma = df.agg(F.stddev_pop(label)).first()[0] / 2.0 or 1.0
-    b = df.withColumn("_b", F.floor(F.col(label) / sigma)).withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
-    r = global_row_number(b, ["_b", "_h", key], "_rn")
-    st = r.groupBy("_b").agg(F.min("_rn").alias("_lo"), F.max("_rn").alias("_hi"))
-    r = r.join(st, "_b")  # one row per label bucket; their number follows range / sigma, so no broadcast hint
-    r = r.withColumn("_prn", F.when(F.col("_rn") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_rn") + 1))
-    partner = r.select(F.col("_rn").alias("_prn"), F.col(key).alias("partner"))
-    return r.join(partner, "_prn").select(key, "partner", F.col("_b").alias("bucket"))
+    rows = df.where(F.col(label).isNotNull()).select(key, F.col(label).cast("double").alias("_y"))
+    deviation = rows.agg(F.stddev_samp("_y")).first()[0]
+    sigma = deviation / 2 if deviation else 1.0
+    rows = global_row_number(rows.withColumn("_c", F.floor(F.col("_y") / (sigma / CELLS_PER_SIGMA))), ["_c", key], "_rn")
+    rows = cut_lineage(rows)
+    cells = rows.groupBy("_c").agg(F.min("_y").alias("lo"), F.max("_y").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                   F.min("_rn").alias("first")).orderBy("_c").collect()  # a row per cell: range over sigma
+    if sum(c["n"] for c in cells) < 2:
+        return rows.limit(0).select(key, F.col(key).alias("partner"), F.lit(0.0).alias("label_gap"))
+    propose, found, waiting = _proposals(cells, sigma), None, rows
+    others = rows.select(F.col("_rn").alias("_place"), F.col(key).alias("partner"), F.col("_y").alias("_py"))
+    for k in range(ROUNDS):
+        drawn = waiting.select(key, "_y", F.posexplode(propose("_y", F.xxhash64(F.lit(seed), F.lit(k), key))).alias("_m", "_d"))
+        met = drawn.select(key, "_y", "_m", F.col("_d.place").alias("_place"), F.col("_d.gap").alias("_gap")).join(others, "_place")
+        distance = (F.col("_y") - F.col("_py")) / sigma
+        chance = F.exp(-(distance * distance - F.col("_gap") * F.col("_gap")) / 2)
+        luck = F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "_m", key, F.lit("luck")), F.lit(1 << 40)) / float(1 << 40)
+        passed = met.where((luck < chance) & (F.col(key) != F.col("partner"))).groupBy(key).agg(
+            F.min_by(F.struct("partner", F.abs(F.col("_y") - F.col("_py")).alias("label_gap")), "_m").alias("_p"))
+        passed = cut_lineage(passed.select(key, "_p.*"))
+        found = passed if found is None else found.unionByName(passed)
+        waiting = cut_lineage(waiting.join(passed.select(key), key, "left_anti"))
+        if not waiting.limit(1).count():
+            return found
+    raise RuntimeError(f"no partner within {ROUNDS} rounds")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

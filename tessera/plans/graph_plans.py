@@ -169,3 +169,19 @@ def o8_neighbor_mean(spark, sf_dir):
                               F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double")).alias("features"))
     out = G.neighbor_mean(edges, feats)
     return out.select("node", F.round(out.features[0], 6).alias("f0"), F.round(out.features[1], 6).alias("f1"))
+
+
+@query("o8_neighbor_sym", """
+WITH e AS (SELECT DISTINCT l_suppkey AS src, l_partkey AS dst FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL),
+a AS (SELECT src, count(*) AS dout FROM e GROUP BY src), b AS (SELECT dst, count(*) AS din FROM e GROUP BY dst)
+SELECT dst AS node, round(sum(s_acctbal / sqrt(dout) / sqrt(din)), 6) AS f0, round(sum(s_nationkey / sqrt(dout) / sqrt(din)), 6) AS f1
+FROM e JOIN a USING (src) JOIN b USING (dst) JOIN supplier ON s_suppkey = src GROUP BY dst
+""")
+def o8_neighbor_sym(spark, sf_dir):
+    """Each part sums its suppliers' feature vectors (acctbal, nationkey) with the symmetric degree norm."""
+    t = Tables(spark, sf_dir)
+    edges = t.lineitem.where("l_suppkey IS NOT NULL AND l_partkey IS NOT NULL").select(
+        F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst")).distinct()
+    feats = t.supplier.select(F.col("s_suppkey").alias("node"), F.array(F.col("s_acctbal"), F.col("s_nationkey").cast("double")).alias("features"))
+    out = G.neighbor_mean(edges, feats, norm="sym")
+    return out.select("node", F.round(out.features[0], 6).alias("f0"), F.round(out.features[1], 6).alias("f1"))

@@ -61,9 +61,8 @@ def g4_dict_vectorize(spark, sf_dir):
 @query("g5_hash_features")
 def g5_hash_features(spark, sf_dir):
     p = Tables(spark, sf_dir).part.select("p_partkey", "p_brand", "p_type", "p_size")
-    from pyspark.ml.functions import vector_to_array
     out = G.hash_features(p, ["p_brand", "p_type", "p_size"], 64)
-    return out.select("p_partkey", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("nnz"))
+    return out.select("p_partkey", F.explode("features").alias("bucket", "value"))
 
 
 @query("g6_standardize", """
@@ -104,10 +103,10 @@ def g8_tabular_pipeline(spark, sf_dir):
     """Pipeline fitted on the train part only, applied to the test part."""
     d = _lineitem_model_frame(spark, sf_dir).withColumn("_k", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey"))
     train, test = S.split_hash(d, "_k", 0.8, "tab")
-    model = G.tabular_pipeline(["p_type", "l_linestatus"], ["l_quantity", "size"]).fit(train)
+    model = G.fit_tabular(train, ["p_type", "l_linestatus"], ["l_quantity", "size"])
     from pyspark.ml.functions import vector_to_array
     out = model.transform(test)
-    return out.select("l_orderkey", "l_linenumber", F.size(vector_to_array("features")).alias("dim"))
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", vector_to_array("features").alias("features"))
 
 
 @query("g9_assemble")

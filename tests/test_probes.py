@@ -439,3 +439,59 @@ def test_segmented_sums(spark, partitions):
         want[s, i] = run[s]
     got = segmented_cumsum(spark.createDataFrame(rows, "s string, i long, x double"), "s", ["i"], "x", partitions).collect()
     assert {(r.s, r.i): r._upto for r in got} == want and all(r._before == r._upto - r.x for r in got)
+
+
+# ---------------------------------------------------------------- features, sampling
+
+def test_signed_hash(spark):
+    """Published MurmurHash3 values; signs and sums of the buckets."""
+    known = {b"": 0, b"test": 0xBA6BD213, b"Hello, world!": 0xC0363E43, b"The quick brown fox jumps over the lazy dog": 0x2E4FF723}
+    assert {k: FE.murmur3(k) & 0xFFFFFFFF for k in known} == known
+    rows = [(1, "dog", "blue", 2.5), (2, "dog", None, 0.0), (3, None, None, None)]
+    df = spark.createDataFrame(rows, "id long, a string, b string, x double")
+    for n in (2, 1024):
+        got = {r.id: r.features for r in FE.hash_features(df, ["a", "b", "x"], n).collect()}
+        for i, a, b, x in rows:
+            want = {}
+            for name, value in (("a=" + (a or ""), 1.0 if a else None), ("b=" + (b or ""), 1.0 if b else None), ("x", x)):
+                if value:
+                    h = FE.murmur3(name.encode())
+                    want[abs(h) % n] = want.get(abs(h) % n, 0.0) + (value if h >= 0 else -value)
+            assert got[i] == {k: v for k, v in want.items() if v}
+
+
+def test_tabular_fill_is_the_exact_median(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    values = [1.0, 2.0, 100.0, 3.0, None, float("nan")]
+    train = spark.createDataFrame([("u", v, 7.0) for v in values], "c string, v double, w double")
+    filled = [2.5 if v is None or v != v else v for v in values]
+    mean = sum(filled) / 6
+    dev = (sum((v - mean) ** 2 for v in filled) / 6) ** 0.5
+    model = FE.fit_tabular(train, ["c"], ["v", "w"])
+    test = spark.createDataFrame([("new", None, 7.0), ("u", 4.0, 9.0)], "c string, v double, w double")
+    got = [r.f[-2:] for r in model.transform(test).select(vector_to_array("features").alias("f")).collect()]
+    assert got[0] == pytest.approx([(2.5 - mean) / dev, 0.0]) and got[1] == pytest.approx([(4.0 - mean) / dev, 2.0])
+
+
+def test_cmixup_partners_follow_the_label_distance(spark):
+    """The share of partners per distance is that of the weights; the draw does not depend on the partitioning."""
+    import math
+
+    ys = [float(i % 10) for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(ys)), "k long, y double")
+    got = {r.k: r for r in S.cmixup_partners(df.repartition(1), "k", "y", 3).collect()}
+    again = {r.k: r for r in S.cmixup_partners(df.repartition(8, "y"), "k", "y", 3).collect()}
+    assert got == again and set(got) == set(range(3000))
+    assert all(r.partner != k and r.label_gap == abs(ys[k] - ys[r.partner]) for k, r in got.items())
+    n = len(ys)
+    mean = sum(ys) / n
+    sigma = (sum((y - mean) ** 2 for y in ys) / (n - 1)) ** 0.5 / 2
+    for label in (0.0, 5.0):
+        weights = {z: 300 * math.exp(-((z - label) ** 2) / 2 / sigma**2) for z in map(float, range(10))}
+        drawn = [ys[got[k].partner] for k in range(n) if ys[k] == label]
+        for z, w in weights.items():
+            share = w / sum(weights.values())
+            assert abs(drawn.count(z) / len(drawn) - share) < 4 * (share * (1 - share) / len(drawn)) ** 0.5 + 0.01
+    alone = spark.createDataFrame([(1, 2.0), (2, None)], "k long, y double")
+    assert S.cmixup_partners(alone, "k", "y").collect() == []
