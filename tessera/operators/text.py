@@ -267,30 +267,31 @@ def corpus_bleu(pairs: DataFrame, key: str, ref: str, hyp: str, max_n: int = 4,
     """Corpus BLEU-4 x 100; each n-gram precision ``m/t`` is smoothed to ``(m + 1)/t``
     (``t`` at least 1), brevity penalty from total lengths, 0 when no unigram matches.
 
-    Clipped matches and hypothesis totals are summed over the corpus with one
-    partial aggregate per order; only ``2 * max_n + 2`` numbers reach the driver.
+    The n-grams of both sides and all orders are counted in one aggregate, so each text is cut once; clipped matches
+    and totals then add up to one row per order.
     """
     def toks(c):
         s = F.col(c)
         if strip_bpe:
             s = F.regexp_replace(s, "@@ ", "")
-        return F.filter(F.split(F.trim(s), r"\s+"), lambda x: x != "")
+        return F.coalesce(F.filter(F.split(F.trim(s), r"\s+"), lambda x: x != ""), F.array().cast("array<string>"))
+
+    def of_order(col, n: int, hyp: bool):
+        places = F.sequence(F.lit(1), F.greatest(F.size(col) - n + 1, F.lit(1)))
+        found = F.transform(places, lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(col, i, n), " ").alias("g"), F.lit(hyp).alias("hyp")))
+        return F.when(F.size(col) >= n, found).otherwise(F.array().cast("array<struct<n:int,g:string,hyp:boolean>>"))
+
+    def grams(col, hyp: bool):
+        return F.flatten(F.array(*[of_order(col, n, hyp) for n in range(1, max_n + 1)]))
 
     d = pairs.select(F.col(key).alias("_id"), toks(ref).alias("_r"), toks(hyp).alias("_h"))
-    lens = d.agg(F.sum(F.size("_r")).alias("r"), F.sum(F.size("_h")).alias("c")).first()
-    num, den = [], []
-    for n in range(1, max_n + 1):
-        def grams(col, n=n):
-            return F.transform(F.sequence(F.lit(1), F.size(col) - n + 1),
-                               lambda i: F.array_join(F.slice(col, i, n), " "))
-        h = d.where(F.size("_h") >= n).select("_id", F.explode(grams(F.col("_h"))).alias("g")).groupBy("_id", "g").agg(
-            F.count(F.lit(1)).alias("ch"))
-        r = d.where(F.size("_r") >= n).select("_id", F.explode(grams(F.col("_r"))).alias("g")).groupBy("_id", "g").agg(
-            F.count(F.lit(1)).alias("cr"))
-        m = h.join(r, ["_id", "g"], "left").agg(F.sum(F.least("ch", F.coalesce("cr", F.lit(0)))).alias("m"),
-                                                F.sum("ch").alias("t")).first()
-        num.append(float(m["m"] or 0))
-        den.append(max(1.0, float(m["t"] or 0)))
+    cut = d.select("_id", F.explode(F.concat(grams(F.col("_r"), False), grams(F.col("_h"), True))).alias("e"))
+    counts = cut.groupBy("_id", "e.n", "e.g").agg(F.count_if("e.hyp").alias("ch"), F.count_if(~F.col("e.hyp")).alias("cr"))
+    rows = {x["n"]: x for x in counts.groupBy("n").agg(
+        F.sum(F.least("ch", "cr")).alias("m"), F.sum("ch").alias("t"), F.sum("cr").alias("u")).collect()}  # a row per order
+    num = [float(rows[n]["m"]) if n in rows else 0.0 for n in range(1, max_n + 1)]
+    den = [max(1.0, float(rows[n]["t"]) if n in rows else 0.0) for n in range(1, max_n + 1)]
+    lens = {"c": rows[1]["t"], "r": rows[1]["u"]} if 1 in rows else {"c": 0, "r": 0}
     c, r = float(lens["c"] or 0), float(lens["r"] or 0)
     bp = 1.0 if c > r else (math.exp(1 - r / c) if c > 0 else 0.0)
     if num[0] == 0:
@@ -313,6 +314,15 @@ def occlusion_variants(df: DataFrame, key: str, tokens: str, mask: str = "UNK")
     return p.select(key, "pos", "token", masked.alias(tokens))
 
 
+def occlusion_of_sums(df: DataFrame, key: str, tokens: str, terms: DataFrame, mask: str = "UNK") -> DataFrame:
+    """T24 for a score that is a sum over the tokens: the weight of a position is its token's own term less the mask's,
+    one row per position.  ``terms``: ``(token, term)``; a token without one adds nothing."""
+    own = df.select(key, F.posexplode(tokens).alias("pos", "token"))
+    masked = terms.where(F.col("token") == mask).agg(F.coalesce(F.first("term"), F.lit(0.0))).first()[0]
+    found = own.join(terms.select("token", "term"), "token", "left")
+    return found.select(key, "pos", "token", (F.coalesce("term", F.lit(0.0)) - F.lit(masked)).alias("weight"))
+
+
 def occlusion_weights(df: DataFrame, key: str, tokens: str, score_fn, mask: str = "UNK") -> DataFrame:
     """``weight(pos) = score(original) - score(with pos masked)`` for any batch scorer
     ``score_fn(DataFrame[key, tokens, ...]) -> DataFrame[key, ..., score]``."""

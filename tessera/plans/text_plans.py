@@ -350,13 +350,26 @@ def t15_cbow_windows(spark, sf_dir):
     return r.select(F.array_join("context", " ").alias("context"), "target")
 
 
-@query("t22_corpus_bleu")
+@query("t22_corpus_bleu", r"""
+WITH p AS (SELECT doc_id, text AS ref, regexp_replace(regexp_replace(text, ' the ', ' a ', 'g'), '\.\n', chr(10), 'g') AS hyp FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(replace(ref, '@@ ', ''), '[^\x20\x09-\x0D]+') AS r, regexp_extract_all(replace(hyp, '@@ ', ''), '[^\x20\x09-\x0D]+') AS h FROM p),
+g AS (SELECT doc_id, n, array_to_string(r[i:i + n - 1], ' ') AS g, 0 AS hyp FROM w, (SELECT unnest([1, 2, 3, 4]) AS n) k, unnest(generate_series(1, len(r) - n + 1)) AS u(i)
+      UNION ALL SELECT doc_id, n, array_to_string(h[i:i + n - 1], ' '), 1 FROM w, (SELECT unnest([1, 2, 3, 4]) AS n) k, unnest(generate_series(1, len(h) - n + 1)) AS u(i)),
+c AS (SELECT doc_id, n, g, sum(hyp) AS ch, sum(1 - hyp) AS cr FROM g GROUP BY doc_id, n, g),
+t AS (SELECT n, sum(least(ch, cr))::DOUBLE AS m, sum(ch)::DOUBLE AS t, sum(cr)::DOUBLE AS u FROM c GROUP BY n),
+x AS (SELECT max(t) FILTER (n = 1) AS hyp_len, max(u) FILTER (n = 1) AS ref_len, """ + ", ".join(
+    f"max(m) FILTER (n = {n}) AS match{n}, max(t) FILTER (n = {n}) AS total{n}" for n in (1, 2, 3, 4)) + """, sum(ln((m + 1) / t)) / 4 AS logs FROM t)
+SELECT round(100 * CASE WHEN hyp_len > ref_len THEN 1 ELSE exp(1 - ref_len / hyp_len) END * exp(logs), 9) AS bleu,
+       round(CASE WHEN hyp_len > ref_len THEN 1 ELSE exp(1 - ref_len / hyp_len) END, 9) AS bp, hyp_len, ref_len,
+       match1, match2, match3, match4, total1, total2, total3, total4 FROM x
+""")
 def t22_corpus_bleu(spark, sf_dir):
     """Documents against a perturbed copy (every " the " -> " a ", sentences ending in '.' lose it)."""
     d = Tables(spark, sf_dir).documents
     pairs = d.select("doc_id", F.col("text").alias("ref"),
                      F.regexp_replace(F.regexp_replace("text", " the ", " a "), r"\.\n", "\n").alias("hyp"))
-    return T.corpus_bleu(pairs, "doc_id", "ref", "hyp")
+    r = T.corpus_bleu(pairs, "doc_id", "ref", "hyp")
+    return r.withColumns({c: F.round(c, 9) for c in ("bleu", "bp")})
 
 
 @query("t23_word_dropout")
@@ -369,20 +382,16 @@ def t23_word_dropout(spark, sf_dir):
     return out
 
 
-@query("t24_occlusion")
+@query("t24_occlusion", _NB_FIT + f"""
+, bt AS (SELECT item_id AS doc_id, regexp_extract_all(lower(text), '{WP}', 1) AS a FROM benchmark),
+pos AS (SELECT doc_id, i - 1 AS pos, a[i] AS token FROM bt, range(1, len(a) + 1) r(i))
+SELECT doc_id, pos::INTEGER AS pos, token, round(coalesce(ln(p1) - ln(p0), 0), 6) AS weight FROM pos LEFT JOIN probs USING (token)
+""")
 def t24_occlusion(spark, sf_dir):
-    """Occlusion weights of the benchmark texts under the T13 naive-Bayes scorer."""
+    """Occlusion weights of the benchmark texts under the T13 naive-Bayes scorer, a sum over the tokens."""
     _, train, _, vocab, bows = _nb_inputs(spark, sf_dir)
     b, _ = S.split_hash(bows, "doc_id", 0.5, "nb")
-    priors, probs = T.text_nb_fit(b, train.select("doc_id", "toxic"), "doc_id", "toxic", vocab)
-
-    def scorer(df):
-        key = df.columns[0]
-        bb = df.select(key, F.explode("tokens").alias("token")).join(vocab.select("token"), "token", "left_semi") \
-            .groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
-        sc = T.text_nb_score(bb, df.select(key), key, priors, probs)
-        return sc.select(key, (F.col("score1") - F.col("score0")).alias("score"))
-
-    bench = Tables(spark, sf_dir).benchmark.select(F.col("item_id").alias("doc_id"),
-                                                   FT.wordpunct_tokens("text").alias("tokens"))
-    return T.occlusion_weights(bench, "doc_id", "tokens", scorer)
+    _, probs = T.text_nb_fit(b, train.select("doc_id", "toxic"), "doc_id", "toxic", vocab)
+    bench = Tables(spark, sf_dir).benchmark.select(F.col("item_id").alias("doc_id"), FT.wordpunct_tokens("text").alias("tokens"))
+    weights = T.occlusion_of_sums(bench, "doc_id", "tokens", probs.select("token", (F.log("p1") - F.log("p0")).alias("term")))
+    return weights.withColumn("weight", F.round("weight", 6))
