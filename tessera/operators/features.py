@@ -15,17 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def one_hot(df: DataFrame, cols: list[str], categories: dict | None = None, drop: bool = True) -> DataFrame:
+def one_hot(df: DataFrame, cols: list[str], categories: dict | None = None, drop: bool = True, most: int = 1000) -> DataFrame:
     """G1: integer 0/1 indicator per (column, value) in sorted value order; null -> all zeros.
 
     One column per distinct value, so the values are gathered on the driver: for
-    columns of few categories.  :func:`one_hot_sparse` is the path for many.
+    columns of at most ``most`` categories, an error beyond.  :func:`one_hot_sparse` is the path for many.
     """
     categories = dict(categories or {})
     out = df
     for c in cols:
         if c not in categories:
-            categories[c] = sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect())
+            found = df.select(c).where(F.col(c).isNotNull()).distinct().limit(most + 1).collect()
+            if len(found) > most:
+                raise ValueError(f"{c} has more than {most} categories; use one_hot_sparse")
+            categories[c] = sorted(r[0] for r in found)
         out = out.select("*", *[F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
                                 for v in categories[c]])
         if drop:

@@ -109,22 +109,21 @@ def kneser_ney(df: DataFrame, tokens: str, n: int, delta: float = 0.75) -> DataF
     """T4: interpolated Kneser-Ney probabilities of seen ``(prefix, token)`` pairs.
 
     Highest order uses raw counts, lower orders continuation counts (number of
-    distinct left contexts); each order is one aggregate, orders are joined
-    bottom-up: ``P(w|h) = max(c - d, 0)/c(h) + d * T(h)/c(h) * P(w|h')``, with the
+    distinct left contexts).  The texts are cut into n-grams of the highest order only: without its first word a
+    distinct n-gram is one left context of the n-gram one shorter, so every order is counted from the one above.
+    Orders are joined bottom-up: ``P(w|h) = max(c - d, 0)/c(h) + d * T(h)/c(h) * P(w|h')``, with the
     unigram continuation distribution at the bottom.
     """
+    counts = {n: cut_lineage(ngram_counts(df, tokens, n))}
+    for order in range(n - 1, 1, -1):
+        rest = F.array_join(F.slice(F.split("prefix", " "), 2, order - 1), " ")
+        counts[order] = counts[order + 1].select(rest.alias("prefix"), "token").groupBy("prefix", "token").agg(F.count(F.lit(1)).alias("n"))
     # unigram continuation probability
-    bi = ngram_counts(df, tokens, 2)
-    cont = bi.groupBy("token").agg(F.countDistinct("prefix").alias("_c"))
-    tot_c = bi.select("prefix", "token").distinct().count()
-    lower = cont.select(F.lit("").alias("prefix"), "token", (F.col("_c") / F.lit(float(tot_c))).alias("p"))
+    types = counts[2].count()
+    lower = counts[2].groupBy("token").agg(F.count(F.lit(1)).alias("_c")).select(
+        F.lit("").alias("prefix"), "token", (F.col("_c") / F.lit(float(types))).alias("p"))
     for order in range(2, n + 1):
-        c = ngram_counts(df, tokens, order)
-        if order < n:  # continuation counts for middle orders
-            ext = ngram_events(df, tokens, order + 1).withColumn(
-                "_left", F.element_at(F.split("prefix", " "), 1)).withColumn(
-                "prefix", F.array_join(F.slice(F.split("prefix", " "), 2, order - 1), " "))
-            c = ext.groupBy("prefix", "token").agg(F.countDistinct("_left").alias("n"))
+        c = counts[order]
         st = c.groupBy("prefix").agg(F.sum("n").alias("_ch"), F.count(F.lit(1)).alias("_T"))
         shorter = F.array_join(F.slice(F.split("prefix", " "), 2, order - 2), " ") if order > 2 else F.lit("")
         cur = c.join(st, "prefix").withColumn("_h", shorter)

@@ -86,10 +86,11 @@ SELECT doc_id, array_to_string(list_concat(x[1:64], list_resize([]::BIGINT[], gr
 def f4_pad_ids(spark, sf_dir):
     """Token ids (top-1000 vocabulary, UNK = 0) right-padded / truncated to 64 with PAD = -1."""
     t = Tables(spark, sf_dir)
-    toks = t.documents.select("doc_id", F.posexplode(FT.wordpunct_tokens("text")).alias("pos", "token"))
-    top = A.vocab_topk(A.token_counts(toks), 1000).collect()  # bounded by k
+    docs = t.documents.select("doc_id", FT.wordpunct_tokens("text").alias("t"))
+    top = A.vocab_topk(A.token_counts(docs.select(F.explode("t").alias("token"))), 1000).collect()  # bounded by k
     vocab = spark.createDataFrame([(r["token"], i + 1) for i, r in enumerate(top)], "token string, token_id long")
-    ids = J.lookup_ids(toks, vocab, unk_id=0)
+    kept = docs.select("doc_id", F.posexplode(F.slice("t", 1, 64)).alias("pos", "token"))  # what truncation leaves goes to the join
+    ids = J.lookup_ids(kept, vocab, unk_id=0)
     seq = ids.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token_id"))),
                                                 lambda s: s["token_id"]).alias("ids"))
     padded = seq.select("doc_id", FT.pad_ids("ids", 64, pad=-1).alias("ids"))
@@ -149,11 +150,24 @@ def t3_laplace_missing(spark, sf_dir):
     return r.withColumn("p_missing", F.round("p_missing", 12))
 
 
-@query("t4_kneser_ney_mass")
+_KN_SQL = f"""
+WITH {_toks_sql()}, {_events_sql(3)},
+c3 AS (SELECT prefix, token, count(*) AS n FROM ev GROUP BY ALL),
+c2 AS (SELECT split_part(prefix, ' ', 2) AS prefix, token, count(*) AS n FROM c3 GROUP BY ALL),
+p1 AS (SELECT token, count(*) / (SELECT count(*) FROM c2) AS p FROM c2 GROUP BY token),
+s2 AS (SELECT prefix, sum(n) AS ch, count(*) AS k FROM c2 GROUP BY prefix),
+p2 AS (SELECT prefix, token, greatest(n - 0.75, 0) / ch + 0.75 * k / ch * p1.p AS p FROM c2 JOIN s2 USING (prefix) JOIN p1 USING (token)),
+s3 AS (SELECT prefix, sum(n) AS ch, count(*) AS k FROM c3 GROUP BY prefix),
+p3 AS (SELECT c3.prefix, c3.token, greatest(n - 0.75, 0) / ch + 0.75 * k / ch * p2.p AS p
+       FROM c3 JOIN s3 USING (prefix) JOIN p2 ON p2.prefix = split_part(c3.prefix, ' ', 2) AND p2.token = c3.token)
+"""
+
+
+@query("t4_kneser_ney_mass", _KN_SQL + "SELECT prefix, round(sum(p), 9) AS mass FROM p3 GROUP BY prefix")
 def t4_kneser_ney_mass(spark, sf_dir):
     """Total Kneser-Ney mass on the seen continuations of every trigram prefix (must be <= 1)."""
     kn = T.kneser_ney(_docs(spark, sf_dir), "tokens", 3)
-    return kn.groupBy("prefix").agg(F.sum("p").alias("mass"))
+    return kn.groupBy("prefix").agg(F.round(F.sum("p"), 9).alias("mass"))
 
 
 def _ppl_sql(n, smoothing):
