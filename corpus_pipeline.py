@@ -17,24 +17,34 @@ from tessera.llm.common import written
 from tessera.llm.queries import domain_column, mixing_tree
 from tessera.session import Tables
 
+#: Rows of a batch that goes to a Python worker (10 000 by default): texts are long, and both sides hold the batch.
+BATCH_ROWS = 1_000
 #: Epochs that the mixture may read of a source, as in ``op1_mix_sources``.
 MIX_EPOCHS = 4
 #: Tokens that it deals by weight on top of one whole epoch of every document, in percent of all tokens.
 MIX_SURPLUS = 100
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the memory of the stages that run Python, here and in the executors' buffers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the repetition rules."""
+    small_batches(spark)
     return repetition.filter_repetitive(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
+    small_batches(spark)
     return trie_dedup.dedup(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
+    small_batches(spark)
     return simhash.dedup(docs, shingle=3, distance=3)
 
 
@@ -45,6 +55,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the bytes decoded from them."""
+    small_batches(spark)
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern, digests=True)
 
