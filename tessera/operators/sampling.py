@@ -140,8 +140,8 @@ def mixup(df: DataFrame, key: str, features: str, label: str, alpha: float = 0.4
                     (F.col("lam") * F.col(label) + (1 - F.col("lam")) * F.col("_yf")).alias(label))
 
 
-#: Label cells per sigma; proposals per row and round; rounds before the nearest label is taken.
-CELLS_PER_SIGMA, PROPOSALS, ROUNDS = 4, 16, 50
+#: Label cells per sigma; proposals per row and round; rounds before the nearest label is taken; slack of the bound against rounding.
+CELLS_PER_SIGMA, PROPOSALS, ROUNDS, SLACK = 4, 16, 50, 1e-9
 
 
 def _uniform(h: np.ndarray, stream: int) -> np.ndarray:
@@ -153,25 +153,48 @@ def _uniform(h: np.ndarray, stream: int) -> np.ndarray:
 
 
 def _proposals(cells: list, sigma: float):
-    """Pandas UDF ``(label, key hash) -> array of (place, gap)``: rows drawn by cell size times the cell's largest
-    weight, which its distance ``gap`` (in sigma) gives."""
+    """Pandas UDF ``(label, key hash) -> arrays (place, gap, far)``: rows drawn by cell size times the cell's largest
+    weight, which its distance ``gap`` (in sigma) gives; ``far`` is the distance of its other end."""
     low, high, size, first = (np.array([r[c] for r in cells], float) for c in ("lo", "hi", "n", "first"))
+    at_once = max(1, (1 << 20) // len(size))  # rows whose weights of all cells are held together
 
-    @F.pandas_udf("array<struct<place:long,gap:double>>")
-    def propose(y: pd.Series, h: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<place:array<long>,gap:array<double>,far:array<double>>")
+    def propose(y: pd.Series, h: pd.Series) -> pd.DataFrame:
         values, keys = y.to_numpy(float), h.to_numpy(np.int64)
         where, inside = (np.stack([_uniform(keys, 2 * m + j) for m in range(PROPOSALS)], 1) for j in (0, 1))
-        out = []
-        for v, u, w in zip(values, where, inside):
+        cell, near = np.empty(where.shape, int), np.empty(where.shape)
+        for i in range(0, len(values), at_once):
+            some = slice(i, i + at_once)
+            v = values[some, None]
             gap = np.maximum(np.maximum(low - v, v - high), 0) / sigma
-            upto = np.cumsum(size * np.exp(-(gap**2) / 2))
-            cell = np.minimum(np.searchsorted(upto, u * upto[-1], "right"), len(size) - 1)
-            out.append([{"place": int(p), "gap": float(g)} for p, g in zip(first[cell] + np.floor(w * size[cell]), gap[cell])])
-        return pd.Series(out)
+            upto = np.cumsum(size * np.exp(-(gap**2) / 2), axis=1)
+            for j, u in enumerate(where[some] * upto[:, -1:], i):
+                cell[j] = np.searchsorted(upto[j - i], u, "right")
+            cell[some] = np.minimum(cell[some], len(size) - 1)
+            near[some] = np.take_along_axis(gap, cell[some], 1)
+        place = (first[cell] + np.floor(inside * size[cell])).astype(np.int64)
+        far = np.maximum(values[:, None] - low[cell], high[cell] - values[:, None]) / sigma
+        return pd.DataFrame({"place": list(place), "gap": list(near), "far": list(far)})
 
     return propose
 
 
+def _drawn(waiting: DataFrame, propose, key: str, seed: int, k: int, late: bool) -> DataFrame:
+    """``key, _y, _d``: the proposals of round ``k`` up to the first that passes whatever label it meets in its cell;
+    ``late``: those after it, which are needed where it met a row of its own key."""
+    def proposal(d, m):
+        luck = F.pmod(F.xxhash64(F.lit(seed), F.lit(k), m, key, F.lit("luck")), F.lit(1 << 40)) / float(1 << 40)
+        sure = luck < F.exp(-(d["far"] * d["far"] - d["gap"] * d["gap"]) / 2) * (1 - SLACK)
+        return F.struct(m.alias("_m"), d["place"].alias("_place"), d["gap"].alias("_gap"), luck.alias("_luck"), sure.alias("_sure"))
+
+    drawn = waiting.withColumn("_d", propose("_y", F.xxhash64(F.lit(seed), F.lit(k), key)))
+    drawn = drawn.withColumn("_d", F.transform(F.arrays_zip("_d.place", "_d.gap", "_d.far"), proposal))
+    sure = F.array_position(F.transform("_d", lambda d: d["_sure"]), True).cast("int")
+    if late:
+        return drawn.where(sure > 0).select(key, "_y", F.slice("_d", sure + 1, PROPOSALS).alias("_d"))
+    return drawn.select(key, "_y", F.slice("_d", F.lit(1), F.when(sure > 0, sure).otherwise(PROPOSALS)).alias("_d"))
+
+
 def cmixup_partners(df: DataFrame, key: str, label: str, seed: int = 0) -> DataFrame:
     """Q9: C-MixUp partners ``(key, partner, label_gap)``: row ``j`` for row ``i`` with probability proportional to
     ``exp(-(y_i - y_j)^2 / 2 sigma^2)``, sigma half the sample deviation of the label, never itself.
@@ -180,8 +203,9 @@ def cmixup_partners(df: DataFrame, key: str, label: str, seed: int = 0) -> DataF
     the largest weight that they can have for it, and takes the first proposal that passes the rejection test for its own
     weight; rows without one go on to the next round.  Draws are keyed hashes, so they do not depend on the
     partitioning.  A proposal passes with a probability of about a half or more (the weight of a cell varies little
-    over a quarter sigma), so the rounds are few.  The only row of a table has no partner; rows without a label take
-    no part.  ``key`` is unique.
+    over a quarter sigma), so the rounds are few.  A proposal that passes even at the far end of its cell ends a row's
+    proposals, so about one or two of a row are joined, with the outcome of all of them.  The only row of a table has
+    no partner; rows without a label take no part.  ``key`` is unique.
     """
     rows = df.where(F.col(label).isNotNull()).select(key, F.col(label).cast("double").alias("_y"))
     deviation = rows.agg(F.stddev_samp("_y")).first()[0]
@@ -192,17 +216,20 @@ def cmixup_partners(df: DataFrame, key: str, label: str, seed: int = 0) -> DataF
                                    F.min("_rn").alias("first")).orderBy("_c").collect()  # a row per cell: range over sigma
     if sum(c["n"] for c in cells) < 2:
         return rows.limit(0).select(key, F.col(key).alias("partner"), F.lit(0.0).alias("label_gap"))
-    propose, found, waiting = _proposals(cells, sigma), None, rows
+    propose, found, waiting = _proposals(cells, sigma), None, rows.select(key, "_y")
     others = rows.select(F.col("_rn").alias("_place"), F.col(key).alias("partner"), F.col("_y").alias("_py"))
-    for k in range(ROUNDS):
-        drawn = waiting.select(key, "_y", F.posexplode(propose("_y", F.xxhash64(F.lit(seed), F.lit(k), key))).alias("_m", "_d"))
-        met = drawn.select(key, "_y", "_m", F.col("_d.place").alias("_place"), F.col("_d.gap").alias("_gap")).join(others, "_place")
-        distance = (F.col("_y") - F.col("_py")) / sigma
-        chance = F.exp(-(distance * distance - F.col("_gap") * F.col("_gap")) / 2)
-        luck = F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "_m", key, F.lit("luck")), F.lit(1 << 40)) / float(1 << 40)
-        passed = met.where((luck < chance) & (F.col(key) != F.col("partner"))).groupBy(key).agg(
-            F.min_by(F.struct("partner", F.abs(F.col("_y") - F.col("_py")).alias("label_gap")), "_m").alias("_p"))
-        passed = cut_lineage(passed.select(key, "_p.*"))
+    def chance(distance):
+        return F.exp(-(distance * distance - F.col("_gap") * F.col("_gap")) / 2)
+
+    def accepted(proposals: DataFrame) -> DataFrame:
+        """The first proposal of every key that passes."""
+        met = proposals.select(key, "_y", F.inline("_d")).join(others, "_place")
+        passed = met.where((F.col("_luck") < chance((F.col("_y") - F.col("_py")) / sigma)) & (F.col(key) != F.col("partner")))
+        return passed.groupBy(key).agg(F.min_by(F.struct("partner", F.abs(F.col("_y") - F.col("_py")).alias("label_gap")), "_m").alias("_p"))
+
+    for k, late in ((k, late) for k in range(ROUNDS) for late in (False, True)):
+        drawn = _drawn(waiting, propose, key, seed, k, late)
+        passed = cut_lineage(accepted(drawn).select(key, "_p.*"))
         found = passed if found is None else found.unionByName(passed)
         waiting = cut_lineage(waiting.join(passed.select(key), key, "left_anti"))
         if not waiting.limit(1).count():

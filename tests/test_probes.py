@@ -517,3 +517,17 @@ def test_cmixup_partners_follow_the_label_distance(spark):
             assert abs(drawn.count(z) / len(drawn) - share) < 4 * (share * (1 - share) / len(drawn)) ** 0.5 + 0.01
     alone = spark.createDataFrame([(1, 2.0), (2, None)], "k long, y double")
     assert S.cmixup_partners(alone, "k", "y").collect() == []
+
+
+def test_cmixup_joins_few_proposals(spark):
+    """A proposal that passes at the far end of its cell is a row's last: about one or two of 16 are joined."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, float(i % 97)) for i in range(500)], "k long, _y double")
+    cells = [{"lo": float(c), "hi": c + 6.0, "n": 36, "first": 36 * (c // 7) + 1} for c in range(0, 97, 7)]
+    propose = S._proposals(cells, 28.0)
+    early, late = (S._drawn(df, propose, "k", 3, 0, late) for late in (False, True))
+    sizes = {r.k: r.n for r in early.select("k", F.size("_d").alias("n")).collect()}
+    assert set(sizes) == set(range(500)) and 1 <= sum(sizes.values()) / 500 < 3
+    for r in late.select("k", F.size("_d").alias("n")).collect():
+        assert sizes[r.k] + r.n == S.PROPOSALS
