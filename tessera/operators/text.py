@@ -8,7 +8,10 @@ strings and partially aggregated before it moves.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -262,12 +265,11 @@ def cbow_windows(df: DataFrame, tokens: str, window: int) -> DataFrame:
 
 # ------------------------------------------------------------------ BLEU
 
-def corpus_bleu(pairs: DataFrame, key: str, ref: str, hyp: str, max_n: int = 4, strip_bpe: bool = True) -> DataFrame:
-    """Corpus BLEU-4 x 100; each n-gram precision ``m/t`` is smoothed to ``(m + 1)/t``
-    (``t`` at least 1), brevity penalty from total lengths, 0 when no unigram matches.
+def clipped_matches(pairs: DataFrame, key: str, ref: str, hyp: str, max_n: int = 4, strip_bpe: bool = True) -> DataFrame:
+    """``n, m, t, u``: clipped matches, n-grams of ``hyp`` and of ``ref`` per order and task; rows of one key count as one text.
 
-    The n-grams of both sides and all orders are counted in one aggregate, so each text is cut once; clipped matches
-    and totals then add up to one row per order.
+    Only the texts are shuffled, by ``key``: the rows of a key lie together in a sorted partition, where their n-grams
+    are counted key by key.
     """
     def toks(c):
         s = F.col(c)
@@ -275,19 +277,41 @@ def corpus_bleu(pairs: DataFrame, key: str, ref: str, hyp: str, max_n: int = 4,
             s = F.regexp_replace(s, "@@ ", "")
         return F.coalesce(F.filter(F.split(F.trim(s), r"\s+"), lambda x: x != ""), F.array().cast("array<string>"))
 
-    def of_order(col, n: int, hyp: bool):
-        places = F.sequence(F.lit(1), F.greatest(F.size(col) - n + 1, F.lit(1)))
-        found = F.transform(places, lambda i: F.struct(F.lit(n).alias("n"), F.array_join(F.slice(col, i, n), " ").alias("g"), F.lit(hyp).alias("hyp")))
-        return F.when(F.size(col) >= n, found).otherwise(F.array().cast("array<struct<n:int,g:string,hyp:boolean>>"))
+    def grams(texts: list[list[str]]) -> list[Counter]:
+        """The n-grams of texts, counted by order."""
+        return [Counter(g for t in texts for g in zip(*(t[i:] for i in range(n)))) for n in range(1, max_n + 1)]
+
+    def count(batches):
+        sums = np.zeros((max_n, 3), np.int64)
+
+        def add(refs: list[list[str]], hyps: list[list[str]]) -> None:
+            for of_order, r, h in zip(sums, grams(refs), grams(hyps), strict=True):
+                of_order += sum((r & h).values()), h.total(), r.total()
+
+        last, refs, hyps = None, [], []
+        for batch in batches:
+            for key, r, h in zip(batch["_id"], batch["_r"], batch["_h"], strict=True):
+                if key.as_py() != last:
+                    add(refs, hyps)
+                    last, refs, hyps = key.as_py(), [], []
+                refs.append(r.as_py())
+                hyps.append(h.as_py())
+        add(refs, hyps)
+        yield pa.RecordBatch.from_arrays([pa.array(range(1, max_n + 1), pa.int32()), *map(pa.array, sums.T)], ["n", "m", "t", "u"])
 
-    def grams(col, hyp: bool):
-        return F.flatten(F.array(*[of_order(col, n, hyp) for n in range(1, max_n + 1)]))
+    d = pairs.select(F.col(key).alias("_id"), F.col(ref).alias("_ref"), F.col(hyp).alias("_hyp"))
+    d = d.repartition("_id").sortWithinPartitions("_id").select("_id", toks("_ref").alias("_r"), toks("_hyp").alias("_h"))
+    return d.mapInArrow(count, "n int, m bigint, t bigint, u bigint")
 
-    d = pairs.select(F.col(key).alias("_id"), toks(ref).alias("_r"), toks(hyp).alias("_h"))
-    cut = d.select("_id", F.explode(F.concat(grams(F.col("_r"), False), grams(F.col("_h"), True))).alias("e"))
-    counts = cut.groupBy("_id", "e.n", "e.g").agg(F.count_if("e.hyp").alias("ch"), F.count_if(~F.col("e.hyp")).alias("cr"))
-    rows = {x["n"]: x for x in counts.groupBy("n").agg(
-        F.sum(F.least("ch", "cr")).alias("m"), F.sum("ch").alias("t"), F.sum("cr").alias("u")).collect()}  # a row per order
+
+def corpus_bleu(pairs: DataFrame, key: str, ref: str, hyp: str, max_n: int = 4, strip_bpe: bool = True) -> DataFrame:
+    """Corpus BLEU-4 x 100; each n-gram precision ``m/t`` is smoothed to ``(m + 1)/t``
+    (``t`` at least 1), brevity penalty from total lengths, 0 when no unigram matches.
+
+    The n-grams are counted by :func:`clipped_matches`, whose rows add up to one per order.
+    """
+    counts = clipped_matches(pairs, key, ref, hyp, max_n, strip_bpe)
+    rows = {x["n"]: x for x in counts.groupBy("n").agg(*[F.sum(c).alias(c) for c in "mtu"]).collect()}  # a row per order
     num = [float(rows[n]["m"]) if n in rows else 0.0 for n in range(1, max_n + 1)]
     den = [max(1.0, float(rows[n]["t"]) if n in rows else 0.0) for n in range(1, max_n + 1)]
     lens = {"c": rows[1]["t"], "r": rows[1]["u"]} if 1 in rows else {"c": 0, "r": 0}

@@ -531,3 +531,16 @@ def test_cmixup_joins_few_proposals(spark):
     assert set(sizes) == set(range(500)) and 1 <= sum(sizes.values()) / 500 < 3
     for r in late.select("k", F.size("_d").alias("n")).collect():
         assert sizes[r.k] + r.n == S.PROPOSALS
+
+
+def test_corpus_bleu_shuffles_texts_only(spark):
+    """Rows of one key, null included, are one text for the clipping; n-grams are no rows of a shuffle."""
+    from tessera.operators import text as T
+
+    rows = [(1, "a b a c", "a a a b"), (None, "x y", "x"), (1, "a d", "d a a"), (None, None, "y x y"), (2, "  p@@ q r ", "pq r"), (3, "", None)]
+    df = spark.createDataFrame(rows, "k int, ref string, hyp string")
+    got = T.corpus_bleu(df, "k", "ref", "hyp").first()
+    assert (got.hyp_len, got.ref_len) == (13.0, 10.0)
+    assert [got[f"match{n}"] for n in (1, 2, 3, 4)] == [9.0, 3.0, 0.0, 0.0]
+    assert [got[f"total{n}"] for n in (1, 2, 3, 4)] == [13.0, 8.0, 4.0, 1.0]
+    assert "Generate" not in T.clipped_matches(df, "k", "ref", "hyp")._jdf.queryExecution().toString()
