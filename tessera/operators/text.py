@@ -9,19 +9,27 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.counting import counted
 from tessera.operators.ranking import segmented_cumsum
 from tessera.session import cut_lineage
+from tessera.sources.files import scratch_path
 
 # Padding and end-of-sequence tokens of the n-gram model.
 UNK, EOS = "_UNK_", "_EOS_"
 MIN_LOGPROB = math.log(10 ** -50.0)
 
+#: Tokens of a task whose n-grams are counted at a time, and texts that are looked at together.
+CHUNK = 1_000_000
+SLICE = 256
+
 
 def _padded(tokens: Column, n: int) -> Column:
     pad = F.array_repeat(F.lit(UNK), n - 1) if n > 1 else F.array().cast("array<string>")
@@ -44,9 +52,55 @@ def ngram_events(df: DataFrame, tokens: str, n: int, keep: list[str] = ()) -> Da
     return d.select(*keep, F.inline(events))
 
 
-def ngram_counts(df: DataFrame, tokens: str, n: int) -> DataFrame:
-    """``(prefix, token, n)`` counts (map-side combined before the shuffle)."""
-    return ngram_events(df, tokens, n).groupBy("prefix", "token").agg(F.count(F.lit(1)).alias("n"))
+def ngram_counts(df: DataFrame, tokens: str, n: int, chunk: int = CHUNK) -> DataFrame:
+    """``(prefix, token, n)`` counts of the :func:`ngram_events`.
+
+    The tasks number their tokens and count the n-grams of ``chunk`` tokens or so at a time by sorting numbers;
+    only the distinct ones become strings and are added up by Spark.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for k in range(0, batch.num_rows, SLICE):
+                part = batch.column(0).slice(k, SLICE).drop_null()
+                held.append(part)
+                size += len(part.flatten())
+                if size >= chunk:
+                    yield from _counted_chunk(held, n)
+                    held, size = [], 0
+        if held:
+            yield from _counted_chunk(held, n)
+
+    parts = df.select(F.col(tokens).cast("array<string>")).mapInArrow(count, "prefix string, token string, n long")
+    # the chunks' counts are combined already: they move as they are, and are added up where they arrive
+    return parts.repartition("prefix", "token").groupBy("prefix", "token").agg(F.sum("n").alias("n"))
+
+
+def _counted_chunk(held: list[pa.Array], n: int) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of some token lists (null tokens are left out of a prefix, as ``concat_ws`` does) and their counts."""
+    lengths = np.concatenate([pc.list_value_length(a).to_numpy(zero_copy_only=False) for a in held]).astype(np.int64)
+    coded = pa.concat_arrays([a.flatten() for a in held]).dictionary_encode(null_encoding="encode")
+    words = pa.concat_arrays([coded.dictionary, pa.array([UNK, EOS], coded.dictionary.type)])
+    unk, eos = len(words) - 2, len(words) - 1
+    # every text with n - 1 UNK before it and EOS behind it
+    ends = np.cumsum(lengths + n)
+    stream = np.full(int(ends[-1]) if len(ends) else 0, unk, np.int32)
+    stream[ends - 1] = eos
+    inside = np.ones(len(stream), bool)
+    for k in range(n - 1):
+        inside[ends - lengths - n + k] = False
+    at = np.flatnonzero(inside)
+    inside[ends - 1] = False
+    stream[inside] = coded.indices.to_numpy()
+    columns, times = counted([stream[at - n + 1 + k] for k in range(n)])
+    for k in range(0, len(times), 1 << 16):
+        *before, token = [words.take(pa.array(c[k : k + (1 << 16)])) for c in columns]
+        if n > 2:
+            prefix = pc.binary_join_element_wise(*before, " ", null_handling="skip")
+        else:
+            prefix = before[0].fill_null("") if before else pa.array([""] * len(token))
+        yield pa.RecordBatch.from_arrays([prefix, token, pa.array(times[k : k + (1 << 16)], pa.int64())], ["prefix", "token", "n"])
 
 
 def ngram_probs(counts: DataFrame) -> DataFrame:
@@ -88,7 +142,7 @@ def perplexity(counts: DataFrame, test: DataFrame, tokens: str, n: int, smoothin
     Laplace vocabulary size comes from its distinct tokens (+ EOS) - the same set as
     the counts' next tokens - without generating the n-grams a second time.
     """
-    ev = ngram_events(test, tokens, n).groupBy("prefix", "token").agg(F.count(F.lit(1)).alias("m"))
+    ev = ngram_counts(test, tokens, n).withColumnRenamed("n", "m")
     st = _prefix_stats(counts)
     j = ev.join(counts, ["prefix", "token"], "left").join(st, "prefix", "left")
     if smoothing == "mle":
@@ -117,10 +171,11 @@ def kneser_ney(df: DataFrame, tokens: str, n: int, delta: float = 0.75) -> DataF
     Orders are joined bottom-up: ``P(w|h) = max(c - d, 0)/c(h) + d * T(h)/c(h) * P(w|h')``, with the
     unigram continuation distribution at the bottom.
     """
-    counts = {n: cut_lineage(ngram_counts(df, tokens, n))}
+    counts = {n: kept(ngram_counts(df, tokens, n), "ngrams")}
     for order in range(n - 1, 1, -1):
         rest = F.array_join(F.slice(F.split("prefix", " "), 2, order - 1), " ")
-        counts[order] = counts[order + 1].select(rest.alias("prefix"), "token").groupBy("prefix", "token").agg(F.count(F.lit(1)).alias("n"))
+        fewer = counts[order + 1].select(rest.alias("prefix"), "token").groupBy("prefix", "token").agg(F.count(F.lit(1)).alias("n"))
+        counts[order] = kept(fewer, "ngrams")
     # unigram continuation probability
     types = counts[2].count()
     lower = counts[2].groupBy("token").agg(F.count(F.lit(1)).alias("_c")).select(
@@ -129,16 +184,25 @@ def kneser_ney(df: DataFrame, tokens: str, n: int, delta: float = 0.75) -> DataF
         c = counts[order]
         st = c.groupBy("prefix").agg(F.sum("n").alias("_ch"), F.count(F.lit(1)).alias("_T"))
         shorter = F.array_join(F.slice(F.split("prefix", " "), 2, order - 2), " ") if order > 2 else F.lit("")
-        cur = c.join(st, "prefix").withColumn("_h", shorter)
+        # rows move with every word once, and last by their prefix, so that sums per prefix need no further shuffle
+        cur = c.select(F.substring_index("prefix", " ", 1).alias("_w"), shorter.alias("_h"), "token", "n")
         cur = cur.join(lower.select(F.col("prefix").alias("_h"), "token", F.col("p").alias("_pl")), ["_h", "token"],
                        "left")
-        cur = cur.select("prefix", "token", (
+        prefix = F.when(F.col("_h") == "", F.col("_w")).otherwise(F.concat("_w", F.lit(" "), "_h"))
+        cur = cur.select(prefix.alias("prefix"), "token", "n", "_pl").join(st, "prefix")
+        lower = cur.select("prefix", "token", (
             F.greatest(F.col("n") - delta, F.lit(0.0)) / F.col("_ch")
             + delta * F.col("_T") / F.col("_ch") * F.coalesce(F.col("_pl"), F.lit(0.0))).alias("p"))
-        lower = cur
     return lower
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: far smaller than a checkpoint of its rows."""
+    path = f"{scratch_path(df.sparkSession, name)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def next_token_dist(probs: DataFrame, temperature: float = 1.0, top_k: int | None = None,
                     top_p: float | None = None, min_p: float | None = None) -> DataFrame:
     """Next-token distribution per prefix after temperature and truncation.

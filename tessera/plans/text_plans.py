@@ -138,7 +138,7 @@ st AS (SELECT prefix, sum(n) AS ptot, count(*) AS pk FROM c GROUP BY prefix)
 SELECT c.prefix, c.token, c.n, round((c.n + 1.0) / (st.ptot + 1.0 * V.nv), 12) AS p FROM c JOIN st USING (prefix), V
 """)
 def t3_laplace_probs(spark, sf_dir):
-    r = T.laplace_probs(T.ngram_counts(_docs(spark, sf_dir), "tokens", 2), 1.0)
+    r = T.laplace_probs(T.kept(T.ngram_counts(_docs(spark, sf_dir), "tokens", 2), "ngrams"), 1.0)
     return r.withColumn("p", F.round("p", 12))
 
 
@@ -146,7 +146,7 @@ def t3_laplace_probs(spark, sf_dir):
 SELECT prefix, round(greatest(0.0, 1 - (ptot + 1.0 * pk) / (ptot + 1.0 * V.nv)) / greatest(1, V.nv - pk), 12) AS p_missing FROM st, V
 """)
 def t3_laplace_missing(spark, sf_dir):
-    r = T.laplace_missing(T.ngram_counts(_docs(spark, sf_dir), "tokens", 2), 1.0)
+    r = T.laplace_missing(T.kept(T.ngram_counts(_docs(spark, sf_dir), "tokens", 2), "ngrams"), 1.0)
     return r.withColumn("p_missing", F.round("p_missing", 12))
 
 
@@ -193,7 +193,7 @@ SELECT round(-sum(m * CASE WHEN {p} > 0 THEN greatest(ln({p}), {T.MIN_LOGPROB!r}
 
 def _ppl(spark, sf_dir, n, smoothing):
     train, test = _split(spark, sf_dir)
-    counts = cut_lineage(T.ngram_counts(train, "tokens", n))  # joined to the test n-grams and summed per prefix
+    counts = T.kept(T.ngram_counts(train, "tokens", n), "ngrams")  # joined to the test n-grams and summed per prefix
     r = T.perplexity(counts, test, "tokens", n, smoothing, train=train)
     # log-perplexity: the clamp at 1e-50 makes perplexity itself astronomically large, so it is
     # compared in log space where 9 decimals are far inside double precision

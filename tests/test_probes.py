@@ -388,6 +388,56 @@ def _by_query(df):
     return found
 
 
+# ---------------------------------------------------------------- n-grams
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5])
+@pytest.mark.parametrize("chunk", [1, 40, 10**6])
+def test_ngrams_counted_by_chunks(spark, n, chunk):
+    """Equal to one row per event, added up: null, empty and repeated texts, null tokens, texts of any length."""
+    rng = random.Random(n)
+    texts = [None, [], [], ["a"], ["a", None, "b"], *[[rng.choice(["a", "b", "", "_UNK_", "\u00e9"]) for _ in range(rng.randint(0, 9))] for _ in range(300)]]
+    df = spark.createDataFrame([(t,) for t in texts], "tokens array<string>").repartition(3)
+    want = T.ngram_events(df, "tokens", n).groupBy("prefix", "token").count()
+    assert sorted(map(repr, map(tuple, T.ngram_counts(df, "tokens", n, chunk).collect()))) == sorted(map(repr, map(tuple, want.collect())))
+    assert T.ngram_counts(df.limit(0), "tokens", n).collect() == []
+
+
+def test_kneser_ney_by_hand_and_its_shuffles(spark):
+    rng = random.Random(4)
+    docs = [[rng.choice("abc") for _ in range(rng.randint(0, 8))] for _ in range(30)]
+    df = spark.createDataFrame([(t,) for t in docs], "tokens array<string>")
+    grams = {}
+    for t in docs:
+        padded = ["_UNK_"] * 2 + t + ["_EOS_"]
+        for i in range(2, len(padded)):
+            g = tuple(padded[i - 2 : i + 1])
+            grams[g] = grams.get(g, 0) + 1
+    two = {}
+    for g in grams:
+        two[g[1:]] = two.get(g[1:], 0) + 1
+    one = {w: sum(g[1] == w for g in two) / len(two) for _, w in two}
+
+    def step(counts, lower):
+        per = {}
+        for g, c in counts.items():
+            per.setdefault(g[:-1], []).append(c)
+        return {g: (max(c - 0.75, 0) + 0.75 * len(per[g[:-1]]) * lower[g[1:]]) / sum(per[g[:-1]]) for g, c in counts.items()}
+
+    want = step(grams, step(two, {(w,): p for w, p in one.items()}))
+    kn = T.kneser_ney(df, "tokens", 3)
+    assert {(*r.prefix.split(" "), r.token): r.p for r in kn.collect()} == pytest.approx(want)
+    # sums per prefix go without another shuffle of the n-grams
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kn = T.kneser_ney(df, "tokens", 3)
+        shuffles = [d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for d in (kn, kn.groupBy("prefix").agg(F.sum("p")))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffles[0] == shuffles[1]
+
+
 # ---------------------------------------------------------------- hot keys
 
 @pytest.fixture(scope="module")
