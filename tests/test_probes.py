@@ -381,6 +381,30 @@ def test_pruned_search_is_exact_and_prunes(spark, metric):
     assert V.nearest(df, df.limit(0), 4, metric, qid="id", cid="id", vec="v").collect() == []
 
 
+def test_search_moves_a_bounded_number_of_copies(spark):
+    """Vectors without clusters: every query visits every cell, yet a row moves to a few groups only."""
+    import numpy as np
+
+    from tessera.operators import vector_index as VI
+
+    cells = VI.Cells(np.zeros((400, 2)), np.zeros(400), np.full(400, 32.0), False)
+    rows = VI.group_rows(cells.sizes.sum(), 32)
+    first, many = VI.cell_groups(cells, rows)
+    assert max(first) < 2 * VI.GROUPS and set(many) == {1} and all(first.count(g) * 32 <= rows for g in set(first))
+    cells.sizes[7] = 10 * rows  # a cell that is cut has groups of its own
+    first, many = VI.cell_groups(cells, rows)
+    assert many[7] == 10 and first[8] == first[7] + 10 and first[6] < first[7]
+    x = np.random.default_rng(1).normal(size=(1200, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    index, postings = VI.build(df, "l2", 60)
+    _, more = VI.exact_visits(df, postings, index, 3, "l2", True, 4)
+    blocks = VI.visit_blocks(more, index, 4)[0].select("block").distinct().count()
+    assert blocks <= 4 * VI.GROUPS
+    want = np.argsort(VI.scores(x, x, "l2") - np.eye(1200) * 1e9, 1)[:, ::-1][:, :3]
+    got = _by_query(V.nearest(df, df, 3, "l2", qid="id", cid="id", vec="v", exclude_self=True, block_rows=4))
+    assert all(set(got[q]) == set(want[q]) for q in range(1200))
+
+
 def _by_query(df):
     found = {}
     for r in df.collect():
