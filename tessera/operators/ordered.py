@@ -8,14 +8,23 @@ small carry table - one row per chunk - stitches the chunks together.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.functions.dates import epoch_micros
 from tessera.operators.ranking import global_row_number
 from tessera.session import cut_lineage
 
 
+#: Open rows of orders (W5) that one task decides in order once no more are left.
+ORDER_REST = 500_000
+
+
 def _cols(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
@@ -161,7 +170,8 @@ def drop_first(df: DataFrame, key, order, n: int) -> DataFrame:
 # --------------------------------------------------------- orders
 
 def apply_orders(lines: DataFrame, stock: DataFrame, order_col: str = "order_id", item: str = "item_id",
-                 qty: str = "qty", stock_qty: str = "quantity_in_stock", block: int = 4096) -> DataFrame:
+                 qty: str = "qty", stock_qty: str = "quantity_in_stock", block: int = 4096,
+                 rest: int = ORDER_REST) -> DataFrame:
     """Atomic multi-line orders in ``order_col`` order, each against the stock left by those before it.
 
     An order is ``invalid_request`` if a quantity is missing or not positive,
@@ -175,34 +185,68 @@ def apply_orders(lines: DataFrame, stock: DataFrame, order_col: str = "order_id"
     each item chain is always decided, so the rounds end, after as many as the longest chain of orders that
     wait for one another; each is one running sum per item and a cut of the lineage.  The sums run per item and
     block of ``block`` consecutive orders, so an item that is in every order spans tasks.
+
+    A round moves open orders only: those beyond the opening stock never come in, decided ones leave, and what the
+    successful ones take is added to what is used before the later rows of the item.  The last ``rest`` open rows or
+    fewer, a bounded remainder, are decided one order after the other in one task.
     """
-    asked = lines.groupBy(order_col, item).agg(
-        F.sum(qty).alias("_q"), F.count_if(F.col(qty).isNull() | (F.col(qty) <= 0)).alias("_bad"), F.count(F.lit(1)).alias("_n"))
-    asked = asked.join(stock.select(item, F.col(stock_qty).alias("_s")), item, "left")
-    per = asked.groupBy(order_col).agg(
+    asked = _asked(lines, stock, order_col, item, qty, stock_qty)
+    per = cut_lineage(asked.groupBy(order_col).agg(
         F.sum("_n").alias("n_lines"),
-        F.when(F.sum("_bad") > 0, "invalid_request").when(F.count_if(F.col("_s").isNull()) > 0, "no_match").alias("status"))
-    per = cut_lineage(global_row_number(per, [order_col], "_no"))
-    open_orders = per.where("status is null").select(order_col, F.floor(F.col("_no") / block).alias("_blk"))
-    state = cut_lineage(
-        asked.join(open_orders, order_col).select(order_col, item, "_blk", "_q", "_s", F.lit(None).cast("boolean").alias("_ok")))
-    while True:
+        F.when(F.sum("_bad") > 0, "invalid_request").when(F.count_if(F.col("_s").isNull()) > 0, "no_match")
+        .when(F.max(F.col("_q") > F.col("_s")), "insufficient_stock").alias("status")))
+    hopeful = global_row_number(per.where("status is null").select(order_col), [order_col], "_no")
+    hopeful = hopeful.select(order_col, F.floor(F.col("_no") / block).alias("_blk"))
+    own = lines.join(hopeful.select(order_col), order_col, "left_semi")
+    # one row per order and item even if the stock names an item twice: the rounds must end
+    state = _asked(own, stock, order_col, item, qty, stock_qty).groupBy(order_col, item).agg(F.sum("_q").alias("_q"), F.min("_s").alias("_s"))
+    state = cut_lineage(state.join(hopeful, order_col).select(order_col, item, "_blk", "_q", "_s", (F.col("_q") - F.col("_q")).alias("_used")))
+    done = None
+    while state.limit(rest + 1).count() > rest:
+        summed = cumulative_sum(state, item, order_col, ["_q"], chunk="_blk")
+        room = summed.select("*", (F.col("_used") + F.col("_q_cum") <= F.col("_s")).alias("_fits"),
+                             (F.col("_used") + F.col("_q") > F.col("_s")).alias("_short"))
+        verdict = cut_lineage(room.groupBy(order_col).agg(
+            F.when(F.max("_short"), False).when(F.min("_fits"), True).alias("_new")).where("_new is not null"))
+        done = verdict if done is None else done.union(verdict)
         zero = F.col("_q") - F.col("_q")
-        taken = state.withColumns({"_sure": F.when(F.col("_ok"), F.col("_q")).otherwise(zero),
-                                   "_most": F.when(F.coalesce("_ok", F.lit(True)), F.col("_q")).otherwise(zero)})
-        summed = cumulative_sum(taken, item, order_col, ["_sure", "_most"], chunk="_blk")
-        sure, most = F.col("_sure_cum") - F.col("_sure"), F.col("_most_cum") - F.col("_most")
-        room = summed.select("*", (most + F.col("_q") <= F.col("_s")).alias("_fits"), (sure + F.col("_q") > F.col("_s")).alias("_short"))
-        verdict = room.where("_ok is null").groupBy(order_col).agg(
-            F.when(F.max("_short"), False).when(F.min("_fits"), True).alias("_new")).where("_new is not null")
-        state = cut_lineage(
-            state.join(verdict, order_col, "left").select(order_col, item, "_blk", "_q", "_s", F.coalesce("_ok", "_new").alias("_ok")))
-        if not state.where("_ok is null").limit(1).count():
-            break
-    done = state.groupBy(order_col).agg(F.max("_ok").alias("_ok"))
+        taken = state.join(verdict, order_col, "left").withColumn("_sure", F.when(F.col("_new"), F.col("_q")).otherwise(zero))
+        after = cumulative_sum(taken, item, order_col, ["_sure"], chunk="_blk").where("_new is null")
+        state = cut_lineage(after.select(order_col, item, "_blk", "_q", "_s", (F.col("_used") + F.col("_sure_cum")).alias("_used")))
+    last = _in_order(state, order_col, item)
+    done = last if done is None else done.union(last)
     return per.join(done, order_col, "left").select(
         order_col, "n_lines",
-        F.coalesce("status", F.when(F.col("_ok"), "success").otherwise("insufficient_stock")).alias("status"))
+        F.coalesce("status", F.when(F.col("_new"), "success").otherwise("insufficient_stock")).alias("status"))
+
+
+def _in_order(state: DataFrame, order_col: str, item: str) -> DataFrame:
+    """The verdicts ``_new`` on the open orders of ``state``, taken one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken: dict = {}
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        orders, verdicts = [], []
+        for order, own in groupby(rows, key=lambda row: row[0]):
+            asked = [row[1:] for row in own]
+            ok = all(used + taken.get(i, 0) + q <= s for i, q, s, used in asked)
+            if ok:
+                for i, q, _, _ in asked:
+                    taken[i] = taken.get(i, 0) + q
+            orders.append(order)
+            verdicts.append(ok)
+        yield pa.RecordBatch.from_arrays([pa.array(orders, orders_type), pa.array(verdicts, pa.bool_())], [order_col, "_new"])
+
+    orders_type = to_arrow_type(state.schema[order_col].dataType)
+    inorder = state.select(order_col, item, "_q", "_s", "_used").repartition(1).sortWithinPartitions(order_col)
+    return inorder.mapInArrow(run, f"`{order_col}` {state.schema[order_col].dataType.simpleString()}, _new boolean")
+
+
+def _asked(lines: DataFrame, stock: DataFrame, order_col: str, item: str, qty: str, stock_qty: str) -> DataFrame:
+    """Per order and item the quantity ``_q``, the bad (``_bad``) and all (``_n``) lines, and the opening stock ``_s``."""
+    asked = lines.groupBy(order_col, item).agg(
+        F.sum(qty).alias("_q"), F.count_if(F.col(qty).isNull() | (F.col(qty) <= 0)).alias("_bad"), F.count(F.lit(1)).alias("_n"))
+    return asked.join(stock.select(item, F.col(stock_qty).alias("_s")), item, "left")
 
 
 def stock_after(lines: DataFrame, stock: DataFrame, statuses: DataFrame, order_col: str = "order_id",

@@ -512,6 +512,46 @@ def test_orders_of_one_hot_item(spark):
     assert {r.order_id: r.status for r in W.apply_orders(df, st, block=7).collect()} == want
 
 
+@pytest.mark.parametrize("rest", [10, 500])
+def test_order_rounds_move_open_rows_only(spark, monkeypatch, rest):
+    """Orders beyond the opening stock never enter the rounds, and the kept rows shrink from cut to cut."""
+    rng = random.Random(5)
+    lines = [(o, rng.randint(0, 19), rng.randint(1, 40)) for o in range(120) for _ in range(2)]
+    stock = {i: rng.randint(20, 60) for i in range(20)}
+    left, want, hopeful = dict(stock), {}, 0
+    for o in range(120):
+        own = {}
+        for k, i, q in lines:
+            if k == o:
+                own[i] = own.get(i, 0) + q
+        hopeful += len(own) if all(q <= stock[i] for i, q in own.items()) else 0
+        ok = all(q <= left[i] for i, q in own.items())
+        for i, q in own.items():
+            left[i] -= q if ok else 0
+        want[o] = "success" if ok else "insufficient_stock"
+    kept, cut = [], W.cut_lineage
+
+    def counting(df, *args):
+        df = cut(df, *args)
+        if "_used" in df.columns:
+            kept.append(df.count())
+        return df
+
+    monkeypatch.setattr(W, "cut_lineage", counting)
+    df = spark.createDataFrame(lines, "order_id long, item_id long, qty long")
+    st = spark.createDataFrame(list(stock.items()), "item_id long, quantity_in_stock long")
+    assert {r.order_id: r.status for r in W.apply_orders(df, st, block=7, rest=rest).collect()} == want
+    assert kept[0] == hopeful and kept == sorted(kept, reverse=True) and kept[-1] <= rest
+
+
+def test_order_stock_named_twice(spark):
+    """A stock row that comes twice ends the rounds too (the lines count twice, as in the SQL's join)."""
+    df = spark.createDataFrame([(1, 7, 3), (2, 7, 1)], "order_id long, item_id long, qty long")
+    st = spark.createDataFrame([(7, 5), (7, 5)], "item_id long, quantity_in_stock long")
+    got = {r.order_id: r.status for r in W.apply_orders(df, st, rest=0).collect()}
+    assert got == {1: "insufficient_stock", 2: "success"}
+
+
 def test_long_trajectories_and_series_by_chunks(spark):
     rng = random.Random(3)
     rows = [(k, t, t // 7, *(rng.random() for _ in range(4))) for k in ("a", None) for t in range(40)]
