@@ -658,3 +658,67 @@ def test_corpus_bleu_shuffles_texts_only(spark):
     assert [got[f"match{n}"] for n in (1, 2, 3, 4)] == [9.0, 3.0, 0.0, 0.0]
     assert [got[f"total{n}"] for n in (1, 2, 3, 4)] == [13.0, 8.0, 4.0, 1.0]
     assert "Generate" not in T.clipped_matches(df, "k", "ref", "hyp")._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["q11_search", "m9_tree_models", "m13_compare_regressors"])
+def test_fits_read_the_joined_frame_once(spark, monkeypatch, name):
+    """What the estimators are given is kept: their passes over the data do not join again."""
+    import __spark_entry__ as entry
+    from table_dirs import SF_SMALL
+    from tessera.operators import models as M
+
+    given = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(df):
+        given.append(df)
+        raise Stop
+
+    class Fit:
+        def fit(self, df):
+            stop(df)
+
+    monkeypatch.setattr(M, "search", lambda est, grid, ev, df, **_: stop(df))
+    monkeypatch.setattr(M, "compare_regressors", lambda train, test, *_: stop(train.unionByName(test)))
+    monkeypatch.setattr(M, "tree_models", lambda *_, **__: Fit())
+    with pytest.raises(Stop):
+        entry.queries()[name](spark, SF_SMALL)
+    plan = given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "parquet" not in plan.lower()
+    t = SF_SMALL
+    parts = spark.read.parquet(f"{t}/part.parquet").select(F.col("p_partkey").alias("l_partkey"))
+    assert given[0].count() == spark.read.parquet(f"{t}/lineitem.parquet").join(parts, "l_partkey").count()
+
+
+def test_stream_kalman_folds_in_order_without_sorting_rows(monkeypatch):
+    """One key's micro-batch in several unsorted parts: the order is that of the columns; the rows are not sorted as a table."""
+    import pandas as pd
+
+    from tessera.streaming.jobs import stream_kalman
+
+    class Stream:
+        def groupBy(self, key):
+            return self
+
+        def applyInPandasWithState(self, fold, *_):
+            return fold
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.value = value
+
+    rows = pd.DataFrame({"u": 5, "ts": pd.to_datetime(["2024-01-02", "2024-01-01", "2024-01-02", "2024-01-03"]),
+                         "event_id": [4, 9, 3, 1], "z": [1.0, 2.0, 4.0, 8.0], "R": [1.0, 3.0, 1.0, 3.0]})
+    want, x, p = [], 50.0, 10.0
+    for e, z, r in [(9, 2.0, 3.0), (3, 4.0, 1.0), (4, 1.0, 1.0), (1, 8.0, 3.0)]:
+        gain = p / (p + r)
+        x, p = x + gain * (z - x), (1 - gain) * p
+        want.append((e, x, p))
+    monkeypatch.setattr(pd.DataFrame, "sort_values", None)
+    fold, state = stream_kalman(Stream(), "u", ["ts", "event_id"], "z", "R", 50.0, 10.0), State()
+    (got,) = fold((5,), iter([rows.iloc[:3], rows.iloc[:0], rows.iloc[3:]]), state)
+    assert list(got[["event_id", "x", "P"]].itertuples(index=False, name=None)) == want and state.value == want[-1][1:]
