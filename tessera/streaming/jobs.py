@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -108,16 +109,22 @@ def stream_kalman(stream: DataFrame, key: str, order: list[str], z: str, r: str,
         parts = [p for p in pdfs if len(p)]
         if not parts:
             return
-        pdf = pd.concat(parts).sort_values(order, kind="mergesort")
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
+        by = [pdf[c].to_numpy() for c in reversed(order)]
+        if any(c.dtype == object for c in by):  # strings and nulls
+            pdf = pdf.sort_values(order, kind="mergesort")
+            place = slice(None)
+        else:
+            place = np.lexsort(by)  # many keys with a few rows each: one sort of numbers, no copy of the rows
         xs, ps = [], []
-        for zi, ri in zip(pdf[z].to_numpy(float), pdf[r].to_numpy(float)):
+        for zi, ri in zip(pdf[z].to_numpy(float)[place].tolist(), pdf[r].to_numpy(float)[place].tolist()):
             gain = p / (p + ri)
             x = x + gain * (zi - x)
             p = (1 - gain) * p
             xs.append(x)
             ps.append(p)
         state.update((x, p))
-        yield pd.DataFrame({"key": k[0], "event_id": pdf[id_col].to_numpy(), "x": xs, "P": ps})
+        yield pd.DataFrame({"key": k[0], "event_id": pdf[id_col].to_numpy()[place], "x": xs, "P": ps})
 
     return stream.groupBy(key).applyInPandasWithState(fold, KALMAN_OUT, KALMAN_STATE, "append",
                                                       GroupStateTimeout.NoTimeout)
