@@ -289,6 +289,28 @@ def test_bpe_training_by_bounded_choices(spark, tie):
     assert TK.bpe_train(df, "t", 260, key="k", tie=tie, work=10, tracked=20) == whole[:4]  # by all tasks together
 
 
+@pytest.mark.parametrize("pretokenize", [False, True])
+@pytest.mark.parametrize("tie", ["max_pair", "first_seen"])
+def test_bpe_training_cuts_long_units(spark, monkeypatch, tie, pretokenize):
+    """Units of far more symbols than a task learns from are cut at rare pairs; no merge of all tasks is needed, and the merges are the same."""
+    rng = random.Random(11)
+    words = ["aaaa", "aaa", "banana", "é", "ab ab", ""] + ["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 7))) for _ in range(30)]
+    sep = "" if pretokenize else " "
+    texts = [sep.join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(40)] * 2 + [None, "", "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    whole = TK.bpe_train(df, "t", 420, key="k", tie=tie, pretokenize=pretokenize)
+    assert len(whole) == 164
+    small = 1500
+    together = TK.bpe_train(df, "t", 258, key="k", tie=tie, pretokenize=pretokenize, work=1)
+    assert together == whole[:2]
+
+    def barrier(*_):
+        raise AssertionError("a merge of all tasks")
+
+    monkeypatch.setattr(TK, "learn_together", barrier)
+    assert TK.bpe_train(df, "t", 420, key="k", tie=tie, pretokenize=pretokenize, work=small) == whole
+
+
 @pytest.mark.parametrize("name", ["t7_bpe_train_raw", "t8_bpe_train", "t25_prepare_parallel"])
 def test_bpe_queries_train_in_full(spark, name):
     """The registered queries train on whole tables with the operator's default number of merges, as far as there are pairs."""
