@@ -122,7 +122,8 @@ def links(distinct: DataFrame, distance: int = 3, segments: int = SEGMENTS, dens
     table = sparse.select("s", "v", F.col("fp").alias("b"))
     close = (F.col("fp") < F.col("b")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= distance)
     # A link is found from both ends; the probe with the smaller fingerprint reports it.
-    pairs = probes.join(table, (probes.s == table.s) & (probes.v == table.v) & close).select(F.col("fp").alias("a"), "b")
+    # Spark sizes a table after an explode as the one before it, so it would broadcast what does not fit the driver
+    pairs = probes.hint("merge").join(table.hint("merge"), (probes.s == table.s) & (probes.v == table.v) & close).select(F.col("fp").alias("a"), "b")
     if not star:
         return pairs.distinct()
 
@@ -137,7 +138,7 @@ def links(distinct: DataFrame, distance: int = 3, segments: int = SEGMENTS, dens
     outside = probes.where("off").join(crowded, ["s", "v"]).select("fp", "s", "v")
     stars = points(inside, rest, 2, 1).union(points(outside, rest, 1, -1))
     heads = stars.where("near").groupBy("s", "v", "x").agg(F.min("fp").alias("head"))
-    spokes = stars.join(heads, ["s", "v", "x"]).where("fp <> head").select(F.col("head").alias("a"), F.col("fp").alias("b"))
+    spokes = stars.hint("merge").join(heads.hint("merge"), ["s", "v", "x"]).where("fp <> head").select(F.col("head").alias("a"), F.col("fp").alias("b"))
     return pairs.union(spokes).distinct()
 
 
@@ -148,12 +149,12 @@ def components(
     fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("_id").alias("rep")), "distinct-fp")
     found = connected_components(links(distinct.select("fp"), distance, dense=dense))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+    rooted = distinct.join(found.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = rooted.join(smallest, "root").select("fp", "component_id")
-    return fps.join(by_fp, "fp").select(
+    by_fp = rooted.join(smallest.hint("merge"), "root").select("fp", "component_id")
+    return fps.join(by_fp.hint("merge"), "fp").select(
         F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 

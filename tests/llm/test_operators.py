@@ -119,6 +119,22 @@ def test_simhash_links_of_dense_groups(spark, dense):
     assert [found.get(p, p) for p in signed] == want
 
 
+def test_simhash_links_never_broadcast_exploded_rows(spark, tmp_path):
+    """Spark sizes the 33 probes of a fingerprint as one row; the plan must not rest on that."""
+    spark.range(300).selectExpr("id * 7919 AS fp").write.parquet(f"{tmp_path}/fp")
+    frame = spark.read.parquet(f"{tmp_path}/fp")
+    depth, under = None, []
+    for line in simhash.links(frame, dense=2)._jdf.queryExecution().executedPlan().toString().splitlines():
+        at = len(line) - len(line.lstrip(" :+-"))
+        if depth is not None and at <= depth:
+            depth = None
+        if depth is None and "BroadcastExchange" in line:
+            depth = at
+        elif depth is not None:
+            under.append(line)
+    assert not [line for line in under if "Generate" in line]
+
+
 # ---------------------------------------------------------------- 5
 
 def test_substring(docs, texts):
