@@ -197,7 +197,8 @@ def _long(rows: DataFrame, kind: str, ranks_path: str, pattern: str, chunk: int,
     spread = chunks.repartition(n, "uid", "c")
     borders = written(spread.mapInArrow(pretokenise, "uid long, c long, heads array<long>, tails array<long>"), "borders")
     left = borders.select("uid", (F.col("c") + 1).alias("c"), "tails")
-    seams = borders.select("uid", "c", "heads").join(left, ["uid", "c"]).select("uid", "c", F.array_min(F.array_intersect("tails", "heads")).alias("begin"))
+    # the lists of places are far smaller as Parquet than in the driver: not broadcast
+    seams = borders.select("uid", "c", "heads").join(left.hint("merge"), ["uid", "c"]).select("uid", "c", F.array_min(F.array_intersect("tails", "heads")).alias("begin"))
     torn = seams.groupBy("uid").agg(F.max(F.col("begin").isNull()).alias("whole"))
     ends = seams.select("uid", (F.col("c") - 1).alias("c"), F.col("begin").alias("end"))
     placed = (
