@@ -311,6 +311,30 @@ def test_bpe_training_cuts_long_units(spark, monkeypatch, tie, pretokenize):
     assert TK.bpe_train(df, "t", 420, key="k", tie=tie, pretokenize=pretokenize, work=small) == whole
 
 
+def test_bpe_training_sorts_texts_not_symbols(spark, monkeypatch):
+    """Raw texts are numbered before they become symbols; the merges of many turns are those of one."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(120)]
+    df = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(60)], "k long, t string")
+    whole = TK.bpe_train(df, "t", 556, key="k", pretokenize=False, tie="first_seen")
+    numbered, turns = TK.global_row_number, []
+
+    def number(rows, *args):
+        assert not [c for c, kind in rows.dtypes if kind.startswith("array")]
+        return numbered(rows, *args)
+
+    def learn(*args):
+        turns.append(args[1])
+        return learn_alone(*args)
+
+    learn_alone = TK.learn_alone
+    monkeypatch.setattr(TK, "global_row_number", number)
+    monkeypatch.setattr(TK, "learn_alone", learn)
+    monkeypatch.setattr(TK, "WIDTH", 2)
+    assert TK.bpe_train(df, "t", 556, key="k", pretokenize=False, tie="first_seen", work=6000) == whole
+    assert len(whole) == 300 and turns == sorted(turns, reverse=True)
+
+
 @pytest.mark.parametrize("name", ["t7_bpe_train_raw", "t8_bpe_train", "t25_prepare_parallel"])
 def test_bpe_queries_train_in_full(spark, name):
     """The registered queries train on whole tables with the operator's default number of merges, as far as there are pairs."""
