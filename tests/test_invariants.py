@@ -52,6 +52,19 @@ def test_bpe_roundtrip_with_astral_chars(spark):
     assert back.where(F.col("t") != F.col("text")).count() == 0
 
 
+def test_bpe_encode_moves_no_pretokens(spark):
+    """Texts are encoded where they are read; those that share a key are put together by place, null and empty ones are empty."""
+    rows = [(1, "low lower"), (2, None), (3, ""), (None, "slow low"), (5, "low  low\n\n é"), (6, "low a"), (6, "new b")]
+    df = spark.createDataFrame(rows, "k long, text string")
+    merges = [(108, 111, 256), (256, 119, 257), (32, 257, 258)]  # lo, low, " low"
+    got = {r["k"]: list(r["ids"]) for r in TK.bpe_encode(df, "text", "k", merges).collect()}
+    assert got == {1: [257, 258, 101, 114], 2: [], 3: [], None: [115, 257, 258], 5: [257, 32, 258, 10, 10, 32, 195, 169],
+                   6: [110, 101, 119, 257, 32, 97, 32, 98]}
+    once = df.where("k < 6").repartition(3)
+    plan = TK.bpe_encode(once, "text", "k", merges)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.split("Union", 1)[1].split("Aggregate", 1)[0].count("Generate") == 0  # the first branch makes no rows of pre-tokens
+
+
 def test_text_nb_probs(spark):
     t = Tables(spark, SF_SMALL)
     lab = t.documents.join(t.labels, "doc_id").select("doc_id", "toxic", wordpunct_tokens("text").alias("tokens"))
