@@ -58,6 +58,12 @@ def ngram_counts(df: DataFrame, tokens: str, n: int, chunk: int = CHUNK) -> Data
     The tasks number their tokens and count the n-grams of ``chunk`` tokens or so at a time by sorting numbers;
     only the distinct ones become strings and are added up by Spark.
     """
+    # the chunks' counts are combined already: they move as they are, and are added up where they arrive
+    return ngram_parts(df, tokens, n, chunk).repartition("prefix", "token").groupBy("prefix", "token").agg(F.sum("n").alias("n"))
+
+
+def ngram_parts(df: DataFrame, tokens: str, n: int, chunk: int = CHUNK) -> DataFrame:
+    """The counts of the chunks, which add up to :func:`ngram_counts`."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -72,9 +78,7 @@ def ngram_counts(df: DataFrame, tokens: str, n: int, chunk: int = CHUNK) -> Data
         if held:
             yield from _counted_chunk(held, n)
 
-    parts = df.select(F.col(tokens).cast("array<string>")).mapInArrow(count, "prefix string, token string, n long")
-    # the chunks' counts are combined already: they move as they are, and are added up where they arrive
-    return parts.repartition("prefix", "token").groupBy("prefix", "token").agg(F.sum("n").alias("n"))
+    return df.select(F.col(tokens).cast("array<string>")).mapInArrow(count, "prefix string, token string, n long")
 
 
 def _counted_chunk(held: list[pa.Array], n: int) -> Iterator[pa.RecordBatch]:
@@ -137,14 +141,24 @@ def perplexity(counts: DataFrame, test: DataFrame, tokens: str, n: int, smoothin
     """T5: corpus perplexity ``exp(-sum max(log p, log 1e-50) / #tokens)``, EOS included.
 
     Test positions are first counted per ``(prefix, token)`` (partial
-    aggregate), then joined to the model, so the join moves distinct n-grams,
+    aggregate), then joined to the model, so distinct n-grams move,
     not token occurrences.  When the training token table ``train`` is given, the
     Laplace vocabulary size comes from its distinct tokens (+ EOS) - the same set as
     the counts' next tokens - without generating the n-grams a second time.
+
+    From trigrams on the n-grams of both sides move once, by their prefix, and ``counts`` may be
+    :func:`ngram_parts`: a prefix has at most a row per word and chunk, and words of a short prefix are too many for a task.
     """
-    ev = ngram_counts(test, tokens, n).withColumnRenamed("n", "m")
-    st = _prefix_stats(counts)
-    j = ev.join(counts, ["prefix", "token"], "left").join(st, "prefix", "left")
+    if n > 2:
+        both = counts.select("prefix", "token", "n", F.lit(0).cast("long").alias("m")).unionByName(
+            ngram_parts(test, tokens, n).select("prefix", "token", F.lit(0).cast("long").alias("n"), F.col("n").alias("m")))
+        both = both.repartition("prefix").groupBy("prefix", "token").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+        both = both.withColumn("n", F.when(F.col("n") > 0, F.col("n")))
+        of_prefix = Window.partitionBy("prefix")
+        j = both.withColumn("ptot", F.sum("n").over(of_prefix)).withColumn("pk", F.count("n").over(of_prefix)).where("m > 0")
+    else:
+        ev = ngram_counts(test, tokens, n).withColumnRenamed("n", "m")
+        j = ev.join(counts, ["prefix", "token"], "left").join(_prefix_stats(counts), "prefix", "left")
     if smoothing == "mle":
         p = F.coalesce(F.col("n") / F.col("ptot"), F.lit(0.0))
     else:

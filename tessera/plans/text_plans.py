@@ -193,7 +193,8 @@ SELECT round(-sum(m * CASE WHEN {p} > 0 THEN greatest(ln({p}), {T.MIN_LOGPROB!r}
 
 def _ppl(spark, sf_dir, n, smoothing):
     train, test = _split(spark, sf_dir)
-    counts = T.kept(T.ngram_counts(train, "tokens", n), "ngrams")  # joined to the test n-grams and summed per prefix
+    # below trigrams joined to the test n-grams and summed per prefix
+    counts = T.ngram_parts(train, "tokens", n) if n > 2 else T.kept(T.ngram_counts(train, "tokens", n), "ngrams")
     r = T.perplexity(counts, test, "tokens", n, smoothing, train=train)
     # log-perplexity: the clamp at 1e-50 makes perplexity itself astronomically large, so it is
     # compared in log space where 9 decimals are far inside double precision

@@ -5,6 +5,7 @@ import json
 import os
 import random
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -508,6 +509,50 @@ def test_kneser_ney_by_hand_and_its_shuffles(spark):
     assert shuffles[0] == shuffles[1]
 
 
+def test_ngram_models_shuffle_ngrams_once_or_twice(spark):
+    """Perplexity moves the trigrams of both sides once; Kneser-Ney finds them dealt, and moves them by their prefix."""
+    import math
+
+    def exchanges(df, *columns):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return sum(all(c in line for c in columns) for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+    rng = random.Random(9)
+    train, test = ([[rng.choice("abcd") for _ in range(rng.randint(0, 9))] for _ in range(n)] for n in (40, 15))
+    train_df, test_df = (spark.createDataFrame([(t,) for t in d], "tokens array<string>").repartition(3) for d in (train, test))
+
+    def grams(docs):
+        return Counter(tuple((["_UNK_"] * 2 + t + ["_EOS_"])[i : i + 3]) for t in docs for i in range(len(t) + 1))
+
+    seen, asked = grams(train), grams(test)
+    total, kinds = Counter(), Counter()
+    for g, c in seen.items():
+        total[g[:2]] += c
+        kinds[g[:2]] += 1
+    V = len({g[2] for g in seen})
+
+    def p(g, smoothing):
+        if smoothing == "mle":
+            return seen[g] / total[g[:2]] if seen[g] else 0.0
+        if g[:2] not in total:
+            return 1 / V
+        known = (total[g[:2]] + kinds[g[:2]]) / (total[g[:2]] + V)
+        return (seen[g] + 1) / (total[g[:2]] + V) if seen[g] else max(0.0, 1 - known) / max(1, V - kinds[g[:2]])
+
+    for smoothing in ("mle", "laplace"):
+        logs = [c * max(math.log(p(g, smoothing)), T.MIN_LOGPROB) if p(g, smoothing) else c * T.MIN_LOGPROB for g, c in asked.items()]
+        for counts in (T.ngram_counts(train_df, "tokens", 3), T.ngram_parts(train_df, "tokens", 3, 7)):
+            got = T.perplexity(counts, test_df, "tokens", 3, smoothing, train=train_df).first()
+            assert got["log_perplexity"] == pytest.approx(-sum(logs) / asked.total()) and got["n_tokens"] == asked.total()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(T.perplexity(T.ngram_parts(train_df, "tokens", 3), test_df, "tokens", 3)) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # ---------------------------------------------------------------- hot keys
 
 @pytest.fixture(scope="module")
