@@ -8,6 +8,7 @@ strings and partially aggregated before it moves.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -184,26 +185,32 @@ def kneser_ney(df: DataFrame, tokens: str, n: int, delta: float = 0.75) -> DataF
     distinct n-gram is one left context of the n-gram one shorter, so every order is counted from the one above.
     Orders are joined bottom-up: ``P(w|h) = max(c - d, 0)/c(h) + d * T(h)/c(h) * P(w|h')``, with the
     unigram continuation distribution at the bottom.
+
+    N-grams are kept dealt by all words but the first: that adds them up, counts the order below and joins it,
+    without another shuffle.  They move once more, by their prefix, of which every word has at most one row.
     """
-    counts = {n: kept(ngram_counts(df, tokens, n), "ngrams")}
+    def dealt(rows: DataFrame, order: int, prefix: str) -> DataFrame:
+        """The prefix as its first word ``_w`` and the rest ``_h``."""
+        rest = F.array_join(F.slice(F.split(prefix, " "), 2, order - 2), " ") if order > 2 else F.lit("")
+        return rows.select(F.substring_index(prefix, " ", 1).alias("_w"), rest.alias("_h"), "token", "n")
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("_w", "_h", "token").agg(F.sum("n").alias("n"))
+
+    counts = {n: bucketed(dealt(ngram_parts(df, tokens, n), n, "prefix"), ["_h", "token"], summed, "ngrams")}
     for order in range(n - 1, 1, -1):
-        rest = F.array_join(F.slice(F.split("prefix", " "), 2, order - 1), " ")
-        fewer = counts[order + 1].select(rest.alias("prefix"), "token").groupBy("prefix", "token").agg(F.count(F.lit(1)).alias("n"))
-        counts[order] = kept(fewer, "ngrams")
+        fewer = counts[order + 1].groupBy("_h", "token").agg(F.count(F.lit(1)).alias("n"))
+        counts[order] = kept(dealt(fewer, order, "_h"), "ngrams")
     # unigram continuation probability
     types = counts[2].count()
     lower = counts[2].groupBy("token").agg(F.count(F.lit(1)).alias("_c")).select(
         F.lit("").alias("prefix"), "token", (F.col("_c") / F.lit(float(types))).alias("p"))
     for order in range(2, n + 1):
-        c = counts[order]
-        st = c.groupBy("prefix").agg(F.sum("n").alias("_ch"), F.count(F.lit(1)).alias("_T"))
-        shorter = F.array_join(F.slice(F.split("prefix", " "), 2, order - 2), " ") if order > 2 else F.lit("")
-        # rows move with every word once, and last by their prefix, so that sums per prefix need no further shuffle
-        cur = c.select(F.substring_index("prefix", " ", 1).alias("_w"), shorter.alias("_h"), "token", "n")
-        cur = cur.join(lower.select(F.col("prefix").alias("_h"), "token", F.col("p").alias("_pl")), ["_h", "token"],
-                       "left")
+        cur = counts[order].join(lower.select(F.col("prefix").alias("_h"), "token", F.col("p").alias("_pl")), ["_h", "token"], "left")
         prefix = F.when(F.col("_h") == "", F.col("_w")).otherwise(F.concat("_w", F.lit(" "), "_h"))
-        cur = cur.select(prefix.alias("prefix"), "token", "n", "_pl").join(st, "prefix")
+        of_prefix = Window.partitionBy("prefix")
+        cur = cur.select(prefix.alias("prefix"), "token", "n", "_pl").withColumn("_ch", F.sum("n").over(of_prefix)).withColumn(
+            "_T", F.count(F.lit(1)).over(of_prefix))
         lower = cur.select("prefix", "token", (
             F.greatest(F.col("n") - delta, F.lit(0.0)) / F.col("_ch")
             + delta * F.col("_T") / F.col("_ch") * F.coalesce(F.col("_pl"), F.lit(0.0))).alias("p"))
@@ -217,6 +224,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, by: list[str], combine, name: str) -> DataFrame:
+    """``combine`` of the rows dealt by ``by``, :func:`kept` so that readers find them dealt (the table has no name afterwards)."""
+    spark, table = df.sparkSession, f"tessera_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = combine(df.repartition(n, *by)).write.format("parquet").bucketBy(n, *by)
+    rows.option("path", scratch_path(spark, name)).saveAsTable(table)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files stay until the application ends
+    return found
+
+
 def next_token_dist(probs: DataFrame, temperature: float = 1.0, top_k: int | None = None,
                     top_p: float | None = None, min_p: float | None = None) -> DataFrame:
     """Next-token distribution per prefix after temperature and truncation.

@@ -548,6 +548,9 @@ def test_ngram_models_shuffle_ngrams_once_or_twice(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert exchanges(T.perplexity(T.ngram_parts(train_df, "tokens", 3), test_df, "tokens", 3)) == 1
+        kn = T.kneser_ney(train_df, "tokens", 3)
+        assert (exchanges(kn, "_h#", "token#"), exchanges(kn, "prefix#")) == (1, 2)  # the bigrams to the trigrams; both orders by prefix
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_")]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
