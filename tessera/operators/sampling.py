@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -142,6 +143,8 @@ def mixup(df: DataFrame, key: str, features: str, label: str, alpha: float = 0.4
 
 #: Label cells per sigma; proposals per row and round; rounds before the nearest label is taken; slack of the bound against rounding.
 CELLS_PER_SIGMA, PROPOSALS, ROUNDS, SLACK = 4, 16, 50, 1e-9
+#: What a proposal holds: its number, the place and the distance of its cell, and the luck that it has to pass.
+DRAWN = ["_m", "_place", "_gap", "_luck"]
 
 
 def _uniform(h: np.ndarray, stream: int) -> np.ndarray:
@@ -153,14 +156,14 @@ def _uniform(h: np.ndarray, stream: int) -> np.ndarray:
 
 
 def _proposals(cells: list, sigma: float):
-    """Pandas UDF ``(label, key hash) -> arrays (place, gap, far)``: rows drawn by cell size times the cell's largest
-    weight, which its distance ``gap`` (in sigma) gives; ``far`` is the distance of its other end."""
+    """Arrow UDFs ``(label, key hash, luck of each proposal) -> proposals``, one for the first proposals and one for the
+    ``late`` ones: rows drawn by cell size times the cell's largest weight, which its distance ``gap`` (in sigma) gives.
+    A proposal whose luck passes at the far end of its cell is the last of the first ones."""
     low, high, size, first = (np.array([r[c] for r in cells], float) for c in ("lo", "hi", "n", "first"))
     at_once = max(1, (1 << 20) // len(size))  # rows whose weights of all cells are held together
 
-    @F.pandas_udf("struct<place:array<long>,gap:array<double>,far:array<double>>")
-    def propose(y: pd.Series, h: pd.Series) -> pd.DataFrame:
-        values, keys = y.to_numpy(float), h.to_numpy(np.int64)
+    def run(y: pa.Array, h: pa.Array, luck: pa.Array, late: bool) -> pa.Array:
+        values, keys = y.to_numpy(zero_copy_only=False), h.to_numpy(zero_copy_only=False)
         where, inside = (np.stack([_uniform(keys, 2 * m + j) for m in range(PROPOSALS)], 1) for j in (0, 1))
         cell, near = np.empty(where.shape, int), np.empty(where.shape)
         for i in range(0, len(values), at_once):
@@ -168,31 +171,39 @@ def _proposals(cells: list, sigma: float):
             v = values[some, None]
             gap = np.maximum(np.maximum(low - v, v - high), 0) / sigma
             upto = np.cumsum(size * np.exp(-(gap**2) / 2), axis=1)
-            for j, u in enumerate(where[some] * upto[:, -1:], i):
-                cell[j] = np.searchsorted(upto[j - i], u, "right")
+            drawn = where[some] * upto[:, -1:]
+            for m in range(PROPOSALS):
+                cell[some, m] = (upto <= drawn[:, m : m + 1]).sum(axis=1)
             cell[some] = np.minimum(cell[some], len(size) - 1)
             near[some] = np.take_along_axis(gap, cell[some], 1)
         place = (first[cell] + np.floor(inside * size[cell])).astype(np.int64)
         far = np.maximum(values[:, None] - low[cell], high[cell] - values[:, None]) / sigma
-        return pd.DataFrame({"place": list(place), "gap": list(near), "far": list(far)})
+        lucks = luck.flatten().to_numpy().reshape(where.shape) % (1 << 40) / float(1 << 40)
+        sure = lucks < np.exp(-(far * far - near * near) / 2) * (1 - SLACK)
+        upto = np.where(sure.any(axis=1), sure.argmax(axis=1) + 1, PROPOSALS)
+        kept = (np.arange(PROPOSALS)[None, :] >= upto[:, None]) == late
+        ends = pa.array(np.concatenate([[0], np.cumsum(kept.sum(axis=1))]), pa.int32())
+        m = np.broadcast_to(np.arange(PROPOSALS, dtype=np.int32), where.shape)
+        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(x[kept]) for x in (m, place, near, lucks)], DRAWN))
 
-    return propose
+    kind = "array<struct<_m:int,_place:long,_gap:double,_luck:double>>"
+
+    @F.arrow_udf(kind)
+    def early(y: pa.Array, h: pa.Array, luck: pa.Array) -> pa.Array:
+        return run(y, h, luck, False)
+
+    @F.arrow_udf(kind)
+    def later(y: pa.Array, h: pa.Array, luck: pa.Array) -> pa.Array:
+        return run(y, h, luck, True)
+
+    return early, later
 
 
 def _drawn(waiting: DataFrame, propose, key: str, seed: int, k: int, late: bool) -> DataFrame:
     """``key, _y, _d``: the proposals of round ``k`` up to the first that passes whatever label it meets in its cell;
     ``late``: those after it, which are needed where it met a row of its own key."""
-    def proposal(d, m):
-        luck = F.pmod(F.xxhash64(F.lit(seed), F.lit(k), m, key, F.lit("luck")), F.lit(1 << 40)) / float(1 << 40)
-        sure = luck < F.exp(-(d["far"] * d["far"] - d["gap"] * d["gap"]) / 2) * (1 - SLACK)
-        return F.struct(m.alias("_m"), d["place"].alias("_place"), d["gap"].alias("_gap"), luck.alias("_luck"), sure.alias("_sure"))
-
-    drawn = waiting.withColumn("_d", propose("_y", F.xxhash64(F.lit(seed), F.lit(k), key)))
-    drawn = drawn.withColumn("_d", F.transform(F.arrays_zip("_d.place", "_d.gap", "_d.far"), proposal))
-    sure = F.array_position(F.transform("_d", lambda d: d["_sure"]), True).cast("int")
-    if late:
-        return drawn.where(sure > 0).select(key, "_y", F.slice("_d", sure + 1, PROPOSALS).alias("_d"))
-    return drawn.select(key, "_y", F.slice("_d", F.lit(1), F.when(sure > 0, sure).otherwise(PROPOSALS)).alias("_d"))
+    luck = F.array(*[F.xxhash64(F.lit(seed), F.lit(k), F.lit(m), key, F.lit("luck")) for m in range(PROPOSALS)])
+    return waiting.select(key, "_y", propose[late]("_y", F.xxhash64(F.lit(seed), F.lit(k), key), luck).alias("_d"))
 
 
 def cmixup_partners(df: DataFrame, key: str, label: str, seed: int = 0) -> DataFrame:

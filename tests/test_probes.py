@@ -741,6 +741,20 @@ def test_cmixup_joins_few_proposals(spark):
         assert sizes[r.k] + r.n == S.PROPOSALS
 
 
+def test_cmixup_proposals_are_tested_in_one_pass(spark):
+    """The luck of a proposal is its keyed hash, and no row is taken through a lambda per proposal."""
+    df = spark.createDataFrame([(f"k{i}", float(i % 50)) for i in range(200)], "k string, _y double")
+    cells = [{"lo": float(c), "hi": c + 4.0, "n": 20, "first": 4 * c + 1} for c in range(0, 50, 5)]
+    early = S._drawn(df, S._proposals(cells, 10.0), "k", 3, 2, False)
+    assert "lambdafunction" not in early._jdf.queryExecution().optimizedPlan().toString()
+    luck = F.pmod(F.xxhash64(F.lit(3), F.lit(2), "_m", "k", F.lit("luck")), F.lit(1 << 40)) / float(1 << 40)
+    met = early.select("k", "_y", F.inline("_d"))
+    assert met.where(F.col("_luck") != luck).count() == 0
+    own = [(r._place - 1) // 4 // 5 * 5 for r in met.collect()]
+    assert all(abs(r._gap - max(0, c - r._y, r._y - c - 4) / 10) < 1e-12 for r, c in zip(met.collect(), own))
+    assert all(r._m == k for r in early.collect() for k, r in enumerate(r._d))
+
+
 def test_corpus_bleu_shuffles_texts_only(spark):
     """Rows of one key, null included, are one text for the clipping; n-grams are no rows of a shuffle."""
     from tessera.operators import text as T
