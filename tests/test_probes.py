@@ -428,6 +428,29 @@ def test_pruned_search_is_exact_and_prunes(spark, metric):
     assert V.nearest(df, df.limit(0), 4, metric, qid="id", cid="id", vec="v").collect() == []
 
 
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_top_rows_leave_out_what_is_below_the_best_so_far(exclude_self):
+    """Tile by tile, with the best scores so far as a bound, the best rows are those of all columns; ties, repeated ids and few columns."""
+    import numpy as np
+
+    from tessera.operators import vector_index as VI
+
+    rng, k = np.random.default_rng(3), 4
+    qids, cids = rng.integers(0, 30, 25), rng.integers(0, 30, 90)
+    all_scores = rng.integers(0, 8, (25, 90)).astype(float)
+    best, found, taken = np.full((25, k), -np.inf), [], []
+    for cols in np.split(np.arange(90), [2, 40, 41, 70]):
+        row, col, score = VI.top_rows(qids, cids[cols], all_scores[:, cols], k, exclude_self, best[:, 0])
+        best = VI.raised(best, row, score)
+        found += zip(row.tolist(), (-score).tolist(), cids[cols][col].tolist())
+        taken.append(len(row))
+    for r in range(25):
+        want = sorted((-s, c) for s, c in zip(all_scores[r].tolist(), cids.tolist()) if not (exclude_self and c == qids[r]))[:k]
+        assert sorted(f[1:] for f in found if f[0] == r)[:k] == want
+        assert sorted(best[r]) == sorted(-s for s, _ in want)
+    assert taken[3] < 25 * k  # far from the best of the tile for every row
+
+
 def test_search_moves_a_bounded_number_of_copies(spark):
     """Vectors without clusters: every query visits every cell, yet a row moves to a few groups only."""
     import numpy as np
